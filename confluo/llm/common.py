@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -11,6 +12,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _shipped: set[str] = set()
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+#: White space that str.split() knows beyond the six ASCII characters.
+_ODD = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+
+
+def words(text: str | None) -> list[str]:
+    """Runs of anything but the six ASCII white-space characters."""
+    if not text:
+        return []
+    return _WORD.findall(text) if _ODD.search(text) else text.split()
 
 
 def ship(spark: SparkSession) -> None:

@@ -15,7 +15,6 @@ texts all counts are 0 and grams get the weighted estimates of empty nodes (1/25
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -24,20 +23,18 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from confluo.llm import common
 from confluo.llm.common import fold, scratch, ship
 
 DEPTH = 3
 BATCH_BYTES = 24_000_000
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 #: Stands for the end token; no word holds a space.
 END = " "
 
 
 def words(text: str) -> list[str]:
-    t = text.translate(_LOWER)
-    # split() also cuts at other white space; the pattern is needed only if there is any
-    return t.split() if t.isascii() and not re.search(r"[\x1c-\x1f]", t) else _WORD.findall(t)
+    return common.words(text.translate(_LOWER))
 
 
 def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:

@@ -54,8 +54,8 @@ def _repeat_words(words: Column, n: Column) -> Column:
     return F.when(n < 3, F.lit(0).cast("bigint")).otherwise(let(windows, covered))
 
 
-def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Counts of each text: words, their characters, symbols, lines, repeated lines, repeated words, stop words."""
+def _measures(text_col: str) -> list[Column]:
+    """Structs of counts of each text: words, their characters, repeated and stop words; lines; symbols."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     trimmed = F.trim(text, F.lit(SPACE))
     words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, "[\\x20\\x09-\\x0D]+"))
@@ -75,12 +75,8 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         return F.struct(F.size(x).cast("bigint").alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).cast("bigint").alias("n_dup_lines"))
 
     lines = F.filter(F.split(text, "\n"), lambda x: F.trim(x, F.lit(SPACE)) != "")
-    return docs.select(
-        F.col(id_col).alias("doc_id"),
-        let(words, of_words).alias("w"),
-        let(lines, of_lines).alias("l"),
-        F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("bigint").alias("n_symbols"),
-    ).select("doc_id", "w.*", "l.*", "n_symbols")
+    symbols = F.struct(F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("bigint").alias("n_symbols"))
+    return [let(words, of_words).alias("w"), let(lines, of_lines).alias("l"), symbols.alias("s")]
 
 
 def compile_rules(rules=RULES) -> Column:
@@ -97,13 +93,22 @@ def compile_rules(rules=RULES) -> Column:
     return reduce(lambda a, b: a & b, (known[m].between(lo, hi) for m, lo, hi in rules))
 
 
+FAILED = "n_words < 50 OR 100 * n_repeat_words > 50 * n_words"
+
+
 def judge(docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: its counts, base_failed (too short or too repetitive) and kept."""
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    m = measures(docs, id_col, text_col)
+    m = docs.select(F.col(id_col).alias("doc_id"), *_measures(text_col)).select("doc_id", "w.*", "l.*", "s.*")
+    failed = F.expr(FAILED)
     return m.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_stop", "n_lines", failed.alias("base_failed"), (~failed & compile_rules(rules)).alias("kept"))
 
 
+def keep(docs: DataFrame, rules=RULES, text_col: str = "text") -> DataFrame:
+    """The rows of docs, all columns as they are, that the rules keep."""
+    m = docs.select(F.struct(*docs.columns).alias("_row"), *_measures(text_col)).select("_row", "w.*", "l.*", "s.*")
+    return m.where(~F.expr(FAILED) & compile_rules(rules)).select("_row.*")
+
+
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 _STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
 #: The same rows by DuckDB, windows being compared as the words themselves.

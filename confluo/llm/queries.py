@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from confluo.llm import bpe, langid, lm, packing, quality, toxicity, url_filter
+from confluo.llm import bpe, jaccard, langid, lm, packing, quality, toxicity, url_filter
 from confluo.llm.common import table
 
 
@@ -38,6 +38,10 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.evaluate(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_language_id, op3_url_filters, op5_quality_rules, op7_toxicity, op8_bpe_encoding, op9_lm_scoring)}
+def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents")).drop("t", "component")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_language_id, op3_url_filters, op5_quality_rules, op7_toxicity, op8_bpe_encoding, op9_lm_scoring, op10_ngram_jaccard_join)}
 
 ORACLE_SQL: dict[str, str] = {"op3_url_filters": url_filter.SQL, "op5_quality_rules": quality.SQL}

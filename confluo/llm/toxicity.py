@@ -133,3 +133,18 @@ def detect(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     model = train(docs.where(learn), labels.where(learn), id_col, text_col, label_col)
     src = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(fold(id_col, parts) == held, F.lit(False)).alias("held_out"), F.col(text_col).alias("text"))
     return score(src, model)
+
+
+def reject(docs: DataFrame, model: PuModel | None, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows of docs, all columns as they are, that score below the threshold."""
+    ship(docs.sparkSession)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            t = b.column(at)
+            for k in range(0, len(t), 512):
+                part = b.slice(k, 512)
+                yield part.filter(pa.array(model.scores(t.slice(k, 512).to_pylist()) < threshold)) if model else part
+
+    return docs.mapInArrow(run, docs.schema)
