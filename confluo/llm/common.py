@@ -7,7 +7,10 @@ import re
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,6 +67,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def sorted_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole groups from batches sorted by key, with the groups' first rows."""
+    held = None
+    for b in batches:
+        t = pa.Table.from_batches([b])
+        t = t if held is None else pa.concat_tables([held, t])
+        k = t.column(key).to_numpy()
+        cut = np.flatnonzero(k[1:] != k[:-1]) + 1
+        if not len(cut):
+            held = t
+            continue
+        held = t.slice(int(cut[-1]))
+        yield t.slice(0, int(cut[-1])), np.concatenate([[0], cut[:-1]])
+    if held is not None and held.num_rows:
+        yield held, np.array([0])
+
+
 def components(nodes: DataFrame, edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """Connected components of edges (a, b): (node, component), component being the smallest node reachable.
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from confluo.llm.common import components, scratch, ship, words
+from confluo.llm.common import components, scratch, ship, sorted_groups, words
 
 WORDS, THRESHOLD, TARGET_RECALL = 5, 0.8, 0.995
 #: Runs of one round, rounds, and tokens that one level below the first may choose from.
@@ -114,23 +114,6 @@ def _leaves(reps: DataFrame, first_run: int, leaf: int) -> DataFrame:
     return found
 
 
-def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[pa.Table, np.ndarray]]:
-    """Tables of whole groups from batches sorted by key, with the groups' first rows."""
-    held = None
-    for b in batches:
-        t = pa.Table.from_batches([b])
-        t = t if held is None else pa.concat_tables([held, t])
-        k = t.column(key).to_numpy()
-        cut = np.flatnonzero(k[1:] != k[:-1]) + 1
-        if not len(cut):
-            held = t
-            continue
-        held = t.slice(int(cut[-1]))
-        yield t.slice(0, int(cut[-1])), np.concatenate([[0], cut[:-1]])
-    if held is not None and held.num_rows:
-        yield held, np.array([0])
-
-
 def _pairs(run: int, side: np.ndarray, sig: np.ndarray, met: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of a group that meet here first and whose sketches allow the threshold."""
     n, out_i, out_j = len(side), [], []
@@ -197,7 +180,7 @@ def _compare(dealt: DataFrame, docs: DataFrame, reps: DataFrame, runs: int, thre
     part = dealt.repartition("key").sortWithinPartitions("key")
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t, cut in _groups(batches, "key"):
+        for t, cut in sorted_groups(batches, "key"):
             run, side, sig, met = _arrays(t, runs)
             use = np.zeros(t.num_rows, bool)
             for a, b in zip(cut, [*cut[1:], t.num_rows], strict=True):
@@ -218,7 +201,7 @@ def _compare(dealt: DataFrame, docs: DataFrame, reps: DataFrame, runs: int, thre
     full = chosen.join(sets, "h").repartition("key").sortWithinPartitions("key")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t, cut in _groups(batches, "key"):
+        for t, cut in sorted_groups(batches, "key"):
             run, side, sig, met = _arrays(t, runs)
             h, copies = t.column("h").to_numpy(), t.column("copies").to_numpy()
             raw = t.column("shingles").to_pylist()

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from confluo.llm import bpe, jaccard, langid, lm, packing, quality, toxicity, url_filter
+from confluo.llm import bpe, jaccard, langid, lm, neighbours, packing, quality, token_counts, toxicity, url_filter
 from confluo.llm.common import table
 
 
@@ -22,10 +22,18 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_and_redact(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.detect(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -42,6 +50,6 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents")).drop("t", "component")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_language_id, op3_url_filters, op5_quality_rules, op7_toxicity, op8_bpe_encoding, op9_lm_scoring, op10_ngram_jaccard_join)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_language_id, op3_url_filters, op4_token_counts, op5_quality_rules, op6_embedding_near_dedup, op7_toxicity, op8_bpe_encoding, op9_lm_scoring, op10_ngram_jaccard_join)}
 
 ORACLE_SQL: dict[str, str] = {"op3_url_filters": url_filter.SQL, "op5_quality_rules": quality.SQL}
