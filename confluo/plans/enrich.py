@@ -136,7 +136,7 @@ def override_coalesce(spark, d):
 def best_asset(spark, d):
     img = F.expr("'File:' || CASE WHEN p_size % 3 = 0 THEN p_name || ' ' ELSE p_type || ' ' END || p_brand || ' logo' || CASE WHEN p_size % 2 = 0 THEN '.svg' ELSE '.png' END")
     p = table(spark, d, "part").select("p_name", img.alias("img"), F.col("p_name").alias("title"))
-    return lookup.best_asset(p, "p_name", "title" if False else "p_name", "img", names.asset_plausible("img", "title"))
+    return lookup.best_asset(p, "p_name", "title", "img", names.asset_plausible("img", "title"))
 
 
 @query("SELECT source AS key, array_to_string(list_sort(list(DISTINCT lang)), ',') AS languages, bool_or(e) AS english FROM (SELECT source, lang, CASE WHEN doc_id % 3 = 0 THEN NULL ELSE lang = 'en' END AS e FROM documents UNION ALL SELECT 'src' || page_id % 30, 'xx', NULL FROM pages) GROUP BY source")

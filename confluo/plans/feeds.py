@@ -77,8 +77,8 @@ def json_map_explode(spark, d):
 @query(r"SELECT page_id, regexp_extract(url, '://[^/]+/([a-z]+)/', 1) AS folder, CASE regexp_extract(url, '://[^/]+/([a-z]+)/', 1) WHEN 'en' THEN 'US' WHEN 'fr' THEN 'FR' ELSE '' END AS country, CASE regexp_extract(url, '://[^/]+/([a-z]+)/', 1) WHEN 'es' THEN 'group' ELSE 'channel' END AS kind FROM pages")
 def path_classify(spark, d):
     folders = spark.sql("SELECT * FROM VALUES ('en', 'US', 'channel'), ('fr', 'FR', 'channel'), ('es', '', 'group') AS t(folder, country, kind)")
-    p = table(spark, d, "pages").select("page_id", F.concat(F.regexp_extract("url", r"://[^/]+/([a-z]+)/", 1), F.lit("/p "), F.col("page_id").cast("string"), F.lit(".png")).alias("path"))
-    a = feeds.asset_rows(p.drop("page_id").withColumn("page_id", F.lit(0)).drop("page_id"), "path", folders, "https://h")
+    p = table(spark, d, "pages").select(F.concat(F.regexp_extract("url", r"://[^/]+/([a-z]+)/", 1), F.lit("/p "), F.col("page_id").cast("string"), F.lit(".png")).alias("path"))
+    a = feeds.asset_rows(p, "path", folders, "https://h")
     return a.select(F.regexp_extract("name", r"(\d+)$", 1).cast("long").alias("page_id"), F.split("path", "/")[0].alias("folder"), "country", "kind")
 
 

@@ -129,7 +129,6 @@ def _fuzzy_sql(swap: bool) -> str:
 
 
 def _sentences(df, key: str, swap: bool):
-    s = df.select(F.col(key).alias("k"), F.explode(F.filter(F.split(F.regexp_replace("text", r"\n", "."), r"\."), lambda x: F.length(F.trim(x)) > 20)).alias("s"))
     s = df.select(F.col(key).alias("k"), F.posexplode(F.filter(F.split(F.regexp_replace("text", r"\n", "."), r"\."), lambda x: F.length(F.trim(x)) > 20)).alias("i", "s"))
     w = F.split(F.trim("s"), " ")
     mid = F.floor(F.size(w) / 2).cast("int")
@@ -187,9 +186,9 @@ def golden_record(spark, d):
 
 
 @query(
-    f"""WITH r AS (SELECT p_partkey, {KEY_SQL('p_name', '-')} AS slug, CASE WHEN p_partkey % 97 = 0 THEN {KEY_SQL('p_name', '-')} ELSE 'r' || p_partkey END || CASE WHEN p_partkey % 97 = 0 AND p_partkey > 97 * 60 THEN p_partkey::VARCHAR ELSE '' END AS id, {NOISY} AS name, p_partkey % 3 <> 2 AS marked, p_brand, p_size % 50 = 0 AS manual, CASE WHEN p_size % 7 = 0 THEN 'x' || p_partkey ELSE '' END AS ext FROM part),
+    f"""WITH r AS (SELECT p_partkey, {KEY_SQL('p_name', '-')} AS slug, CASE WHEN p_partkey % 97 = 0 THEN {KEY_SQL('p_name', '-')} ELSE 'r' || p_partkey END || CASE WHEN p_partkey % 97 = 0 AND p_partkey > 97 * 60 THEN p_partkey::VARCHAR ELSE '' END AS id, {NOISY} AS name, p_partkey % 3 <> 2 AS marked, p_brand, p_size % 50 = 0 AS manual FROM part),
     o AS (SELECT *, row_number() OVER (PARTITION BY slug ORDER BY id <> slug, length(id), id, p_partkey) AS rn FROM r)
-    SELECT slug, count(*) AS members, bool_or(manual) AS manual, count(DISTINCT p_brand) AS n_sources, arg_min(ext, rn) FILTER (ext <> '' ) AS external_id FROM o GROUP BY slug""".replace("arg_min(ext, rn) FILTER (ext <> '' ) AS external_id", "arg_min(id, rn) AS entity_id")
+    SELECT slug, count(*) AS members, bool_or(manual) AS manual, count(DISTINCT p_brand) AS n_sources, arg_min(id, rn) AS entity_id FROM o GROUP BY slug"""
 )
 def consolidate(spark, d):
     n = F.expr(NOISY)
@@ -217,7 +216,7 @@ def variant_fold(spark, d):
 _GAMES = "'[Liga MX] ' || p_name || ' vs ' || p_brand || CASE p_partkey % 3 WHEN 0 THEN ' | feed 1' WHEN 1 THEN ' (FAWA)' ELSE '' END"
 
 
-@query("SELECT lower('[liga mx] ' || p_name || ' vs ' || p_brand) AS game, count(*) AS feeds, count(DISTINCT p_type) AS n_sources, min(p_partkey) AS ord, min(p_size)::VARCHAR AS start FROM (SELECT *, p_size FROM part) GROUP BY 1".replace("min(p_size)::VARCHAR", "min(p_size::VARCHAR)"))
+@query("SELECT lower('[liga mx] ' || p_name || ' vs ' || p_brand) AS game, count(*) AS feeds, count(DISTINCT p_type) AS n_sources, min(p_partkey) AS ord, min(p_size::VARCHAR) AS start FROM part GROUP BY 1")
 def feed_collapse(spark, d):
     e = names.parse_event(F.expr(_GAMES))
     f = table(spark, d, "part").select(F.lower(F.concat(F.lit("["), e["prefix"], F.lit("] "), e["home"], F.lit(" vs "), e["away"])).alias("game"), F.col("p_type").alias("source"), F.col("p_partkey").cast("string").alias("ref"), F.col("p_size").cast("string").alias("start"), F.col("p_partkey").alias("ord"), F.expr(_GAMES).alias("display"))

@@ -17,9 +17,9 @@ def values(spark, inputs, make):
         (names.strip_quality, {"Trace Urban HD (1080p)": "Trace Urban", "9Gem (720p) [Geo-blocked]": "9Gem [Geo-blocked]", "1HD Music Television": "1HD Music Television", "HD": "HD", "A  B": "A B"}),
         (names.quality_height, {"Channel (1080p)": 1080, "Channel HD": 720, "Channel FHD": 1080, "Channel": None, "A (480i) (720p)": 720}),
         (names.not_24_7, {"X [Not 24/7]": True, "X": False}),
-        (geo.country_ref, {"PlutoTVParanormal.de.ES": "DE", "ParanormalState.us.UK": "US", "DodomaTV.tz": "TZ", "WPIX-DT.us_locals1": "US", "DodomaTV": "", "1001Noites.br.SD": "BR"}),
+        (geo.country_ref, {"OrbitTVParanormal.de.ES": "DE", "ParanormalState.us.UK": "US", "DodomaTV.tz": "TZ", "WPIX-DT.us_locals1": "US", "DodomaTV": "", "1001Noites.br.SD": "BR"}),
         (geo.country_from_name, {"Arte (France)": "FR", "Arte": "", "Arte (France) x": ""}),
-        (lambda c: geo.region_base(c, ["Arabia"]), {"Pluto TV Paranormal (Germany) ES": "Pluto TV Paranormal", "48 Hours CA": "48 Hours", "A&E TV": "A&E TV", "Angel TV Arabia": "Angel TV", "Are You The One? DK": "Are You The One?"}),
+        (lambda c: geo.region_base(c, ["Arabia"]), {"Orbit TV Paranormal (Germany) ES": "Orbit TV Paranormal", "48 Hours CA": "48 Hours", "A&E TV": "A&E TV", "Angel TV Arabia": "Angel TV", "Are You The One? DK": "Are You The One?"}),
         (lambda c: names.event_start(F.lit("2026-07-16"), c).cast("string"), {"00:15:00": "2026-07-16 00:15:00", "16:00": "2026-07-16 16:00:00", "": "2026-07-16 00:00:00", "18:30+00:00": "2026-07-16 18:30:00"}),
         (lambda c: names.parse_kickoff(c)["start"], {"x start:2026-07-16 18:30:00": "2026-07-16T18:30:00+00:00", "Jul 16": None}),
         (lambda c: names.parse_kickoff(c)["hint"], {"Game Jul 6 live": "07-06", "Game": None}),
