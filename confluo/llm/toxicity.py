@@ -43,17 +43,20 @@ class PuModel:
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
-def fit(positive: list[set[str]], unlabelled: list[set[str]], prior: float, epochs: int = 150, rate: float = 0.15, sparse: float = 0.002, gamma: float = 0.1, drop: float = 0.6, least_docs: int = 4) -> PuModel | None:
-    """Train on sets of words; sparse is the proximal L1 step that drops words without evidence, gamma the size of
+def fit(positive: list[str], unlabelled: list[str], prior: float, epochs: int = 150, rate: float = 0.15, sparse: float = 0.004, gamma: float = 0.1, drop: float = 0.5, least_docs: int = 4, sure: float = 4.0, cap: float = 4.0) -> PuModel | None:
+    """Train on texts that hold each of their words once; sparse is the proximal L1 step that drops words without evidence, gamma the size of
     reversed steps, drop the share of words left out at random in each epoch, so that words that go together all learn."""
     if not positive or not unlabelled:
         return None
-    df = Counter(x for s in positive for x in s)
-    vocab = {x: i for i, x in enumerate(sorted(x for x, n in df.items() if n >= min(least_docs, len(positive))))}
+    df, du = Counter(x for s in positive for x in s.split()), Counter(x for s in unlabelled for x in s.split())
+    # words that positives hold more often than unlabelled texts by `sure` standard errors and some; chance passes few
+    share = lambda x: max(du[x], 1) / len(unlabelled)
+    need = lambda x: len(positive) * share(x) + sure * np.sqrt(len(positive) * share(x) * (1 - min(share(x), 0.99))) + least_docs - 1
+    vocab = {x: i for i, x in enumerate(sorted(x for x, n in df.items() if n >= min(least_docs, len(positive)) and n >= need(x)))}
 
     def rows(sets):
-        cols = [np.array([vocab[x] for x in s if x in vocab], np.int64) for s in sets]
-        return np.repeat(np.arange(len(sets)), [len(c) for c in cols]), np.concatenate([*cols, np.zeros(0, np.int64)])
+        cols = [np.array([vocab[x] for x in s.split() if x in vocab], np.int32) for s in sets]
+        return np.repeat(np.arange(len(sets), dtype=np.int32), [len(c) for c in cols]), np.concatenate([*cols, np.zeros(0, np.int32)])
 
     (pr, pc), (ur, uc), n = rows(positive), rows(unlabelled), len(vocab)
     w, b = np.zeros(n + 1), np.log(prior / (1 - prior))
@@ -65,9 +68,10 @@ def fit(positive: list[set[str]], unlabelled: list[set[str]], prior: float, epoc
         wd = np.append(w[:n] * (draw.random(n) >= drop), w[n])
         zp = np.bincount(pr, wd[pc], len(positive)) + w[n]
         zu = np.bincount(ur, wd[uc], len(unlabelled)) + w[n]
-        # logistic loss: log(1 + exp(-z)) for the label +1, log(1 + exp(z)) for -1
-        neg = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-        gp, gu = sig(zp) / len(positive), sig(zu) / len(unlabelled)
+        # logistic loss: log(1 + exp(-z)) for the label +1, log(1 + exp(z)) for -1, the latter capped at z = cap, so that
+        # a prior taken too large cannot drive the bias up without end
+        neg = np.logaddexp(0, np.minimum(zu, cap)).mean() - prior * np.logaddexp(0, np.minimum(zp, cap)).mean()
+        gp, gu = sig(zp) * (zp < cap) / len(positive), sig(zu) * (zu < cap) / len(unlabelled)
         plus = prior * (sig(zp) - 1) / len(positive)
         if neg >= 0:
             tp, tu = plus - prior * gp, gu
@@ -83,15 +87,15 @@ def fit(positive: list[set[str]], unlabelled: list[set[str]], prior: float, epoc
     return PuModel(keep, float(w[n]))
 
 
-def sample_words(docs: DataFrame, text_col: str, most: int) -> list[set[str]]:
-    """Word sets of up to `most` distinct texts, drawn by a hash of the text."""
+def sample_words(docs: DataFrame, text_col: str, most: int) -> list[str]:
+    """Words, each once, of up to `most` distinct texts, drawn by a hash of the text."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([" ".join(sorted(words(t))) for t in b.column(1).to_pylist()], pa.string())], ["h", "w"])
 
     got = docs.select(F.xxhash64(text_col).alias("h"), F.col(text_col).alias("t")).mapInArrow(cut, "h long, w string").collect()
-    return [set(w.split()) for _, w in sorted({(r.h, r.w) for r in got})[:most]]
+    return [w for _, w in sorted({(r.h, r.w) for r in got})[:most]]
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> PuModel | None:
