@@ -142,6 +142,8 @@ class ByteGru:
         for at in range(0, len(doc), block):
             s, n = start[at : at + block], length[at : at + block]
             x = padded[s[None, :] + steps[:, None]]
+            if n.min() < window:
+                x[steps[:, None] >= n[None, :]] = 0  # what follows a text is not part of its window
             p = self.positions(x)
             if n.min() < window:
                 p *= (steps[:, None] < n[None, :])[:, None, :]
