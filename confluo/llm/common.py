@@ -24,7 +24,9 @@ def words(text: str | None) -> list[str]:
     """Runs of anything but the six ASCII white-space characters."""
     if not text:
         return []
-    return _WORD.findall(text) if _ODD.search(text) else text.split()
+    if not text.isascii():
+        return _WORD.findall(text) if _ODD.search(text) else text.split()
+    return _WORD.findall(text) if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
 
 
 def ship(spark: SparkSession) -> None:

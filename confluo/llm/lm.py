@@ -27,14 +27,14 @@ from confluo.llm import common
 from confluo.llm.common import fold, scratch, ship
 
 DEPTH = 3
-BATCH_BYTES = 24_000_000
-_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+BATCH_BYTES = 12_000_000
 #: Stands for the end token; no word holds a space.
 END = " "
 
 
 def words(text: str) -> list[str]:
-    return common.words(text.translate(_LOWER))
+    """Words of a text, A-Z in lower case (bytes.lower() changes nothing else)."""
+    return common.words(text.encode().lower().decode())
 
 
 def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -150,6 +150,27 @@ def gram_values(codes: np.ndarray, n: np.ndarray, top: dict[str, np.ndarray]) ->
     return np.log10(p).reshape(-1, 8).sum(1)
 
 
+class Grams:
+    """Values of gram codes by two array look-ups: the context's row, then the byte in it."""
+
+    def __init__(self, codes: np.ndarray, values: np.ndarray):
+        used = np.unique(np.concatenate([codes >> k & 255 for k in (8, 16, 24)]))
+        self.place, self.width = np.zeros(256, np.int32), len(used)
+        self.place[used] = np.arange(len(used))
+        rows, inv = np.unique(self._context(codes), return_inverse=True)
+        self.row = np.zeros(self.width**3, np.int32)
+        self.row[rows] = np.arange(len(rows))
+        self.values = np.zeros((len(rows), 256))
+        self.values[inv, codes & 255] = values
+
+    def _context(self, codes: np.ndarray) -> np.ndarray:
+        p, n = self.place, self.width
+        return (p[codes >> 24] * n + p[codes >> 16 & 255]) * n + p[codes >> 8 & 255]
+
+    def __call__(self, codes: np.ndarray) -> np.ndarray:
+        return self.values[self.row[self._context(codes)], codes & 255]
+
+
 # -- the job ---------------------------------------------------------------------------------------------------------
 def _parts(t: pd.DataFrame, rows: int = 2000) -> Iterator[pd.DataFrame]:
     for at in range(0, len(t), rows):
@@ -215,22 +236,23 @@ def score(docs: DataFrame, train, id_col: str = "doc_id", text_col: str = "text"
         is_word = b["word"].notna()
         count = dict(zip(b.loc[is_word, "word"], b.loc[is_word, "value"], strict=True))
         count[END] = count.get(END, float(n_train))
-        cost = {w: np.log10(c + 1.0) - scale for w, c in count.items()}
-        known = {w for w, c in count.items() if c > 0}
-        g = b.loc[~is_word].sort_values("gram")
-        codes, value = g["gram"].to_numpy(np.int64).astype(np.uint32), g["value"].to_numpy(float)
+        names = list(count)
+        cost = dict(zip(names, (np.log10(np.fromiter(count.values(), float, len(names)) + 1.0) - scale).tolist(), strict=True))
+        unknown = float(np.log10(1.0) - scale)
+        find = Grams(b.loc[~is_word, "gram"].to_numpy(np.int64), b.loc[~is_word, "value"].to_numpy(float))
         out = []
         for p in _parts(t):
             texts = p["text"].tolist()
             c, sizes = grams(texts)
-            v = np.add.reduceat(value[np.searchsorted(codes, c)], np.cumsum(sizes) - sizes)
+            v = np.add.reduceat(find(c), np.cumsum(sizes) - sizes)
             n_tokens, n_known, base = [], [], []
             for x in texts:
                 w = words(x)
                 w.append(END)
+                each = list(map(cost.__getitem__, w))
                 n_tokens.append(len(w))
-                n_known.append(sum(map(known.__contains__, w)))
-                base.append(sum(map(cost.__getitem__, w)))
+                n_known.append(len(w) - each.count(unknown))
+                base.append(sum(each))
             out.append(pd.DataFrame({"doc_id": p["doc_id"], "held_out": ~p["train"].astype(bool), "n_tokens": n_tokens, "n_known": n_known, "train_tokens": tokens, "base_score": base, "score": v, "n_bytes": sizes}))
         if not out:
             return pd.DataFrame(columns=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes"])
