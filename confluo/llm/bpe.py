@@ -22,7 +22,7 @@ LEAF_CHARS = 16384
 #: Characters of one unsplit run that are encoded at once; longer runs are halved.
 RUN_CHARS = 512
 #: Entries of a worker's chunk cache; when full it starts anew, results stay the same.
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 200_000
 _SPLIT = "'s|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+"
 
 
