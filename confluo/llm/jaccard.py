@@ -39,7 +39,7 @@ class _Words(dict):
     def __missing__(self, word: str) -> int:
         import xxhash
 
-        if len(self) > 1_000_000:
+        if len(self) > 150_000:
             self.clear()
         self[word] = h = xxhash.xxh3_64_intdigest(word)
         return h
