@@ -1,12 +1,15 @@
 """Embedding near-duplicates by NN-descent.
 
 Equal vectors form one class, which is one row from then on. Each class has a list of its K nearest neighbours so far,
-first those of its bucket in a few random-projection trees; rounds of neighbours-of-neighbours joins (lists and
-reversed lists meet at a node, whose members are compared with each other) refine the lists until few change. A list
-whose K entries all reach the threshold is saturated: it is enlarged to all of the component of threshold edges that
-it lies in, compared in blocks, so that no link within a component is missed. An audit compares a drawn set of vectors
-with all others by brute force; links it misses are added, and below the target recall the descent starts again with
-more trees and longer lists. Cosines that decide are taken in double precision.
+first those of its bucket in a few random-projection trees; rounds of neighbours-of-neighbours joins (lists and reversed lists meet at a node,
+whose members are compared with each other) refine the lists until few change. A list whose K entries all reach the
+threshold is saturated. Saturated classes search again, among themselves, for the K nearest outside the components that
+links form so far, until no list is saturated (a link of two classes can be missing from both lists only where both are
+saturated). All pairs of a component are then compared in blocks, so that no link within one is missed.
+
+An audit compares a drawn set of vectors with all others by brute force; links it misses are added, and below the
+target recall the descent starts again with more trees and longer lists. Cosines that decide are taken in double
+precision.
 
 Edge cases: vectors that are null, empty, zero or hold null or non-finite components link with nothing; vectors of
 different lengths are never compared; repeated rows and ids count each; an empty table gives no rows.
@@ -26,8 +29,10 @@ from confluo.llm.common import components, scratch, ship, sorted_groups
 THRESHOLD, TARGET_RECALL = 0.9, 0.97
 #: Neighbours of a list, trees, classes of a tree's bucket, rounds of joins, share of changes that ends them.
 K, TREES, BUCKET, ROUNDS, CHANGES = 8, 8, 64, 4, 0.02
-#: Classes compared at once within a component; vectors drawn for the audit.
-BLOCK, AUDIT = 1024, 256
+#: Classes compared at once within a component; in single precision, cosines this far below the threshold are looked at.
+BLOCK, MARGIN = 1024, 1e-4
+#: Vectors drawn for the audit.
+AUDIT = 256
 
 
 def _classes(df: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, DataFrame]:
@@ -60,7 +65,7 @@ def _matrix(column: pa.ChunkedArray, kind=np.float32) -> np.ndarray:
 
 
 def _buckets(classes: DataFrame, n: int, trees: int, bucket: int, seed: int) -> DataFrame:
-    """(key, node, q): the bucket of each class in each tree; large buckets are dealt out by a hash."""
+    """(key, node, comp, q): the bucket of each class in each tree; large buckets are dealt out by a hash, other in each tree."""
     bits = max(0, int(np.ceil(np.log2(max(1, n) / bucket))))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,26 +79,26 @@ def _buckets(classes: DataFrame, n: int, trees: int, bucket: int, seed: int) ->
                 on = (_matrix(t.column("q")) @ planes[size] > 0).reshape(t.num_rows, trees, bits)
                 code = (on * (1 << np.arange(bits, dtype=np.int64))).sum(2) if bits else np.zeros((t.num_rows, trees), np.int64)
                 for k in range(trees):
-                    yield pa.RecordBatch.from_arrays([pa.array((code[:, k] * 64 + k) * 65536 + int(size)), t.column("node"), t.column("q")], ["path", "node", "q"])
+                    yield pa.RecordBatch.from_arrays([pa.array((code[:, k] * 4096 + k) * 65536 + int(size)), t.column("node"), t.column("comp"), t.column("q")], ["path", "node", "comp", "q"])
 
-    cur = classes.select("node", "d", "q").mapInArrow(split, "path long, node long, q binary")
+    cur = classes.select("node", "comp", "d", "q").mapInArrow(split, "path long, node long, comp long, q binary")
     sizes = cur.groupBy("path").agg(F.count("*").alias("n")).where("n > 1").withColumn("parts", F.ceil(F.col("n") / (4 * bucket)))
-    return cur.join(sizes, "path").select(F.xxhash64("path", F.pmod(F.xxhash64(F.lit(seed), "node"), F.col("parts"))).alias("key"), "node", "q")
+    return cur.join(sizes, "path").select(F.xxhash64("path", F.pmod(F.xxhash64(F.lit(seed), "path", "node"), F.col("parts"))).alias("key"), "node", "comp", "q")
 
 
 def _meet(members: DataFrame, k: int) -> DataFrame:
-    """(a, b, sim) of members (key, node, q, kth) that meet under a key, where it improves on a's list (kth)."""
+    """(a, b, sim) of members (key, node, comp, q, kth) of two components that meet under a key, where it improves on a's list (kth)."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, cut in sorted_groups(batches, "key"):
-            node, kth, raw = t.column("node").to_numpy(), t.column("kth").to_numpy(), t.column("q").to_pylist()
+            node, comp, kth, raw = t.column("node").to_numpy(), t.column("comp").to_numpy(), t.column("kth").to_numpy(), t.column("q").to_pylist()
             out = ([], [], [])
             for lo, hi in zip(cut, [*cut[1:], t.num_rows], strict=True):
                 if hi - lo < 2:
                     continue
                 x = np.frombuffer(b"".join(raw[lo:hi]), np.float32).reshape(hi - lo, -1)
                 s = x @ x.T
-                np.fill_diagonal(s, -2)
+                s[comp[lo:hi, None] == comp[None, lo:hi]] = -2
                 if hi - lo > k + 1:
                     least = np.maximum(np.partition(s, -k, axis=1)[:, -k], kth[lo:hi])
                 else:
@@ -115,17 +120,17 @@ def _best(edges: DataFrame, k: int) -> DataFrame:
 
 
 def descend(classes: DataFrame, n: int, k: int, trees: int, bucket: int, rounds: int, seed: int) -> DataFrame:
-    """The neighbour graph (a, b, sim, place)."""
+    """The graph (a, b, sim, place) of the nearest neighbours outside a class's component, comp."""
     start = _buckets(classes, n, trees, bucket, seed).withColumn("kth", F.lit(-2.0))
     graph = scratch(_best(_meet(start, k), k))
     for _ in range(rounds):
-        # reversed lists are drawn down to k by a hash; what that leaves out, the enlarging step reaches
+        # reversed lists are drawn down to k by a hash
         back = graph.select(F.col("b").alias("key"), F.col("a").alias("node"))
         back = back.withColumn("r", F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("node", "key")))).where(F.col("r") <= k).drop("r")
         own = graph.select("a").distinct()
         around = graph.select(F.col("a").alias("key"), F.col("b").alias("node")).unionAll(back).unionAll(own.select(F.col("a").alias("key"), F.col("a").alias("node"))).distinct()
         kth = graph.groupBy("a").agg(F.when(F.count("*") >= k, F.min("sim")).otherwise(-2.0).alias("kth")).withColumnRenamed("a", "node")
-        members = around.join(classes.select("node", "q"), "node").join(kth, "node", "left").select("key", "node", "q", F.coalesce("kth", F.lit(-2.0)).alias("kth"))
+        members = around.join(classes.select("node", "comp", "q"), "node").join(kth, "node", "left").select("key", "node", "comp", "q", F.coalesce("kth", F.lit(-2.0)).alias("kth"))
         new = scratch(_best(graph.select("a", "b", "sim").unionAll(_meet(members, k)), k))
         changed = new.join(graph.select("a", "b"), ["a", "b"], "left_anti").count()
         total = new.count()
@@ -148,6 +153,28 @@ def _exact(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
     return both.select("a", "b", "va", "vb").mapInArrow(sure, "a long, b long")
 
 
+def _found(classes: DataFrame, n: int, threshold: float, k: int, trees: int, bucket: int, rounds: int, seed: int) -> DataFrame:
+    """(a, b) links that one descent finds, and further ones among saturated classes until no list is saturated."""
+    some, links = classes.withColumn("comp", F.col("node")), None
+    while True:
+        graph = descend(some, n, k, trees, bucket, rounds, seed)
+        # single precision proposes with a margin; double precision decides
+        near = graph.where(F.col("sim") >= threshold - MARGIN).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        new = scratch(_exact(near, classes, threshold))
+        links = new if links is None else links.unionAll(new)
+        full = scratch(graph.groupBy("a").agg(F.count("*").alias("n"), F.min("sim").alias("least")).where((F.col("n") >= k) & (F.col("least") >= threshold - MARGIN)).select(F.col("a").alias("node")))
+        n = full.count()
+        if not n:
+            return links
+        comp = components(classes.select("node"), links).withColumnRenamed("component", "comp")
+        some = scratch(classes.join(full, "node").join(comp, "node"))
+        if some.select("comp").distinct().limit(2).count() < 2:
+            return links
+        if new.isEmpty():  # lists are full of cosines just below the threshold
+            k *= 2
+        seed += 1000
+
+
 def _audit(classes: DataFrame, threshold: float, most: int) -> DataFrame:
     """(a, b) linked pairs of up to `most` drawn classes, a, with all classes, by brute force."""
     drawn = classes.orderBy(F.xxhash64(F.lit(5), "node"), "node").limit(most).select("node", "v").collect()
@@ -206,10 +233,7 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
     n = classes.count()
     links = None
     for attempt in range(tries):
-        graph = descend(classes, n, k << attempt, trees << attempt, bucket, rounds, attempt)
-        # single precision proposes with a margin; double precision decides
-        near = graph.where(F.col("sim") >= threshold - 1e-4).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        new = _exact(near, classes, threshold)
+        new = _found(classes, n, threshold, k << attempt, trees << attempt, bucket, rounds, attempt)
         links = scratch(new if links is None else links.unionAll(new))
         members = scratch(components(classes.select("node"), links))
         side = lambda c: members.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))

@@ -39,3 +39,34 @@ def test_equals_all_pairs(spark):
         got = neighbours.near_duplicates(df, bucket=16, block=block).collect()
         assert sorted((g.vec_id, g.n_links, g.component_id) for g in got) == want
     assert neighbours.near_duplicates(df.limit(0)).count() == 0
+
+
+def linked(x):
+    """(links, least id of the component) of each row by all cosines."""
+    u = x / np.sqrt((x * x).sum(1))[:, None]
+    on = u @ u.T >= 0.9
+    low = np.arange(len(x))
+    while True:
+        new = np.where(on, low[None, :], len(x)).min(1)
+        if (new == low).all():
+            return [(i, int(n) - 1, int(c)) for i, (n, c) in enumerate(zip(on.sum(1), low, strict=True))]
+        low = new
+
+
+def table(spark, x):
+    return spark.createDataFrame([(i, [float(v) for v in a]) for i, a in enumerate(x)], "vec_id long, embedding array<double>")
+
+
+def found(df, **options):
+    return sorted((g.vec_id, g.n_links, g.component_id) for g in neighbours.near_duplicates(df, **options).collect())
+
+
+def test_links_between_tight_subgroups(spark, monkeypatch):
+    """Each list fills with a vector's own subgroup of 12 (cosines about 0.99); subgroups of a group are linked too."""
+    monkeypatch.setattr(neighbours, "AUDIT", 0)  # the descent alone
+    r = np.random.default_rng(7)
+    tops = r.normal(size=(10, 1, 1, 64))
+    x = (tops + r.normal(scale=0.2, size=(10, 4, 1, 64)) + r.normal(scale=0.05, size=(10, 4, 12, 64))).reshape(-1, 64)
+    want = linked(x)
+    assert len({c for _, _, c in want}) == 10 and min(n for _, n, _ in want) > 12
+    assert found(table(spark, x), tries=1) == want
