@@ -1,15 +1,18 @@
 """Embedding near-duplicates by NN-descent.
 
 Equal vectors form one class, which is one row from then on. Each class has a list of its K nearest neighbours so far,
-first those of its bucket in a few random-projection trees; rounds of neighbours-of-neighbours joins (lists and reversed lists meet at a node,
+first those of its bucket in random-projection trees (as many as a pair at the threshold needs to meet with the target
+recall, so more on larger tables); rounds of neighbours-of-neighbours joins (lists and reversed lists meet at a node,
 whose members are compared with each other) refine the lists until few change. A list whose K entries all reach the
 threshold is saturated. Saturated classes search again, among themselves, for the K nearest outside the components that
 links form so far, until no list is saturated (a link of two classes can be missing from both lists only where both are
 saturated). All pairs of a component are then compared in blocks, so that no link within one is missed.
 
-An audit compares a drawn set of vectors with all others by brute force; links it misses are added, and below the
-target recall the descent starts again with more trees and longer lists. Cosines that decide are taken in double
-precision.
+An audit compares drawn vectors with all others by brute force and is the judge of recall: the mean over drawn vectors
+with links, for each order of magnitude of their number of links, so that large groups cannot hide small ones. It draws
+until LINKED vectors with links are seen; where AUDIT_MOST draws hold fewer, two independent descents must agree. Below
+the target the descent starts again with more trees and longer lists, and at last all pairs are compared. Links that
+the audit finds are added. Cosines that decide are taken in double precision.
 
 Edge cases: vectors that are null, empty, zero or hold null or non-finite components link with nothing; vectors of
 different lengths are never compared; repeated rows and ids count each; an empty table gives no rows.
@@ -31,8 +34,8 @@ THRESHOLD, TARGET_RECALL = 0.9, 0.97
 K, TREES, BUCKET, ROUNDS, CHANGES = 8, 8, 64, 4, 0.02
 #: Classes compared at once within a component; in single precision, cosines this far below the threshold are looked at.
 BLOCK, MARGIN = 1024, 1e-4
-#: Vectors drawn for the audit.
-AUDIT = 256
+#: Vectors drawn first and at most for the audit, and drawn vectors with links that it needs.
+AUDIT, AUDIT_MOST, LINKED = 256, 16384, 64
 
 
 def _classes(df: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, DataFrame]:
@@ -175,19 +178,20 @@ def _found(classes: DataFrame, n: int, threshold: float, k: int, trees: int, buc
         seed += 1000
 
 
-def _audit(classes: DataFrame, threshold: float, most: int) -> DataFrame:
-    """(a, b) linked pairs of up to `most` drawn classes, a, with all classes, by brute force."""
-    drawn = classes.orderBy(F.xxhash64(F.lit(5), "node"), "node").limit(most).select("node", "v").collect()
-    ids = np.array([r.node for r in drawn], np.int64)
-    by: dict[int, tuple] = {}
+def _audit(classes: DataFrame, threshold: float, first: int, last: int) -> DataFrame:
+    """(a, b) linked pairs of drawn classes, a, number `first` to `last` by a hash, with all classes, by brute force."""
+    drawn = classes.orderBy(F.xxhash64(F.lit(5), "node"), "node").limit(last).select("node", "v").collect()[first:]
+    by: list[tuple] = []
     for size in {len(r.v) for r in drawn}:
-        own = [i for i, r in enumerate(drawn) if len(r.v) == size]
-        by[size] = ids[own], np.frombuffer(b"".join(bytes(drawn[i].v) for i in own), np.float64).reshape(len(own), -1)
+        own = [r for r in drawn if len(r.v) == size]
+        for at in range(0, len(own), 1024):
+            part = own[at : at + 1024]
+            by.append((size, np.array([r.node for r in part], np.int64), np.frombuffer(b"".join(bytes(r.v) for r in part), np.float64).reshape(len(part), -1)))
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             node, raw = b.column("node").to_numpy(), b.column("v").to_pylist()
-            for size, (a, x) in by.items():
+            for size, a, x in by:
                 at = np.array([i for i, r in enumerate(raw) if len(r) == size], np.int64)
                 for lo in range(0, len(at), 2048):
                     own = at[lo : lo + 2048]
@@ -198,6 +202,53 @@ def _audit(classes: DataFrame, threshold: float, most: int) -> DataFrame:
     return classes.select("node", "v").mapInArrow(look, "a long, b long")
 
 
+def _truth(classes: DataFrame, n: int, threshold: float) -> tuple[DataFrame, bool]:
+    """Links of drawn classes, and whether enough of these have links, or all classes are drawn."""
+    first, last, seen = 0, AUDIT, None
+    while True:
+        new = scratch(_audit(classes, threshold, first, last))
+        seen = new if seen is None else seen.unionAll(new)
+        enough = last >= n or seen.select("a").distinct().count() >= LINKED
+        if enough or last >= AUDIT_MOST or not last:
+            return seen, enough
+        first, last = last, min(2 * last, AUDIT_MOST)
+
+
+def _sides(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """Pairs (a, b) with the components ca and cb of both."""
+    side = lambda c: members.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
+    return pairs.join(side("a"), "a").join(side("b"), "b")
+
+
+def _reached(truth: DataFrame, members: DataFrame, target: float) -> bool:
+    """Whether drawn classes have the target share of their links within their component (where all pairs are compared),
+    on average over those with 1, with 2 to 3, with 4 to 7 links, and so on."""
+    each = _sides(truth, members).groupBy("a").agg(F.count("*").alias("n"), F.avg((F.col("ca") == F.col("cb")).cast("double")).alias("recall"))
+    return each.groupBy(F.floor(F.log2("n"))).agg(F.avg("recall").alias("r")).where(F.col("r") < target).isEmpty()
+
+
+def _across(classes: DataFrame, members: DataFrame, threshold: float, block: int) -> DataFrame:
+    """(a, b) links between components by comparing all classes, in blocks; one link for two components that meet in a block."""
+    sizes = classes.groupBy("d").agg(F.ceil(F.count("*") / block).cast("int").alias("nb"))
+    rows = classes.select("node", "d", "v").join(sizes, "d").join(members, "node").withColumn("b", F.pmod(F.xxhash64(F.lit("all"), "node"), F.col("nb")).cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+    rows = rows.select(F.xxhash64("d", F.least("b", "o"), F.greatest("b", "o")).alias("key"), F.when(F.col("b") <= F.col("o"), 1).otherwise(2).alias("side"), F.col("b") == F.col("o"), "node", "component", "v").toDF("key", "side", "one", "node", "component", "v")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t, cut in sorted_groups(batches, "key"):
+            node, comp, side, one, raw = t.column("node").to_numpy(), t.column("component").to_numpy(), t.column("side").to_numpy(), t.column("one").to_numpy(), t.column("v").to_pylist()
+            for lo, hi in zip(cut, [*cut[1:], t.num_rows], strict=True):
+                x, h, c = np.frombuffer(b"".join(raw[lo:hi]), np.float64).reshape(hi - lo, -1), node[lo:hi], comp[lo:hi]
+                right = 0 if one[lo] else int((side[lo:hi] == 1).sum())
+                for at in range(0, right or hi - lo, 512):
+                    to = min(at + 512, right or hi - lo)
+                    i, j = np.nonzero((x[at:to] @ x[right:].T >= threshold) & (c[at:to, None] != c[None, right:]))
+                    pairs = np.stack([c[at + i], c[right + j]])
+                    _, pick = np.unique(pairs, axis=1, return_index=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(h[at + i[pick]]), pa.array(h[right + j[pick]])], ["a", "b"])
+
+    return rows.repartition("key").sortWithinPartitions("key", "side").mapInArrow(compare, "a long, b long")
+
+
 def _enlarge(members: DataFrame, classes: DataFrame, threshold: float, block: int) -> DataFrame:
     """(node, w): documents linked to each class of components with company; all pairs of a component, in blocks."""
     sizes = members.groupBy("component").agg(F.ceil(F.count("*") / block).cast("int").alias("nb"), F.count("*").alias("n")).where("n > 1")
@@ -225,25 +276,38 @@ def _enlarge(members: DataFrame, classes: DataFrame, threshold: float, block: in
     return full.mapInArrow(count, "node long, w long").groupBy("node").agg(F.sum("w").alias("w"))
 
 
-def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = THRESHOLD, k: int = K, trees: int = TREES, bucket: int = BUCKET, rounds: int = ROUNDS, target: float = TARGET_RECALL, block: int = BLOCK, tries: int = 3) -> DataFrame:
+def _trees(n: int, bucket: int, threshold: float, target: float) -> int:
+    """Trees in which two vectors at the threshold share a bucket at least once, with the target as probability."""
+    bits = max(0.0, np.ceil(np.log2(max(1, n) / bucket)))
+    once = (1 - np.arccos(np.clip(threshold, -1, 1)) / np.pi) ** bits
+    return TREES if once >= target else int(min(2048, max(TREES, np.ceil(np.log(1 - target) / np.log(1 - once)))))
+
+
+def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = THRESHOLD, k: int = K, trees: int | None = None, bucket: int = BUCKET, rounds: int = ROUNDS, target: float = TARGET_RECALL, block: int = BLOCK, tries: int = 3) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id (least id of its component), kept (it has that id)."""
     ship(df.sparkSession)
     rows, classes = _classes(df, id_col, vec_col)
     rows = scratch(rows)
     n = classes.count()
-    links = None
+    trees = trees or _trees(n, bucket, threshold, target)
+    truth, enough = _truth(classes, n, threshold)
+    links, members, good = None, None, False
     for attempt in range(tries):
-        new = _found(classes, n, threshold, k << attempt, trees << attempt, bucket, rounds, attempt)
-        links = scratch(new if links is None else links.unionAll(new))
+        new = scratch(_found(classes, n, threshold, k << attempt, trees << attempt, bucket, rounds, attempt))
+        if not enough and members is not None:
+            # too few links for the audit: this descent's links are the sample by which the earlier ones are judged
+            total, known = _sides(new, members).agg(F.count("*"), F.coalesce(F.sum((F.col("ca") == F.col("cb")).cast("long")), F.lit(0))).first()
+            good = known >= target * total
+        links = new if links is None else links.unionAll(new)
         members = scratch(components(classes.select("node"), links))
-        side = lambda c: members.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
-        seen = scratch(_audit(classes, threshold, AUDIT)).join(side("a"), "a").join(side("b"), "b")
-        true, found = seen.agg(F.count("*"), F.coalesce(F.sum((F.col("ca") == F.col("cb")).cast("long")), F.lit(0))).first()
-        if found < true:
-            links = scratch(links.unionAll(seen.where("ca <> cb").select("a", "b")))
-            members = scratch(components(classes.select("node"), links))
-        if found >= target * true:
+        reached = _reached(truth, members, target)
+        good = reached and (enough or good)
+        if good:
             break
+    links = links.unionAll(truth)
+    members = scratch(components(classes.select("node"), links))
+    if not good:
+        members = scratch(components(classes.select("node"), links.unionAll(_across(classes, members, threshold, 4 * block))))
     weights = _enlarge(members, classes, threshold, block)
     stats = classes.select("node", "copies", "least").join(members, "node").join(weights, "node", "left")
     least = stats.groupBy("component").agg(F.min("least").alias("component_id"))

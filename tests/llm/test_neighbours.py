@@ -70,3 +70,14 @@ def test_links_between_tight_subgroups(spark, monkeypatch):
     want = linked(x)
     assert len({c for _, _, c in want}) == 10 and min(n for _, n, _ in want) > 12
     assert found(table(spark, x), tries=1) == want
+
+
+def test_large_group_does_not_hide_lost_pairs(spark):
+    """One tree and no rounds lose pairs, which are few among all links beside one large group."""
+    r = np.random.default_rng(8)
+    one = r.normal(size=32)
+    big = one + r.normal(scale=0.1, size=(500, 32))
+    single = r.normal(size=(500, 32))
+    pair = single[:400] + r.normal(scale=0.38, size=(400, 32))
+    x = np.concatenate([big, single, pair])
+    assert found(table(spark, x), trees=1, bucket=16, rounds=0, tries=2) == linked(x)
