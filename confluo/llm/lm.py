@@ -1,6 +1,6 @@
 """Language-model scoring: context-tree weighting over bytes, beside a unigram baseline over words.
 
-The text's bytes and one end byte 0 are predicted from the `DEPTH` bytes before them (0 before the start). Each byte is
+The text's bytes and one end byte 0 are predicted from the `depth` bytes before them (2 to 6; 0 before the start). Each byte is
 eight binary decisions; every decision node has a context tree over the preceding bytes, whose nodes hold
 Krichevsky-Trofimov estimates and are weighted over all depths (Willems, Shtarkov and Tjalkens 1995). The trees are
 learned from all training texts and then frozen; a text's score is the log10 probability it gets.
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from confluo.llm import common
 from confluo.llm.common import fold, scratch, ship
 
+#: Bytes of context, unless a caller asks for others.
 DEPTH = 3
 BATCH_BYTES = 12_000_000
 #: Stands for the end token; no word holds a space.
@@ -37,18 +38,21 @@ def words(text: str) -> list[str]:
     return common.words(text.encode().lower().decode())
 
 
-def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of (three bytes before, byte) for all positions of all texts, and the positions of each text.
+def grams(texts: list[str], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of (depth bytes before, byte) for all positions of all texts, and the positions of each text.
 
     A code is the byte before last ... first: c3 c2 c1 b with c1 the nearest; that is the big-endian reading.
     """
     raw = [t.encode() for t in texts]
     sizes = np.fromiter((len(r) + 1 for r in raw), np.int64, len(raw))
-    data = np.frombuffer(b"".join(b"\0\0\0" + r + b"\0" for r in raw), np.uint8).astype(np.uint32)
-    codes = (data[:-3] << 24) | (data[1:-2] << 16) | (data[2:-1] << 8) | data[3:]
+    data = np.frombuffer(b"".join(bytes(depth) + r + b"\0" for r in raw), np.uint8)
+    codes = data[: len(data) - depth].astype(np.int64)
+    for k in range(1, depth + 1):
+        codes <<= 8
+        codes |= data[k : len(data) - depth + k]
     keep = np.ones(len(codes), bool)
-    ends = np.cumsum(sizes + 3)[:-1]
-    for k in range(1, 4):  # windows that would reach from one text into the next
+    ends = np.cumsum(sizes + depth)[:-1]
+    for k in range(1, depth + 1):  # windows that would reach from one text into the next
         keep[ends - k] = False
     return codes[keep], sizes
 
@@ -89,13 +93,10 @@ def weigh(kt: np.ndarray, below: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return w, np.exp(kt - np.log(2) - w)
 
 
-def _bits(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each code's last byte: context (24 bits), decision node (1 to 255) and bit, eight rows a code."""
-    byte = (codes & 255).astype(np.int64)[:, None]
-    k = np.arange(8)[None, :]
-    node = (1 << k) | (byte >> (8 - k))
-    bit = (byte >> (7 - k)) & 1
-    return np.repeat(codes >> 8, 8), node.ravel(), bit.ravel()
+def _bits(codes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Decision node (1 to 255) and bit of decision k of each code's last byte."""
+    byte = codes & 255
+    return (1 << k) | (byte >> (8 - k)), (byte >> (7 - k)) & 1
 
 
 def _sum_by(key: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -103,26 +104,34 @@ def _sum_by(key: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     return (u, inv, *(np.bincount(inv, v, len(u)) for v in values))
 
 
-def _deep(codes: np.ndarray, n: np.ndarray) -> dict[str, np.ndarray]:
-    """Nodes of depth 3 and 2 for grams whose two nearest context bytes are all here."""
-    ctx, node, bit = _bits(codes)
-    reps = np.repeat(n, 8).astype(float)
-    key3 = (ctx.astype(np.int64) << 8) | node
-    u3, i3, n0, n1 = _sum_by(key3, reps * (bit == 0), reps * (bit == 1))
-    w3 = kt_block(n0, n1)
-    key2 = (u3 >> 8 & 0xFFFF) << 8 | (u3 & 255)
-    u2, i2, m0, m1, below = _sum_by(key2, n0, n1, w3)
-    w2, stay2 = weigh(kt_block(m0, m1), below)
-    return {"bit": bit, "i3": i3, "n0": n0, "n1": n1, "i2": i2, "u2": u2, "m0": m0, "m1": m1, "w2": w2, "stay2": stay2}
+def _deep(codes: np.ndarray, n: np.ndarray, k: int, depth: int) -> tuple[list[tuple[np.ndarray, ...]], np.ndarray, np.ndarray]:
+    """Nodes of decision k, level by level from the deepest to depth 2, for grams whose two nearest context bytes are all here.
+
+    Of each level: the place in it of each gram or node one level deeper, counts and the share of weight that stays; then
+    keys and weights of depth 2.
+    """
+    node, bit = _bits(codes, k)
+    key, n0, n1, levels = codes >> 8 << 8 | node, n * (bit == 0), n * (bit == 1), []
+    key, place, n0, n1 = _sum_by(key, n0, n1)
+    w, stay = kt_block(n0, n1), np.ones(len(key))
+    levels.append((place, n0, n1, stay))
+    for d in range(depth - 1, 1, -1):
+        key, place, n0, n1, below = _sum_by((key >> 8 & (1 << 8 * d) - 1) << 8 | key & 255, n0, n1, w)
+        w, stay = weigh(kt_block(n0, n1), below)
+        levels.append((place, n0, n1, stay))
+    return levels, key, w
 
 
 _UP = "c1 int, node int, n0 double, n1 double, w double"
 
 
-def _up(key: tuple, t: pd.DataFrame) -> pd.DataFrame:
-    d = _deep(t["gram"].to_numpy(np.int64), t["n"].to_numpy(float))
-    u, _, n0, n1, w = _sum_by(d["u2"] & 0xFFFF, d["m0"], d["m1"], d["w2"])
-    return pd.DataFrame({"c1": u >> 8, "node": u & 255, "n0": n0, "n1": n1, "w": w})
+def _up(key: tuple, t: pd.DataFrame, depth: int = DEPTH) -> pd.DataFrame:
+    out = []
+    for k in range(8):  # the decisions' trees are independent
+        levels, u2, w2 = _deep(t["gram"].to_numpy(np.int64), t["n"].to_numpy(float), k, depth)
+        u, _, n0, n1, w = _sum_by(u2 & 0xFFFF, levels[-1][1], levels[-1][2], w2)
+        out.append(pd.DataFrame({"c1": u >> 8, "node": u & 255, "n0": n0, "n1": n1, "w": w}))
+    return pd.concat(out)
 
 
 def shallow(rows: pd.DataFrame) -> dict[str, np.ndarray]:
@@ -136,39 +145,28 @@ def shallow(rows: pd.DataFrame) -> dict[str, np.ndarray]:
     return {"n0": a["n0"], "n1": a["n1"], "stay1": stay1, "r0": r0, "r1": r1, "stay0": stay0}
 
 
-def gram_values(codes: np.ndarray, n: np.ndarray, top: dict[str, np.ndarray]) -> np.ndarray:
+def gram_values(codes: np.ndarray, n: np.ndarray, top: dict[str, np.ndarray], depth: int = DEPTH) -> np.ndarray:
     """log10 of the frozen tree's probability of each gram's byte after its context."""
-    d = _deep(codes, n)
-    ctx, node, bit = _bits(codes)
-    c1 = (ctx & 255).astype(np.int64)
-    i3 = d["i3"]
-    i2 = d["i2"][i3]
-    p = kt_next(d["n0"][i3], d["n1"][i3], bit)
-    p = d["stay2"][i2] * kt_next(d["m0"][i2], d["m1"][i2], bit) + (1 - d["stay2"][i2]) * p
-    p = top["stay1"][c1, node] * kt_next(top["n0"][c1, node], top["n1"][c1, node], bit) + (1 - top["stay1"][c1, node]) * p
-    p = top["stay0"][node] * kt_next(top["r0"][node], top["r1"][node], bit) + (1 - top["stay0"][node]) * p
-    return np.log10(p).reshape(-1, 8).sum(1)
+    c1, out = codes >> 8 & 255, np.zeros(len(codes))
+    for k in range(8):
+        node, bit = _bits(codes, k)
+        p, at = 0.0, slice(None)
+        for place, n0, n1, stay in _deep(codes, n, k, depth)[0]:
+            at = place[at]
+            p = stay[at] * kt_next(n0[at], n1[at], bit) + (1 - stay[at]) * p
+        p = top["stay1"][c1, node] * kt_next(top["n0"][c1, node], top["n1"][c1, node], bit) + (1 - top["stay1"][c1, node]) * p
+        out += np.log10(top["stay0"][node] * kt_next(top["r0"][node], top["r1"][node], bit) + (1 - top["stay0"][node]) * p)
+    return out
 
 
 class Grams:
-    """Values of gram codes by two array look-ups: the context's row, then the byte in it."""
+    """Values of gram codes."""
 
     def __init__(self, codes: np.ndarray, values: np.ndarray):
-        used = np.unique(np.concatenate([codes >> k & 255 for k in (8, 16, 24)]))
-        self.place, self.width = np.zeros(256, np.int32), len(used)
-        self.place[used] = np.arange(len(used))
-        rows, inv = np.unique(self._context(codes), return_inverse=True)
-        self.row = np.zeros(self.width**3, np.int32)
-        self.row[rows] = np.arange(len(rows))
-        self.values = np.zeros((len(rows), 256))
-        self.values[inv, codes & 255] = values
-
-    def _context(self, codes: np.ndarray) -> np.ndarray:
-        p, n = self.place, self.width
-        return (p[codes >> 24] * n + p[codes >> 16 & 255]) * n + p[codes >> 8 & 255]
+        self.codes, self.values = pd.Index(codes), values
 
     def __call__(self, codes: np.ndarray) -> np.ndarray:
-        return self.values[self.row[self._context(codes)], codes & 255]
+        return self.values[self.codes.get_indexer(codes)]
 
 
 # -- the job ---------------------------------------------------------------------------------------------------------
@@ -177,11 +175,13 @@ def _parts(t: pd.DataFrame, rows: int = 2000) -> Iterator[pd.DataFrame]:
         yield t.iloc[at : at + rows]
 
 
-def score(docs: DataFrame, train, id_col: str = "doc_id", text_col: str = "text", batch_bytes: int = BATCH_BYTES) -> DataFrame:
+def score(docs: DataFrame, train, id_col: str = "doc_id", text_col: str = "text", batch_bytes: int = BATCH_BYTES, depth: int = DEPTH) -> DataFrame:
     """One row per document; train: a boolean Column over docs that says which texts the model learns from.
 
     doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes and bits_per_byte.
     """
+    if not 2 <= depth <= 6:  # a code is at most seven bytes of a long
+        raise ValueError("depth must be 2 to 6")
     ship(docs.sparkSession)
     src = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
     size, n_train = src.agg(F.coalesce(F.sum(F.octet_length("text") + 1), F.lit(0)), F.coalesce(F.sum(F.col("train").cast("long")), F.lit(0))).first()
@@ -201,34 +201,35 @@ def score(docs: DataFrame, train, id_col: str = "doc_id", text_col: str = "text"
                         learn.update(words(x))
                     else:
                         other.update(words(x))
-                u, k = np.unique(grams(texts)[0], return_counts=True)
+                u, k = np.unique(grams(texts, depth)[0], return_counts=True)
                 g.append((u, k if on else 0 * k))
         learn[END] += int(t["train"].sum())
         w = list(learn) + [x for x in other if x not in learn]
         u, inv = np.unique(np.concatenate([x for x, _ in g]), return_inverse=True)
         n = np.bincount(inv, np.concatenate([k for _, k in g]), len(u)).astype(np.int64)
+        # words have the gram -1: with nulls, pandas makes floats of a column, which hold no seven bytes
         return pd.concat([
-            pd.DataFrame({"batch": key[0], "word": w, "gram": None, "n": [learn.get(x, 0) for x in w]}),
+            pd.DataFrame({"batch": key[0], "word": w, "gram": -1, "n": [learn.get(x, 0) for x in w]}),
             pd.DataFrame({"batch": key[0], "word": None, "gram": u.astype(np.int64), "n": n}),
-        ]).astype({"gram": "Int64"})
+        ])
 
     sent = scratch(dealt.groupBy("batch").applyInPandas(gather, "batch int, word string, gram long, n long"))
-    own_w, own_g = sent.where("word IS NOT NULL").select("batch", "word", "n"), sent.where("gram IS NOT NULL").select("batch", "gram", "n")
+    own_w, own_g = sent.where("word IS NOT NULL").select("batch", "word", "n"), sent.where("word IS NULL").select("batch", "gram", "n")
     word_n = own_w.groupBy("word").agg(F.sum("n").alias("c"))
     tokens, distinct = word_n.where("c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     tokens, distinct = int(tokens), int(distinct)
 
-    # at most 4096 groups of at most 2^20 grams; all grams that share the two nearest bytes are in one
+    # at most 4096 groups; all grams that share the two nearest bytes are in one
     gram_n = scratch(own_g.groupBy("gram").agg(F.sum("n").alias("n")).withColumn("part", F.shiftright("gram", 12).bitwiseAND(F.lit(4095))))
-    up = gram_n.where("n > 0").groupBy("part").applyInPandas(_up, _UP).groupBy("c1", "node").agg(*(F.sum(c).alias(c) for c in ("n0", "n1", "w")))
+    up = gram_n.where("n > 0").groupBy("part").applyInPandas(lambda key, t: _up(key, t, depth), _UP).groupBy("c1", "node").agg(*(F.sum(c).alias(c) for c in ("n0", "n1", "w")))
     top = shallow(up.toPandas())
 
     def down(key: tuple, t: pd.DataFrame) -> pd.DataFrame:
         codes = t["gram"].to_numpy(np.int64)
-        return pd.DataFrame({"gram": codes, "value": gram_values(codes, t["n"].to_numpy(float), top)})
+        return pd.DataFrame({"gram": codes, "value": gram_values(codes, t["n"].to_numpy(float), top, depth)})
 
     values = gram_n.groupBy("part").applyInPandas(down, "gram long, value double")
-    back = own_w.join(word_n, "word").select("batch", "word", F.lit(None).cast("long").alias("gram"), F.col("c").cast("double").alias("value"))
+    back = own_w.join(word_n, "word").select("batch", "word", F.lit(-1).cast("long").alias("gram"), F.col("c").cast("double").alias("value"))
     back = back.unionAll(own_g.join(values, "gram").select("batch", F.lit(None).cast("string").alias("word"), "gram", "value"))
     scale = np.log10(tokens + 1.0 * (distinct + 1))
 
@@ -243,7 +244,7 @@ def score(docs: DataFrame, train, id_col: str = "doc_id", text_col: str = "text"
         out = []
         for p in _parts(t):
             texts = p["text"].tolist()
-            c, sizes = grams(texts)
+            c, sizes = grams(texts, depth)
             v = np.add.reduceat(find(c), np.cumsum(sizes) - sizes)
             n_tokens, n_known, base = [], [], []
             for x in texts:
@@ -263,6 +264,6 @@ def score(docs: DataFrame, train, id_col: str = "doc_id", text_col: str = "text"
     return scored.withColumn("bits_per_byte", -F.col("score") * F.lit(float(np.log2(10))) / F.col("n_bytes"))
 
 
-def evaluate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", parts: int = 7, held: int = 2) -> DataFrame:
+def evaluate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", parts: int = 7, held: int = 2, depth: int = DEPTH) -> DataFrame:
     """Score all texts, learning from those whose id's crc32 modulo parts is not held."""
-    return score(docs, ~F.coalesce(fold(id_col, parts) == held, F.lit(False)), id_col, text_col)
+    return score(docs, ~F.coalesce(fold(id_col, parts) == held, F.lit(False)), id_col, text_col, depth=depth)

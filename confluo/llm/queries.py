@@ -43,7 +43,7 @@ def op8_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm.evaluate(table(spark, sf_dir, "documents"))
+    return lm.evaluate(table(spark, sf_dir, "documents"), depth=6)
 
 
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -95,3 +95,18 @@ def test_probabilities_sum_to_one():
     all_codes = np.union1d(every, same)
     v = lm.gram_values(all_codes, np.array([have.get(int(c), 0.0) for c in all_codes]), top)
     assert sum(10 ** v[np.isin(all_codes, every)]) == pytest.approx(1)
+
+
+def test_depth(spark):
+    """The next word hangs on a byte that lies beyond three bytes; scores equal the node-by-node version."""
+    import zlib
+
+    texts = ["".join(f"{'abcdefgh'[(i + j) % 8]}ing " for j in range(20)) for i in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    train = [t for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 7 != 2]
+    total = {}
+    for depth in (3, 6):
+        got = lm.evaluate(df, depth=depth).collect()
+        assert {x.doc_id: round(x.score, 6) for x in got if x.doc_id < 9} == {i: round(s, 6) for i, s in enumerate(brute(train, texts[:9], depth))}
+        total[depth] = sum(x.score for x in got if x.held_out)
+    assert total[6] > sum(x.base_score for x in got if x.held_out) / 2 > total[3]
