@@ -5,8 +5,8 @@ has a sketch of minhashes, its sampled tokens. In every run, all classes start i
 the token that the bucket's path chooses; buckets of one are dropped, those of up to LEAF classes (or that a split
 leaves mostly whole, which only groups of similar sets do) are compared by brute force, in blocks, so that no bucket
 meets in one task. A pair is compared where it first meets; its sketch must allow the threshold (five standard
-deviations below), and the shingles themselves then decide. Runs are repeated until the number of links met once and
-twice says (Chao's estimate) that the target recall is reached.
+deviations below), and the shingles themselves then decide. Runs are repeated until the number of new links met once and
+twice says (Chao's estimate) that the target recall of all pairs of classes is reached; if it never is, that is an error.
 
 Words are cut at the six ASCII white-space characters; a text of one to four words is one shingle. Edge cases: null
 and empty texts have no shingle and link with nothing; repeated rows and ids are documents of their own; an empty
@@ -26,9 +26,12 @@ from pyspark.sql import functions as F
 from confluo.llm.common import components, scratch, ship, sorted_groups, words
 
 WORDS, THRESHOLD, TARGET_RECALL = 5, 0.8, 0.995
-#: Runs of one round, rounds, and tokens that one level below the first may choose from.
-RUNS, ROUNDS, CHOICES, LEVELS = 16, 2, 8, 8
-TOKENS = RUNS * ROUNDS + CHOICES * LEVELS
+#: Runs of one round, tokens that runs start with in turn, and tokens that one level below the first may choose from (a
+#: path knows its run, so later runs that start with the same token split in other ways).
+RUNS, FIRST, CHOICES, LEVELS = 16, 32, 8, 8
+TOKENS = FIRST + CHOICES * LEVELS
+#: Rounds without the target recall that are an error.
+ERROR = 64
 LEAF, BLOCK = 400, 1024
 _SEEDS = np.random.default_rng(12345).integers(1, 1 << 63, (2, TOKENS), dtype=np.uint64)
 
@@ -98,7 +101,7 @@ def _token(at) -> F.Column:
 def _leaves(reps: DataFrame, first_run: int, leaf: int) -> DataFrame:
     """(h, run, path, n): the leaf bucket of each class in each run, where it has company."""
     runs = F.explode(F.array(*(F.lit(r) for r in range(first_run, first_run + RUNS)))).alias("run")
-    cur = reps.select("h", "sig", runs).select("h", "run", F.xxhash64("run", _token(F.col("run"))).alias("path"), F.lit(1 << 60).alias("parent_n"))
+    cur = reps.select("h", "sig", runs).select("h", "run", F.xxhash64("run", _token(F.pmod(F.col("run"), F.lit(FIRST)))).alias("path"), F.lit(1 << 60).alias("parent_n"))
     found = None
     for level in range(1, LEVELS + 1):
         sizes = cur.groupBy("path").agg(F.count("*").alias("n")).where("n > 1")
@@ -109,7 +112,7 @@ def _leaves(reps: DataFrame, first_run: int, leaf: int) -> DataFrame:
         rest = sized.where(~whole)
         if rest.isEmpty():
             break
-        at = F.lit(RUNS * ROUNDS + CHOICES * (level - 1)) + F.pmod(F.xxhash64(F.lit("token"), "path"), F.lit(CHOICES)).cast("int")
+        at = F.lit(FIRST + CHOICES * (level - 1)) + F.pmod(F.xxhash64(F.lit("token"), "path"), F.lit(CHOICES)).cast("int")
         cur = rest.join(reps.select("h", "sig"), "h").select("h", "run", F.xxhash64("path", _token(at)).alias("path"), F.col("n").alias("parent_n"))
     return found
 
@@ -175,7 +178,7 @@ def _forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 
 
 def _compare(dealt: DataFrame, docs: DataFrame, reps: DataFrame, runs: int, threshold: float) -> DataFrame:
-    """(h, root, w, once, twice) for dealt classes with a link: w documents linked, links met in one and two runs."""
+    """(h, root, w, pairs, once, twice) for dealt classes with a link: w documents linked, links, those met in one and two runs."""
     least = max(1.0, (threshold - 5 * (threshold * (1 - threshold) / TOKENS) ** 0.5) * TOKENS)
     part = dealt.repartition("key").sortWithinPartitions("key")
 
@@ -205,7 +208,7 @@ def _compare(dealt: DataFrame, docs: DataFrame, reps: DataFrame, runs: int, thre
             run, side, sig, met = _arrays(t, runs)
             h, copies = t.column("h").to_numpy(), t.column("copies").to_numpy()
             raw = t.column("shingles").to_pylist()
-            root, w, once, twice = h.copy(), np.zeros(len(h), np.int64), np.zeros(len(h), np.int64), np.zeros(len(h), np.int64)
+            root, w, pairs, once, twice = h.copy(), np.zeros(len(h), np.int64), np.zeros(len(h), np.int64), np.zeros(len(h), np.int64), np.zeros(len(h), np.int64)
             for a, b in zip(cut, [*cut[1:], t.num_rows], strict=True):
                 i, j = _pairs(run[a], side[a:b], sig[a:b], met[a:b], least)
                 if not len(i):
@@ -219,12 +222,13 @@ def _compare(dealt: DataFrame, docs: DataFrame, reps: DataFrame, runs: int, thre
                 np.add.at(w, a + i, copies[a + j])
                 np.add.at(w, a + j, copies[a + i])
                 times = ((met[a:b][i] == met[a:b][j]) & (met[a:b][i] != 0)).sum(1)
+                np.add.at(pairs, a + i, 1)
                 np.add.at(once, a + i, times == 1)
                 np.add.at(twice, a + i, times == 2)
             on = w > 0
-            yield pa.RecordBatch.from_arrays([pa.array(x[on]) for x in (h, root, w, once, twice)], ["h", "root", "w", "once", "twice"])
+            yield pa.RecordBatch.from_arrays([pa.array(x[on]) for x in (h, root, w, pairs, once, twice)], ["h", "root", "w", "pairs", "once", "twice"])
 
-    return full.mapInArrow(verify, "h long, root long, w long, once long, twice long")
+    return full.mapInArrow(verify, "h long, root long, w long, pairs long, once long, twice long")
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, target: float = TARGET_RECALL, leaf: int = LEAF, block: int = BLOCK) -> DataFrame:
@@ -240,8 +244,8 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
     reps = scratch(reps)
     # the sketch's lowest byte of each token is enough to estimate similarity
     low = F.unhex(F.concat(*(F.hex(F.substring("sig", 4 * i + 1, 1)) for i in range(TOKENS))))
-    leaves, found = None, None
-    for k in range(ROUNDS):
+    leaves, found, total = None, None, 0
+    for k in range(ERROR):
         new = _leaves(reps, k * RUNS, leaf)
         leaves = new if leaves is None else leaves.unionAll(new)
         runs = RUNS * (k + 1)
@@ -259,10 +263,13 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
         )
         links = scratch(_compare(dealt, docs, reps, runs, threshold))
         found = links if found is None else found.unionAll(links)
-        n, once, twice = links.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("w", "once", "twice"))).first()
+        n, once, twice = links.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("pairs", "once", "twice"))).first()
+        total += n
         missed = once * (once - 1) / (2 * (twice + 1))
-        if missed <= (1 - target) * max(1, n / 2):
+        if missed <= (1 - target) * max(1, total):
             break
+    else:
+        raise RuntimeError("the target recall was not reached")
     linked = components(reps.select(F.col("h").alias("node")), found.where("h <> root").select(F.col("h").alias("a"), F.col("root").alias("b")))
     stats = reps.select("h", "copies", F.col("first.doc_id").alias("least")).join(linked.withColumnRenamed("node", "h"), "h").join(found.groupBy("h").agg(F.sum("w").alias("w")), "h", "left")
     ids = stats.groupBy("component").agg(F.min("least").alias("class_id"))

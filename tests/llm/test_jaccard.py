@@ -55,3 +55,21 @@ def test_equals_all_pairs(spark):
         got = jaccard.join(df, leaf=leaf, block=block)
         assert sorted((x.doc_id, x.class_id, x.n_links) for x in got.collect()) == brute(rows)
     assert jaccard.join(df.limit(0)).count() == 0
+
+
+def test_runs_go_on_until_the_estimate_is_reached(spark, monkeypatch):
+    """With one run in a round, two rounds lose pairs; copies of one linked pair must not raise the tolerance."""
+    import random
+
+    from confluo.llm import jaccard
+
+    monkeypatch.setattr(jaccard, "RUNS", 1)
+    r = random.Random(1)
+    rows = []
+    for i in range(300):
+        w = [f"w{r.randrange(10**6)}" for _ in range(60)]
+        other = [*w[:30], "other", *w[31:]]
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(other))]
+    rows += [(1000 + k, rows[k % 2][1]) for k in range(400)]
+    got = jaccard.join(spark.createDataFrame(rows, "doc_id long, text string")).where("doc_id < 600").collect()
+    assert sum(x.n_links == 0 for x in got) <= 2
