@@ -5,37 +5,49 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from confluo.scratch import scratch
+
 
 def number(df: DataFrame, order: list[Column], out: str = "number", partitions: int | None = None) -> DataFrame:
-    """Add dense numbers 1..n in a total order.
+    """Add dense numbers 1..n in an order; rows that tie in it get numbers in any order.
 
-    Rows are range-partitioned on the order and numbered within their partition, whose offset comes from the counts of
-    the partitions before it (one row a partition), so no task sees all rows. The order must be total.
+    Rows are range-partitioned and sorted once and written to the shared folder with their partition and their place in
+    it; a row's number is its place plus the rows of the partitions before it (one row a partition), so no task sees all
+    rows. They are written since a range exchange that runs twice may cut elsewhere. An empty table stays empty.
     """
     names = [f"_o{i}" for i in range(len(order))]
     keyed = df.select("*", *(c.alias(n) for c, n in zip(order, names, strict=True)))
-    part = keyed.repartitionByRange(*([partitions] if partitions else []), *names).withColumn("_p", F.spark_partition_id())
-    # bounds of each partition in the order name it whatever runs again later
-    low = part.groupBy("_p").agg(F.min(F.struct(*names)).alias("lo"), F.count("*").alias("n"))
-    starts = low.select("lo", (F.sum("n").over(Window.orderBy("lo")) - F.col("n")).alias("before"))
-    w = Window.partitionBy("_p").orderBy(*names)
-    inside = part.withColumn("_first", F.min(F.struct(*names)).over(Window.partitionBy("_p"))).withColumn("_r", F.row_number().over(w))
-    j = inside.join(F.broadcast(starts), F.col("_first") == F.col("lo"))  # one row a partition
-    return j.withColumn(out, (F.col("_r") + F.col("before")).cast("long")).drop(*names, "_p", "_first", "_r", "lo", "before")
+    placed = keyed.repartitionByRange(*([partitions] if partitions else []), *names).sortWithinPartitions(*names).drop(*names)
+    # the low 33 bits of such an id count the rows of a partition, the others are the partition
+    at = scratch(placed.withColumn("_at", F.monotonically_increasing_id()).withColumn("_p", F.shiftright("_at", 33)).withColumn("_r", F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))).drop("_at"))
+    n = at.groupBy("_p").agg(F.count("*").alias("n"))
+    before = n.select("_p", (F.sum("n").over(Window.orderBy("_p")) - F.col("n")).alias("_before"))
+    # one row a partition of the sort: a bound on what is broadcast
+    return at.join(F.broadcast(before), "_p").withColumn(out, (F.col("_r") + F.col("_before") + 1).cast("long")).drop("_p", "_r", "_before")
+
+
+def _in_groups(df: DataFrame, group: Column, order: str) -> DataFrame:
+    """Add _turn (from 1), the place within the group, and _low and _size, the group's least order and number of rows.
+
+    Numbered over all rows, so that a group of any size is sorted by many tasks.
+    """
+    all_ = number(df.withColumn("_g", group), [F.col("_g"), F.col(order)], "_n")
+    first = all_.groupBy("_g").agg(F.min("_n").alias("_first"), F.min(order).alias("_low"), F.count("*").alias("_size"))
+    joined = all_.alias("a").join(first.alias("f"), F.col("a._g").eqNullSafe(F.col("f._g")))
+    return joined.select("a.*", "_low", "_size", (F.col("_n") - F.col("_first") + 1).alias("_turn")).drop("_g", "_n")
 
 
 def interleave(df: DataFrame, group: Column, pos: str, out: str = "turn") -> DataFrame:
     """Round-robin over groups: add turn (place within the group) and first (the group's first place); sorting by
     both gives the order."""
-    return df.withColumn("_g", group).withColumn(out, F.row_number().over(Window.partitionBy("_g").orderBy(pos))).withColumn("first", F.min(pos).over(Window.partitionBy("_g"))).drop("_g")
+    return _in_groups(df, group, pos).withColumnsRenamed({"_turn": out, "_low": "first"}).drop("_size")
 
 
 def systematic_sample(df: DataFrame, group: str, order: str, k: int) -> DataFrame:
     """Every max(1, n // k)-th row of each group, the first k of them."""
-    n = F.count("*").over(Window.partitionBy(group))
-    r = F.row_number().over(Window.partitionBy(group).orderBy(order)) - 1
-    placed = df.withColumn("_n", n).withColumn("_r", r).withColumn("_s", F.greatest(F.lit(1), F.floor(F.col("_n") / k)))
-    return placed.where((F.col("_r") % F.col("_s") == 0) & (F.col("_r") / F.col("_s") < k)).drop("_n", "_r", "_s")
+    step = F.greatest(F.lit(1), F.floor(F.col("_size") / k))
+    placed = _in_groups(df, F.col(group), order)
+    return placed.where(((F.col("_turn") - 1) % step == 0) & ((F.col("_turn") - 1) / step < k)).drop("_turn", "_low", "_size")
 
 
 def publish(df: DataFrame, number_: Column, external: Column, own: Column, name: Column, asset: Column, country: Column, category: Column) -> DataFrame:

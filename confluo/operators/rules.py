@@ -62,11 +62,11 @@ def name_patterns(name, categories, *, within, any_case=(), cased=(), reason="ra
 
 
 def event_expiry(start, kind, *, as_of: Column, hours: dict[str, float], default_hours: float, enabled: bool = True) -> Column:
-    """Expired when as_of is past the start by more than the kind's duration; unknown starts stay."""
+    """Expired when as_of is past the start by more than the kind's duration, in hours or parts of one; unknown starts stay."""
     if not enabled:
         return F.lit(KEEP)
     length = reduce(lambda rest, kv: F.when(col(kind) == kv[0], float(kv[1])).otherwise(rest), hours.items(), F.lit(float(default_hours)))
-    end = col(start) + F.make_dt_interval(F.lit(0), length.cast("int"), F.lit(0), F.lit(0))
+    end = col(start) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (length * 3600).cast("decimal(18,6)"))
     return F.when(F.coalesce(as_of > end, F.lit(False)), F.concat(F.lit("event-ended:"), F.date_format(col(start), "yyyy-MM-dd HH:mm:ss"))).otherwise(KEEP)
 
 

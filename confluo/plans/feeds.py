@@ -97,9 +97,9 @@ def adapter_blank_fill(spark, d):
 @query()
 def xml_names(spark, d):
     """Parts as an XML guide, written and read back."""
-    from confluo.plans.health import _scratch
+    from confluo.scratch import folder
 
-    path = _scratch(spark)
+    path = folder(spark)
     p = table(spark, d, "part").select(F.concat("p_brand", F.lit("."), F.col("p_partkey").cast("string")).alias("_id"), F.array(F.struct(F.col("p_name").alias("_VALUE"), F.lit("en").alias("_lang"))).alias("display-name"))
     p.write.format("xml").option("rowTag", "channel").option("rootTag", "tv").save(path)
     return feeds.read_xml_names(spark, path).select("ext_id", F.col("names")[0]["name"].alias("name"), F.col("names")[0]["lang"].alias("lang"))

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from confluo.operators import health
 from confluo.plans.registry import query, table
+from confluo.scratch import folder
 from confluo.streaming.health_stream import fold_stream
 
 _RUNS = "SELECT user_id, ts, event_id, ok, sum(ok::INT) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM (SELECT *, event_type = 'purchase' AS ok FROM events)"
@@ -41,17 +40,10 @@ def upsert_present(spark, d):
     return health.upsert(state, fold(e.where("ts >= '2024-01-10' AND ts < '2024-01-11'")), "user_id")
 
 
-def _scratch(spark) -> str:
-    import tempfile
-
-    top = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir() + "/spark-scratch"
-    return f"{top.rstrip('/')}/{uuid.uuid4().hex}"
-
-
 @query()
 def health_fold_stream(spark, d):
     """Final states of the fold run as a stream over the events table; equal to health_fold."""
-    path = _scratch(spark)
+    path = folder(spark)
     src = spark.readStream.schema(table(spark, d, "events").schema).parquet(f"{d}/events.parque[t]")
     checks = src.select("user_id", "ts", "event_id", (F.col("event_type") == "purchase").alias("ok"))
 
@@ -68,7 +60,7 @@ def ingest_rebuild(spark, d):
     """Snapshots of lineitem arrive as a stream; the best candidate of each entity is rebuilt for those touched."""
     from confluo.operators import survive
 
-    path = _scratch(spark)
+    path = folder(spark)
     src = spark.readStream.schema(table(spark, d, "lineitem").schema).parquet(f"{d}/lineitem.parque[t]")
 
     def rebuild(batch, n):

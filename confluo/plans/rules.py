@@ -47,10 +47,10 @@ def rule_patterns(spark, d):
     return table(spark, d, "part").select("p_partkey", R.name_patterns(both, cats, within=["music"], any_case=[r"\|.*GREEN"], cased=[r"^[A-Z]+ "]).alias("reason"))
 
 
-@query("SELECT o_orderkey, CASE WHEN o_orderkey % 7 <> 0 AND TIMESTAMP '1996-06-01' > o_orderdate + to_hours(CASE o_orderpriority WHEN '1-URGENT' THEN 2 WHEN '2-HIGH' THEN 24 WHEN '5-LOW' THEN 2400 ELSE 240 END) THEN 'event-ended:' || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') ELSE '' END AS reason FROM orders")
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 7 <> 0 AND TIMESTAMP '1996-06-01 02:15:00' > o_orderdate + to_minutes(CASE o_orderpriority WHEN '1-URGENT' THEN 120 WHEN '2-HIGH' THEN 1440 WHEN '5-LOW' THEN 144000 ELSE 150 END) THEN 'event-ended:' || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') ELSE '' END AS reason FROM orders")
 def rule_event_expiry(spark, d):
     start = F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderdate"))
-    reason = R.event_expiry(start, "o_orderpriority", as_of=F.lit("1996-06-01").cast("timestamp_ntz"), hours={"1-URGENT": 2, "2-HIGH": 24, "5-LOW": 2400}, default_hours=240)
+    reason = R.event_expiry(start, "o_orderpriority", as_of=F.lit("1996-06-01 02:15:00").cast("timestamp_ntz"), hours={"1-URGENT": 2, "2-HIGH": 24, "5-LOW": 2400}, default_hours=2.5)
     return table(spark, d, "orders").select("o_orderkey", reason.alias("reason"))
 
 
@@ -62,7 +62,7 @@ def rule_exclude(spark, d):
 
 @query("SELECT n_nationkey, CASE WHEN contains(' ' || lower(n_name) || ' ', ' china ') OR n_nationkey % 10 = 9 THEN '' WHEN n_nationkey % 6 = 5 THEN 'country:unknown' WHEN r_name IN ('EUROPE', 'ASIA') THEN '' ELSE 'country:' || r_name END AS reason FROM nation JOIN region ON n_regionkey = r_regionkey")
 def rule_allow_list(spark, d):
-    n = table(spark, d, "nation").join(F.broadcast(table(spark, d, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
+    n = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     known = F.when(F.col("n_nationkey") % 6 == 5, F.array().cast("array<string>")).otherwise(F.array("r_name"))
     cats = F.when(F.col("n_nationkey") % 10 == 9, F.array(F.lit("sports"))).otherwise(F.array(F.lit("news")))
     return n.select("n_nationkey", R.allow_list("n_name", cats, known, allow=["EUROPE", "ASIA"], brands=["china"], except_categories=["sports"]).alias("reason"))

@@ -1,9 +1,11 @@
 """Operators on small hand-made tables."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from confluo.functions import names
 from confluo.operators import checks, health, lookup, match, order, resolve, rules, survive
+from confluo.scratch import folder
 from confluo.sources import feeds, playlists
 
 
@@ -120,3 +122,36 @@ def test_entry_and_names_agree():
     import __spark_entry__ as e
 
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_no_row_is_lost_when_numbers_come_from_many_sampled_ranges(spark, adaptive):
+    """A million rows over 200 ranges, where the bounds come from a sample; all columns are written."""
+    was = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        df = spark.range(1_000_000).select(F.xxhash64("id").alias("k"), (F.col("id") % 3).alias("third"), F.col("id").cast("string").alias("other"))
+        path = folder(spark)
+        order.number(df, [F.col("third"), F.col("k")], partitions=200).write.parquet(path)
+        got = spark.read.parquet(path)
+        first = got.agg(F.count("*").alias("n"), F.countDistinct("number").alias("d"), F.min("number").alias("lo"), F.max("number").alias("hi"), F.countDistinct("other").alias("o")).first()
+        assert tuple(first) == (1_000_000, 1_000_000, 1, 1_000_000, 1_000_000)
+        before = got.select("number", F.struct("third", "k").alias("x")).join(got.select((F.col("number") + 1).alias("number"), F.struct("third", "k").alias("y")), "number")
+        assert before.where("x <= y").isEmpty()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", was)
+    assert order.number(df.limit(0), [F.col("k")]).count() == 0
+
+
+def test_groups_are_interleaved_and_sampled(spark):
+    df = spark.createDataFrame([("a", i) for i in range(50)] + [("b", i) for i in range(100, 103)] + [(None, 7)], "g string, i int")
+    got = {(r.g, r.i): (r.turn, r.first) for r in order.interleave(df, F.col("g"), "i").collect()}
+    assert got == {("a", i): (i + 1, 0) for i in range(50)} | {("b", 100 + i): (i + 1, 100) for i in range(3)} | {(None, 7): (1, 7)}
+    assert sorted((r.g or "", r.i) for r in order.systematic_sample(df, "g", "i", 4).collect()) == [("", 7), ("a", 0), ("a", 12), ("a", 24), ("a", 36), ("b", 100), ("b", 101), ("b", 102)]
+
+
+def test_events_last_parts_of_hours(spark):
+    df = spark.sql("SELECT timestamp_ntz '2026-01-01 10:00:00' AS start, 'any' AS kind")
+    late = lambda at, hours: df.select(rules.event_expiry("start", "kind", as_of=F.lit(at).cast("timestamp_ntz"), hours={}, default_hours=hours)).first()[0]
+    assert late("2026-01-01 12:15:00", 2.5) == "" and late("2026-01-01 12:31:00", 2.5) == "event-ended:2026-01-01 10:00:00"
+    assert late("2026-01-01 10:00:31", 0.01) == "" and late("2026-01-01 10:00:37", 0.01) != ""
