@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,17 +21,37 @@ CODES = (
 ).split()
 #: Names by which sources call countries.
 NAMES = {
-    "united states": "US", "usa": "US", "united kingdom": "GB", "uk": "GB", "canada": "CA", "australia": "AU", "germany": "DE",
-    "france": "FR", "spain": "ES", "italy": "IT", "brazil": "BR", "mexico": "MX", "argentina": "AR", "india": "IN", "japan": "JP",
-    "china": "CN", "egypt": "EG", "kenya": "KE", "morocco": "MA", "peru": "PE", "romania": "RO", "russia": "RU", "vietnam": "VN",
-    "iran": "IR", "iraq": "IQ", "jordan": "JO", "ethiopia": "ET", "algeria": "DZ", "indonesia": "ID", "mozambique": "MZ",
-    "saudi arabia": "SA", "netherlands": "NL", "portugal": "PT", "sweden": "SE", "norway": "NO", "denmark": "DK", "finland": "FI",
-    "poland": "PL", "turkey": "TR", "greece": "GR", "austria": "AT", "switzerland": "CH", "belgium": "BE", "ireland": "IE", "tanzania": "TZ",
-}
+    name: code
+    for code, name in (
+        x.strip().split(" ", 1)
+        for x in """
+        AF afghanistan | AL albania | DZ algeria | AR argentina | AU australia | AT austria | AZ azerbaijan | BD bangladesh | BY belarus |
+        BE belgium | BO bolivia | BA bosnia | BR brazil | BG bulgaria | BF burkina faso | KH cambodia | CM cameroon | CA canada | CL chile |
+        CN china | CO colombia | CG congo | CR costa rica | HR croatia | CU cuba | CY cyprus | CZ czech republic | CZ czechia | DK denmark |
+        EC ecuador | EG egypt | SV el salvador | EE estonia | ET ethiopia | FI finland | FR france | GE georgia | DE germany | GH ghana |
+        GR greece | GT guatemala | HN honduras | HK hong kong | HU hungary | IS iceland | IN india | ID indonesia | IR iran | IQ iraq |
+        IE ireland | IL israel | IT italy | CI ivory coast | JM jamaica | JP japan | JO jordan | KZ kazakhstan | KE kenya | KW kuwait |
+        LV latvia | LB lebanon | LY libya | LT lithuania | LU luxembourg | MY malaysia | MV maldives | ML mali | MT malta | MX mexico |
+        MD moldova | MN mongolia | ME montenegro | MA morocco | MZ mozambique | MM myanmar | MM burma | NP nepal | NL netherlands |
+        NL holland | NZ new zealand | NG nigeria | MK north macedonia | MK macedonia | NO norway | OM oman | PK pakistan | PA panama |
+        PY paraguay | PE peru | PH philippines | PL poland | PT portugal | QA qatar | RO romania | RU russia | RU russian federation |
+        RW rwanda | SA saudi arabia | SN senegal | RS serbia | SL sierra leone | SG singapore | SK slovakia | SI slovenia | SO somalia |
+        ZA south africa | KR south korea | KR korea | ES spain | LK sri lanka | SD sudan | SE sweden | CH switzerland | TW taiwan |
+        TZ tanzania | TH thailand | TN tunisia | TR turkey | TR turkiye | UG uganda | UA ukraine | AE united arab emirates |
+        GB united kingdom | GB great britain | GB britain | GB england | GB scotland | GB wales | GB uk | US united states |
+        US united states of america | US usa | UY uruguay | UZ uzbekistan | VE venezuela | VN vietnam | VN viet nam | ZM zambia | ZW zimbabwe
+        """.split("|")
+    )
+}
+#: Latin letters with accents, and what is left of them in compatibility decomposition.
+_LETTERS = {chr(c): unicodedata.normalize("NFKD", chr(c)).encode("ascii", "ignore").decode() for c in range(0xC0, 0x250)}
+_ACCENTED = {c: plain for c, plain in _LETTERS.items() if len(plain) == 1}
 
 
 def alias_key(c: str | Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(col(c)), "[^a-z0-9]+", " "))
+    """A name in lower case, accents and other non-ASCII characters dropped, with single spaces."""
+    ascii_ = F.regexp_replace(F.translate(col(c), "".join(_ACCENTED), "".join(_ACCENTED.values())), r"[^\x00-\x7F]+", "")
+    return F.trim(F.regexp_replace(F.lower(ascii_), "[^a-z0-9]+", " "))
 
 
 def _gb(c: Column) -> Column:

@@ -112,11 +112,17 @@ def vocab_last(c: str | Column, vocabulary: dict[str, str], default: str) -> Col
     return F.coalesce(F.try_element_at(known, F.lit(-1)), F.lit(default))
 
 
+# Backup marks and quality in the guide's names.
+BACKUP = r"(?i)\s*[\(\[]\s*backup\s*[\)\]]\s*"
+GUIDE_QUALITY = r"(?i)\[\s*(?:\d{3,4}\s*[pi]|\b(?:UHD|FHD|HD|SD|4K|8K)\b)\s*\]"
+GUIDE_QUALITY_BARE = r"(?i)\s*(?:\b\d{3,4}\s*[pi]\b|\b(?:UHD|FHD|HD|SD|4K|8K)\b|[ᵁᴴᴰᴿ³⁸⁴⁰ᴾ]+)"
+
+
 def clean_display(c: str | Column) -> Column:
     """A guide name without backup marks, quality and doubled spaces."""
-    s = F.regexp_replace(col(c), r"(?i)\s*[\(\[]\s*backup\s*[\)\]]\s*", " ")
-    s = F.regexp_replace(s, r"(?i)\[\s*(?:\d{3,4}\s*[pi]|\b(?:UHD|FHD|HD|SD|4K|8K)\b)\s*\]", " ")
-    s = F.regexp_replace(s, r"(?i)\s*(?:\b\d{3,4}\s*[pi]\b|\b(?:UHD|FHD|HD|SD|4K|8K)\b|[ᵁᴴᴰᴿ³⁸⁴⁰ᴾ]+)", " ")
+    s = F.regexp_replace(col(c), BACKUP, " ")
+    s = F.regexp_replace(s, GUIDE_QUALITY, " ")
+    s = F.regexp_replace(s, GUIDE_QUALITY_BARE, " ")
     return trim_all(F.regexp_replace(s, r"\s+", " "))
 
 
@@ -124,9 +130,13 @@ def ext_id_key(c: str | Column) -> Column:
     return F.regexp_replace(F.lower(col(c)), "[^a-z0-9]+", "")
 
 
+#: Fixed value: the country's place at the end of an outside id.
+EXT_COUNTRY = r"(?i)\.([a-z]{2})(?:2|_locals\d+)?$"
+
+
 def ext_country(c: str | Column) -> Column:
     """Country suffix of an outside id, UK read as GB; empty if there is none."""
-    code = F.upper(F.regexp_extract(col(c), r"(?i)\.([a-z]{2})(?:2|_locals\d+)?$", 1))
+    code = F.upper(F.regexp_extract(col(c), EXT_COUNTRY, 1))
     return F.when(code == "UK", "GB").otherwise(code)
 
 
@@ -143,8 +153,16 @@ def token_set(c: str | Column) -> Column:
     return F.when(F.size(rest) > 0, rest).otherwise(words)
 
 
+#: Scripts that tell a title which isn't English.
+SCRIPTS = (
+    "Arabic Cyrillic Devanagari Greek Hebrew Han Hiragana Katakana Hangul Thai Bengali Tamil Telugu Kannada Malayalam Gujarati "
+    "Gurmukhi Oriya Sinhala Armenian Georgian Lao Khmer Myanmar Ethiopic Tibetan Mongolian Thaana Syriac Nko Tifinagh Balinese "
+    "Javanese Sundanese Tagalog Limbu Meetei_Mayek Ol_Chiki Bopomofo Yi Cherokee Canadian_Aboriginal Runic Glagolitic Braille"
+).split()
+
+
 def non_latin(c: str | Column) -> Column:
-    return F.coalesce(col(c), F.lit("")).rlike(r"[\p{IsArabic}\p{IsCyrillic}\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsHangul}\p{IsHebrew}\p{IsGreek}\p{IsThai}\p{IsDevanagari}\p{IsBengali}\p{IsTamil}\p{IsTelugu}\p{IsArmenian}\p{IsGeorgian}]")
+    return F.coalesce(col(c), F.lit("")).rlike("[" + "".join(rf"\p{{Is{x}}}" for x in SCRIPTS) + "]")
 
 
 def url_host(c: str | Column) -> Column:
@@ -172,6 +190,10 @@ def safe_source_id(c: str | Column, country: str | Column | None = None) -> Colu
     return s if country is None else F.when(F.coalesce(col(country), F.lit("")) == "", s).otherwise(F.concat(s, F.lit("."), F.lower(col(country))))
 
 
+#: Words of file names that speak against and for a logo.
+ASSET_JUNK, ASSET_HINTS = "(?i)icon|flag|map|photo|building|stub|commons", "(?i)logo|wordmark|ident"
+
+
 def asset_plausible(file_name: str | Column, title: str | Column) -> Column:
     """Whether a file may be the artwork of an article: no junk, and a hint word or a vector named after it."""
     name = F.coalesce(col(file_name), F.lit(""))
@@ -179,7 +201,7 @@ def asset_plausible(file_name: str | Column, title: str | Column) -> Column:
     stem = F.trim(F.regexp_replace(F.lower(F.regexp_replace(base, r"(?i)\.(svg|pdf)$", "")), "[^a-z0-9]+", " "))
     wanted = F.trim(F.regexp_replace(F.lower(F.coalesce(col(title), F.lit(""))), "[^a-z0-9]+", " "))
     vector = name.rlike(r"(?i)\.(svg|pdf)$") & (wanted != "") & (stem != "") & ((stem == wanted) | F.startswith(wanted, stem))
-    return (name != "") & ~name.rlike("(?i)icon|flag|map|photo|building|stub|commons") & (name.rlike("(?i)logo|wordmark|ident") | vector)
+    return (name != "") & ~name.rlike(ASSET_JUNK) & (name.rlike(ASSET_HINTS) | vector)
 
 
 # -- events ------------------------------------------------------------------------------------------------------
@@ -197,13 +219,21 @@ SPORT_HINTS = [
 ]
 
 
+# The forms of an event's name and of a kick-off.
+EVENT = r"(?s)^\s*\[([^\]]+)\]\s*(.*)$"
+EVENT_REMARKS = r"[\(\[][^)\]]*[\)\]]|\|.*$"
+EVENT_VERSUS = r"(?i)\s+(?:v|vs\.?|x|-)\s+"
+KICKOFF = r"start\s*:\s*(\d{4}-\d{2}-\d{2})[ T](\d{2}:\d{2}(?::\d{2})?)"
+MONTHS = "jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec"
+MONTH_DAY = rf"(?i)\b({MONTHS})[a-z]*\s+(\d{{1,2}})\b"
+
+
 def parse_event(c: str | Column) -> Column:
     """Struct (sport, home, away, prefix) of "[League] A vs B | feed"; null if the text is none."""
-    whole = r"(?s)^\s*\[([^\]]+)\]\s*(.*)$"
-    prefix, rest = F.regexp_extract(col(c), whole, 1), F.regexp_extract(col(c), whole, 2)
-    rest = F.regexp_replace(F.regexp_replace(rest, r"[\(\[][^)\]]*[\)\]]|\|.*$", " "), r"\s{2,}", " ")
+    prefix, rest = F.regexp_extract(col(c), EVENT, 1), F.regexp_extract(col(c), EVENT, 2)
+    rest = F.regexp_replace(F.regexp_replace(rest, EVENT_REMARKS, " "), r"\s{2,}", " ")
     rest = F.regexp_replace(rest, r"^[ |-]+|[ |-]+$", "")
-    parts = F.filter(F.transform(F.split(rest, r"(?i)\s+(?:v|vs\.?|x|-)\s+"), trim_all), lambda p: p != "")
+    parts = F.filter(F.transform(F.split(rest, EVENT_VERSUS), trim_all), lambda p: p != "")
     return F.when((prefix != "") & (F.size(parts) >= 2), F.struct(first_match(prefix, SPORT_HINTS, "Soccer").alias("sport"), parts[0].alias("home"), parts[1].alias("away"), F.regexp_replace(F.regexp_replace(prefix, r"\s+", " "), r"^[ |-]+|[ |-]+$", "").alias("prefix")))
 
 
@@ -216,12 +246,9 @@ def event_start(day: str | Column, clock: str | Column) -> Column:
 
 def parse_kickoff(c: str | Column) -> Column:
     """Struct (start, hint): an embedded start:... time, else month-day of a bare date; a year is never invented."""
-    day = F.regexp_extract(col(c), r"start\s*:\s*(\d{4}-\d{2}-\d{2})[ T](\d{2}:\d{2}(?::\d{2})?)", 1)
-    clock = F.regexp_extract(col(c), r"start\s*:\s*(\d{4}-\d{2}-\d{2})[ T](\d{2}:\d{2}(?::\d{2})?)", 2)
-    months = "jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec"
-    month = F.lower(F.regexp_extract(col(c), rf"(?i)\b({months})[a-z]*\s+(\d{{1,2}})\b", 1))
-    number = F.regexp_extract(col(c), rf"(?i)\b({months})[a-z]*\s+(\d{{1,2}})\b", 2)
-    place = (F.expr("0") + sum((F.when(month == m, i).otherwise(0) for i, m in enumerate(months.split("|"), 1)), F.lit(0))).cast("string")
+    day, clock = F.regexp_extract(col(c), KICKOFF, 1), F.regexp_extract(col(c), KICKOFF, 2)
+    month, number = F.lower(F.regexp_extract(col(c), MONTH_DAY, 1)), F.regexp_extract(col(c), MONTH_DAY, 2)
+    place = (F.expr("0") + sum((F.when(month == m, i).otherwise(0) for i, m in enumerate(MONTHS.split("|"), 1)), F.lit(0))).cast("string")
     start = F.when(day != "", F.concat(day, F.lit("T"), clock, F.when(F.length(clock) == 5, ":00").otherwise(""), F.lit("+00:00")))
     hint = F.when((day == "") & (month != ""), F.concat(F.lpad(place, 2, "0"), F.lit("-"), F.lpad(number, 2, "0")))
     return F.struct(start.alias("start"), hint.alias("hint"))

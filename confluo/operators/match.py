@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from confluo.scratch import scratch
+
 
 def mutual_unique(left: DataFrame, right: DataFrame, left_id: str, right_id: str, steps: list[str]) -> tuple[DataFrame, DataFrame]:
     """Match each left row to the one right row that shares a key, keys being tried in order; a step counts only with
@@ -41,28 +43,43 @@ def fuzzy_two_party(games: DataFrame, events: DataFrame, threshold: float = 0.6,
     """The best event of each game: both parties' token sets must overlap by the threshold (the smaller score counts).
 
     games: game, kind, home, away (token arrays). events: event, ord, kind, home, away. Ties go to the lowest ord.
-    Candidates come from an inverted index on one party, so nothing is crossed: with tokens ordered from rare to
-    frequent, two sets that overlap enough share a token among the first n - ceil(t * n) + 1 of each. For the
-    containment score the smaller set is probed by its rarest token against all tokens of the other.
+    Nothing is crossed: with tokens ordered from rare to frequent, two sets that overlap enough share a token among the
+    first n - ceil(t * n) + 1 of each. A candidate shares such a token in both parties, so tokens are met in pairs and a
+    frequent one alone brings nothing together; tokens that only one side knows count but are never shuffled further.
+    For the containment score a set may also hold the other, whose rarest token is then looked for in all of it; as
+    either may hold in either party, one party's token is the key there.
     """
-    sides = [("home", "away")] + ([("away", "home")] if swapped else [])
-    words = events.select("kind", F.explode("home").alias("w"))
-    if swapped:
-        words = words.unionAll(events.select("kind", F.explode("away").alias("w")))
-    freq = words.groupBy("kind", "w").agg(F.count("*").alias("f"))
+    games, events = scratch(games), scratch(events)  # both are read several times
+    each = lambda df: df.select("kind", F.explode(F.array_union("home", "away")).alias("w"))
+    freq = each(events).groupBy("kind", "w").agg(F.count("*").alias("f")).join(each(games).distinct(), ["kind", "w"], "left_semi")
 
-    def probes(df: DataFrame, key: str, part: str, role: str) -> DataFrame:
-        """(key, kind, w, role) for the index: prefix tokens, the rarest one, or all."""
-        each = df.select(F.col(key), "kind", F.explode(part).alias("w"), F.size(part).alias("n")).join(freq, ["kind", "w"], "left")
-        placed = each.groupBy(key, "kind").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("f", F.lit(0)).alias("f"), "w"))).alias("t"), F.max("n").alias("n"))
-        size = {"prefix": F.col("n") - F.ceil(F.lit(threshold) * F.col("n")) + 1, "rarest": F.lit(1), "all": F.col("n")}[role]
-        return placed.select(key, "kind", F.explode(F.slice("t", 1, size.cast("int"))).alias("x")).select(key, "kind", F.col("x.w").alias("w"))
+    def ranked(df: DataFrame, key: str) -> DataFrame:
+        """Tokens of both parties that both sides know, from rare to frequent, and the sizes of the parties."""
+        mark = lambda part: F.transform(part, lambda x: F.struct(F.lit(part).alias("part"), x.alias("w")))
+        known = df.select(key, "kind", F.size("home").alias("home_n"), F.size("away").alias("away_n"), F.explode(F.concat(mark("home"), mark("away"))).alias("x"))
+        known = known.select("*", "x.*").drop("x").join(freq, ["kind", "w"])
+        of = lambda part: F.array_sort(F.collect_list(F.when(F.col("part") == part, F.struct("f", "w")))).alias(part)
+        return known.groupBy(key, "kind", "home_n", "away_n").agg(of("home"), of("away"))
 
+    def probe(part: str, role: str) -> Column:
+        """Tokens of a party to meet others by; the unknown ones, being the rarest, have used up their places."""
+        need = F.size(part) - F.ceil(F.lit(threshold) * F.col(f"{part}_n") - 1e-9) + 1
+        size = {"prefix": F.greatest(F.lit(0), need), "rarest": F.lit(1), "all": F.size(part)}[role]
+        return F.explode(F.transform(F.slice(part, 1, size.cast("int")), lambda x: x["w"]))
+
+    g, e = ranked(games, "game"), ranked(events, "event")
+    if containment:
+        g, e = scratch(g), scratch(e)
     pairs = None
-    for left, _ in sides:
-        ways = [("prefix", "prefix")] + ([("rarest", "all"), ("all", "rarest")] if containment else [])
-        for a, b in ways:
-            p = probes(games, "game", "home", a).join(probes(events, "event", left, b), ["kind", "w"]).select("game", "event")
+    for left, right in [("home", "away")] + ([("away", "home")] if swapped else []):
+        if containment:
+            for a, b in (("prefix", "prefix"), ("rarest", "all"), ("all", "rarest")):
+                p = g.select("game", "kind", probe("home", a).alias("w")).join(e.select("event", "kind", probe(left, b).alias("w")), ["kind", "w"]).select("game", "event")
+                pairs = p if pairs is None else pairs.unionAll(p)
+        else:
+            both = lambda df, key, x, y: df.withColumn("w", probe(x, "prefix")).select(key, "kind", "w", F.col(f"{x}_n").alias(f"{key}_x"), F.col(f"{y}_n").alias(f"{key}_y"), probe(y, "prefix").alias("v"))
+            near = lambda z: F.least(f"game_{z}", f"event_{z}") >= threshold * F.greatest(f"game_{z}", f"event_{z}") - 1e-9
+            p = both(g, "game", "home", "away").join(both(e, "event", left, right), ["kind", "w", "v"]).where(near("x") & near("y")).select("game", "event")
             pairs = p if pairs is None else pairs.unionAll(p)
     g = games.select("game", F.col("home").alias("gh"), F.col("away").alias("ga"))
     e = events.select("event", "ord", F.col("home").alias("eh"), F.col("away").alias("ea"))
@@ -71,4 +88,4 @@ def fuzzy_two_party(games: DataFrame, events: DataFrame, threshold: float = 0.6,
     if swapped:
         score = F.greatest(score, F.least(overlap(F.col("gh"), F.col("ea"), containment), overlap(F.col("ga"), F.col("eh"), containment)))
     scored = both.withColumn("score", score).where(F.col("score") >= threshold)
-    return scored.groupBy("game").agg(F.max_by(F.struct("event", "score"), F.struct("score", (-F.col("ord")).alias("o"))).alias("m")).select("game", "m.event", "m.score")
+    return scored.groupBy("game").agg(F.min_by(F.struct("event", "score"), F.struct((-F.col("score")).alias("s"), "ord")).alias("m")).select("game", "m.event", "m.score")

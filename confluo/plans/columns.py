@@ -123,9 +123,13 @@ def parse_event(spark, d):
     return e.select("p_partkey", "e.sport", "e.home", "e.away")
 
 
-@query(r"SELECT doc_id, regexp_matches(t, '[\p{Arabic}\p{Cyrillic}\p{Han}\p{Hiragana}\p{Katakana}\p{Hangul}\p{Hebrew}\p{Greek}\p{Thai}]') AS non_latin FROM (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN text || ' новости' WHEN doc_id % 11 = 0 THEN 'ニュース' ELSE text END AS t FROM documents)")
+_ELSEWHERE = "CASE WHEN doc_id % 7 = 0 THEN text || ' новости' WHEN doc_id % 11 = 0 THEN 'ニュース' WHEN doc_id % 13 = 0 THEN text || 'ዜና' WHEN doc_id % 17 = 0 THEN 'ព័ត៌មាន' WHEN doc_id % 19 = 0 THEN text || ' ಸುದ್ದಿ' WHEN doc_id % 23 = 0 THEN text || ' ⠓' ELSE text END"
+_SCRIPT_CLASS = "[" + "".join(rf"\p{{{x}}}" for x in names.SCRIPTS) + "]"
+
+
+@query(f"SELECT doc_id, regexp_matches(t, '{_SCRIPT_CLASS}') AS non_latin FROM (SELECT doc_id, {_ELSEWHERE} AS t FROM documents)")
 def script_flag(spark, d):
-    t = F.expr("CASE WHEN doc_id % 7 = 0 THEN text || ' новости' WHEN doc_id % 11 = 0 THEN 'ニュース' ELSE text END")
+    t = F.expr(_ELSEWHERE)
     return table(spark, d, "documents").select("doc_id", names.non_latin(t).alias("non_latin"))
 
 
@@ -187,6 +191,14 @@ def country_ref(spark, d):
 _COUNTRY_CASE = "CASE lower(n_name) " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in geo.NAMES.items()) + " ELSE '' END"
 
 
+_SPELLED = "CASE p_partkey % 9 WHEN 0 THEN 'Chile' WHEN 1 THEN 'South  Africa' WHEN 2 THEN 'Türkiye' WHEN 3 THEN 'COLOMBIA' WHEN 4 THEN 'Republic of Nowhere' WHEN 5 THEN 'Viet-Nam' WHEN 6 THEN 'United States of America' WHEN 7 THEN 'Scotland' ELSE 'México' END"
+
+
+@query("SELECT p_partkey, CASE p_partkey % 9 WHEN 0 THEN 'CL' WHEN 1 THEN 'ZA' WHEN 2 THEN 'TR' WHEN 3 THEN 'CO' WHEN 4 THEN '' WHEN 5 THEN 'VN' WHEN 6 THEN 'US' WHEN 7 THEN 'GB' ELSE 'MX' END AS country FROM part")
+def country_spelling(spark, d):
+    return table(spark, d, "part").select("p_partkey", geo.country_from_name(F.concat(F.col("p_name"), F.lit(" ("), F.expr(_SPELLED), F.lit(")"))).alias("country"))
+
+
 @query(f"SELECT n_nationkey, {_COUNTRY_CASE} AS country FROM nation")
 def country_name(spark, d):
     return table(spark, d, "nation").select("n_nationkey", geo.country_from_name(F.concat(F.lit("Arte ("), F.initcap("n_name"), F.lit(")"))).alias("country"))

@@ -125,7 +125,7 @@ def _fuzzy_sql(swap: bool) -> str:
         total = f"greatest({total}, least({score('g.h', 'e.a')}, {score('g.a', 'e.h')}))"
     return f"""WITH g AS ({_parties("(SELECT * FROM benchmark WHERE item_id >= 0)", "item_id", swap)}), e AS ({_parties("documents", "doc_id", False)}),
     x AS (SELECT g.k AS g, g.o AS go, e.k AS e, e.o AS eo, {total} AS score FROM g, e WHERE len(list_intersect(list_concat(g.h, g.a), list_concat(e.h, e.a))) > 0)
-    SELECT g AS item_id, go AS place, arg_max(e, (score, -e * 1000 - eo)) AS doc_id, max(score) AS score FROM x WHERE score >= 0.6 GROUP BY g, go"""
+    SELECT g AS item_id, go AS place, arg_max(e, (score, -e, -eo)) AS doc_id, max(score) AS score FROM x WHERE score >= 0.6 GROUP BY g, go"""
 
 
 def _sentences(df, key: str, swap: bool):
@@ -141,7 +141,7 @@ def _sentences(df, key: str, swap: bool):
 
 def _fuzzy(spark, d, swap):
     games = _sentences(table(spark, d, "benchmark"), "item_id", swap).select(F.struct("k", "o").alias("game"), F.lit("s").alias("kind"), "home", "away")
-    events = _sentences(table(spark, d, "documents"), "doc_id", False).select(F.struct("k", "o").alias("event"), (F.col("k") * 1000 + F.col("o")).alias("ord"), F.lit("s").alias("kind"), "home", "away")
+    events = _sentences(table(spark, d, "documents"), "doc_id", False).select(F.struct("k", "o").alias("event"), F.struct("k", "o").alias("ord"), F.lit("s").alias("kind"), "home", "away")
     return match.fuzzy_two_party(games, events, 0.6, swapped=swap, containment=swap)
 
 
