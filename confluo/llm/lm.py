@@ -5,21 +5,29 @@ eight binary decisions; every decision node has a context tree over the precedin
 Krichevsky-Trofimov estimates and are weighted over all depths (Willems, Shtarkov and Tjalkens 1995). The trees are
 learned from all training texts and then frozen; a text's score is the log10 probability it gets.
 
-Everything that grows with the corpus stays in tables. Documents are dealt to batches of about `batch_bytes`; a batch
-sends each of its distinct words and (context, byte) grams once, with counts; these meet the corpus sums in joins and
-come back to their batch, which looks them up. Only nodes of depth 0 and 1 (at most 257 * 255) come to the driver.
-
-Edge cases: a null text is an empty one: its only word token is the end, its only byte the end byte. Without training
-texts all counts are 0 and grams get the weighted estimates of empty nodes (1/256 a byte). Repeated rows each count.
+Everything that grows with the corpus stays in tables. One pass over the documents cuts them into batches of about
+`batch_bytes` and writes, for each batch, its texts, and its distinct words and (context, byte) grams with counts: one
+compressed row for each of `parts` groups of words by their hash, and of as many groups of grams by their two nearest
+context bytes. A group's rows are summed (in shares of at most about `share` entries, then together), its trees are
+weighted, and each batch gets its words and grams back with their sums or values; then batches score their texts. So
+memory grows with the distinct words or grams of a group, for which `parts` is to be chosen (512 do for some 100 GB),
+not with the rows that ask for them. Only nodes of depth 0 and 1 (at most 257 * 255) come to the driver.
+
+Edge cases: a null text is an empty one: its only word token is the end, its only byte the end byte; a very long text is
+a batch of its own. Without training texts all counts are 0 and grams get the weighted estimates of empty nodes (1/256 a
+byte). Repeated rows each count. An empty table gives no rows. Other columns of docs, whatever their names, are not read.
 """
 
 from __future__ import annotations
 
+import uuid
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +36,9 @@ from confluo.llm.common import fold, scratch, ship
 
 #: Bytes of context, unless a caller asks for others.
 DEPTH = 3
-BATCH_BYTES = 12_000_000
+#: Bytes of text in a batch, and of those whose grams are cut at once; groups of grams, and of words; entries that one
+#: task sums or answers.
+BATCH_BYTES, SLICE_BYTES, PARTS, SHARE = 32_000_000, 1_000_000, 512, 20_000_000
 #: Stands for the end token; no word holds a space.
 END = " "
 
@@ -41,15 +51,15 @@ def words(text: str) -> list[str]:
 def grams(texts: list[str], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
     """Codes of (depth bytes before, byte) for all positions of all texts, and the positions of each text.
 
-    A code is the byte before last ... first: c3 c2 c1 b with c1 the nearest; that is the big-endian reading.
+    A code is, from its highest byte, the nearest byte of context, the next nearest and so on, and the byte itself: in
+    the order of codes, all that share their nearest bytes stand together.
     """
     raw = [t.encode() for t in texts]
     sizes = np.fromiter((len(r) + 1 for r in raw), np.int64, len(raw))
     data = np.frombuffer(b"".join(bytes(depth) + r + b"\0" for r in raw), np.uint8)
-    codes = data[: len(data) - depth].astype(np.int64)
+    codes = data[depth:].astype(np.int64)
     for k in range(1, depth + 1):
-        codes <<= 8
-        codes |= data[k : len(data) - depth + k]
+        codes |= data[depth - k : len(data) - k].astype(np.int64) << 8 * (depth - k + 1)
     keep = np.ones(len(codes), bool)
     ends = np.cumsum(sizes + depth)[:-1]
     for k in range(1, depth + 1):  # windows that would reach from one text into the next
@@ -57,6 +67,49 @@ def grams(texts: list[str], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]
     return codes[keep], sizes
 
 
+def total(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes in order, and the sums of their counts."""
+    c, n = np.concatenate([*codes, np.zeros(0, np.int64)]), np.concatenate([*counts, np.zeros(0, np.int64)])
+    order = np.argsort(c, kind="stable")
+    c = c[order]
+    first = np.flatnonzero(np.r_[True, c[1:] != c[:-1]][: len(c)])
+    return c[first], np.add.reduceat(n[order], first) if len(c) else n
+
+
+def _squeeze(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.Codec("zstd").compress(data, asbytes=True)
+
+
+def _restore(data: bytes) -> bytes:
+    return pa.Codec("zstd").decompress(data[8:], int.from_bytes(data[:8], "little"), asbytes=True)
+
+
+def pack(codes: np.ndarray, values: np.ndarray) -> bytes:
+    """Codes in order and a value of eight bytes for each, as compressed byte planes."""
+    return _squeeze(b"".join(x.view(np.uint8).reshape(-1, 8).T.tobytes() for x in (np.diff(codes, prepend=0), values)))
+
+
+def unpack(data: bytes, kind: type = np.int64) -> tuple[np.ndarray, np.ndarray]:
+    """What pack() got, values being of the given kind."""
+    steps, values = (np.ascontiguousarray(p.T).reshape(-1) for p in np.frombuffer(_restore(data), np.uint8).reshape(2, 8, -1))
+    return np.cumsum(steps.view(np.int64)), values.view(kind)
+
+
+def short(values: np.ndarray) -> np.ndarray:
+    """Values rounded to 36 binary digits, an error of 1e-11 of each, so that they pack better."""
+    return ((np.ascontiguousarray(values).view(np.int64) + 0x8000) & ~0xFFFF).view(np.float64)
+
+
+def pack_words(ws: list[str], counts: list[int]) -> bytes:
+    """Words, none of which holds a line's end, and their counts."""
+    return _squeeze(np.array(counts, np.int64).tobytes() + "\n".join(ws).encode())
+
+
+def unpack_words(data: bytes, n: int) -> tuple[list[str], list[int]]:
+    raw = _restore(data)
+    return raw[8 * n :].decode().split("\n"), np.frombuffer(raw, np.int64, n).tolist()
+
+
 # -- context-tree weighting ------------------------------------------------------------------------------------------
 def _lgamma_half(n: np.ndarray) -> np.ndarray:
     """log gamma(n + 1/2) for counts n, by Stirling's series after a shift by 8."""
@@ -77,10 +130,23 @@ def _lgamma_int(n: np.ndarray) -> np.ndarray:
     return (x - 0.5) * np.log(x) - x + 0.9189385332046727 + 1 / (12 * x) - 1 / (360 * x**3) + 1 / (1260 * x**5) - shift
 
 
+_SMALL = np.arange(4096.0)
+_HALF, _INT = _lgamma_half(_SMALL), _lgamma_int(_SMALL)
+
+
+def _look(small: np.ndarray, f, n: np.ndarray) -> np.ndarray:
+    """f of counts, most of which are small."""
+    out = small[np.minimum(n, len(small) - 1).astype(np.int64)]
+    big = n >= len(small)
+    if big.any():
+        out[big] = f(n[big])
+    return out
+
+
 def kt_block(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
     """Log of the Krichevsky-Trofimov probability of a block with these counts."""
     n0, n1 = n0.astype(float), n1.astype(float)
-    return _lgamma_half(n0) + _lgamma_half(n1) - _lgamma_int(n0 + n1) - np.log(np.pi)
+    return _look(_HALF, _lgamma_half, n0) + _look(_HALF, _lgamma_half, n1) - _look(_INT, _lgamma_int, n0 + n1) - np.log(np.pi)
 
 
 def kt_next(n0: np.ndarray, n1: np.ndarray, bit: np.ndarray) -> np.ndarray:
@@ -99,83 +165,163 @@ def _bits(codes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return (1 << k) | (byte >> (8 - k)), (byte >> (7 - k)) & 1
 
 
-def _sum_by(key: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
-    u, inv = np.unique(key, return_inverse=True)
-    return (u, inv, *(np.bincount(inv, v, len(u)) for v in values))
+class Trees:
+    """Trees over grams (in order, with counts) of which all that share their two nearest bytes are here.
 
-
-def _deep(codes: np.ndarray, n: np.ndarray, k: int, depth: int) -> tuple[list[tuple[np.ndarray, ...]], np.ndarray, np.ndarray]:
-    """Nodes of decision k, level by level from the deepest to depth 2, for grams whose two nearest context bytes are all here.
-
-    Of each level: the place in it of each gram or node one level deeper, counts and the share of weight that stays; then
-    keys and weights of depth 2.
+    levels: of each depth from the deepest to 2, the distinct (context, byte), their counts, and the place in this level
+    of each gram one level deeper. As a decision's node follows the byte's order, the grams of a node stand together.
     """
-    node, bit = _bits(codes, k)
-    key, n0, n1, levels = codes >> 8 << 8 | node, n * (bit == 0), n * (bit == 1), []
-    key, place, n0, n1 = _sum_by(key, n0, n1)
-    w, stay = kt_block(n0, n1), np.ones(len(key))
-    levels.append((place, n0, n1, stay))
-    for d in range(depth - 1, 1, -1):
-        key, place, n0, n1, below = _sum_by((key >> 8 & (1 << 8 * d) - 1) << 8 | key & 255, n0, n1, w)
-        w, stay = weigh(kt_block(n0, n1), below)
-        levels.append((place, n0, n1, stay))
-    return levels, key, w
-
-
-_UP = "c1 int, node int, n0 double, n1 double, w double"
-
-
-def _up(key: tuple, t: pd.DataFrame, depth: int = DEPTH) -> pd.DataFrame:
-    out = []
-    for k in range(8):  # the decisions' trees are independent
-        levels, u2, w2 = _deep(t["gram"].to_numpy(np.int64), t["n"].to_numpy(float), k, depth)
-        u, _, n0, n1, w = _sum_by(u2 & 0xFFFF, levels[-1][1], levels[-1][2], w2)
-        out.append(pd.DataFrame({"c1": u >> 8, "node": u & 255, "n0": n0, "n1": n1, "w": w}))
-    return pd.concat(out)
 
-
-def shallow(rows: pd.DataFrame) -> dict[str, np.ndarray]:
+    def __init__(self, codes: np.ndarray, n: np.ndarray, depth: int):
+        self.levels = [(codes, n.astype(float), np.arange(len(codes)))]
+        for _ in range(depth - 1, 1, -1):
+            c, n, _ = self.levels[-1]
+            short = c >> 16 << 8 | c & 255
+            u, inv = np.unique(short, return_inverse=True)
+            self.levels.append((u, np.bincount(inv, n, len(u)), inv))
+
+    def nodes(self, k: int) -> Iterator[tuple[np.ndarray, ...]]:
+        """Of decision k, level by level: each gram's node, the nodes' keys, both counts, weights and shares that stay."""
+        place = w = first = None
+        for c, n, inv in self.levels:
+            node, bit = _bits(c, k)
+            key = c >> 8 << 8 | node
+            new = np.r_[True, key[1:] != key[:-1]][: len(c)]
+            ones = np.where(bit == 1, n, 0)
+            was, first = first, np.flatnonzero(new)
+            n1 = np.add.reduceat(ones, first) if len(c) else ones
+            n0 = np.add.reduceat(n, first) - n1 if len(c) else n
+            place = np.cumsum(new) - 1
+            kt = kt_block(n0, n1)
+            if w is None:
+                w, stay = kt, np.ones(len(kt))
+            else:  # the nodes below, by the node of their first gram
+                w, stay = weigh(kt, np.bincount(place[inv[was]], w, len(kt)))
+            yield place, key[first], n0, n1, w, stay
+
+    def up(self) -> pa.Table:
+        """Sums over the nodes of depth 2, by nearest byte and decision node."""
+        out = []
+        for k in range(8):
+            *_, (_, key, n0, n1, w, _) = self.nodes(k)
+            u, inv = np.unique(key >> 16 << 8 | key & 255, return_inverse=True)
+            out.append([u >> 8, u & 255, *(np.bincount(inv, x, len(u)) for x in (n0, n1, w))])
+        return pa.table([np.concatenate(c) for c in zip(*out, strict=True)], ["c1", "node", "n0", "n1", "w"])
+
+    def values(self, top: dict[str, np.ndarray], depth: int) -> np.ndarray:
+        """log10 of the frozen tree's probability of each gram's byte after its context."""
+        codes = self.levels[0][0]
+        c1, out = codes >> 8 * depth & 255, np.zeros(len(codes))
+        for k in range(8):
+            node, bit = _bits(codes, k)
+            p, at = 0.0, slice(None)
+            for (place, _, n0, n1, _, stay), (_, _, inv) in zip(self.nodes(k), self.levels, strict=True):
+                at = inv[at]
+                x = place[at]
+                p = stay[x] * kt_next(n0[x], n1[x], bit) + (1 - stay[x]) * p
+            p = top["stay1"][c1, node] * kt_next(top["n0"][c1, node], top["n1"][c1, node], bit) + (1 - top["stay1"][c1, node]) * p
+            out += np.log10(top["stay0"][node] * kt_next(top["r0"][node], top["r1"][node], bit) + (1 - top["stay0"][node]) * p)
+        return out
+
+
+def shallow(c1: np.ndarray, node: np.ndarray, n0: np.ndarray, n1: np.ndarray, w: np.ndarray) -> dict[str, np.ndarray]:
     """Dense nodes of depth 1 (by nearest byte and decision) and depth 0, from sums over depth 2."""
     a = {k: np.zeros((256, 256)) for k in ("n0", "n1", "below")}
-    for k, col in (("n0", "n0"), ("n1", "n1"), ("below", "w")):
-        np.add.at(a[k], (rows["c1"].to_numpy(int), rows["node"].to_numpy(int)), rows[col].to_numpy(float))
+    for k, x in (("n0", n0), ("n1", n1), ("below", w)):
+        np.add.at(a[k], (c1, node), x)
     w1, stay1 = weigh(kt_block(a["n0"], a["n1"]), a["below"])
     r0, r1, below0 = a["n0"].sum(0), a["n1"].sum(0), w1.sum(0)
     _, stay0 = weigh(kt_block(r0, r1), below0)
     return {"n0": a["n0"], "n1": a["n1"], "stay1": stay1, "r0": r0, "r1": r1, "stay0": stay0}
 
 
-def gram_values(codes: np.ndarray, n: np.ndarray, top: dict[str, np.ndarray], depth: int = DEPTH) -> np.ndarray:
-    """log10 of the frozen tree's probability of each gram's byte after its context."""
-    c1, out = codes >> 8 & 255, np.zeros(len(codes))
-    for k in range(8):
-        node, bit = _bits(codes, k)
-        p, at = 0.0, slice(None)
-        for place, n0, n1, stay in _deep(codes, n, k, depth)[0]:
-            at = place[at]
-            p = stay[at] * kt_next(n0[at], n1[at], bit) + (1 - stay[at]) * p
-        p = top["stay1"][c1, node] * kt_next(top["n0"][c1, node], top["n1"][c1, node], bit) + (1 - top["stay1"][c1, node]) * p
-        out += np.log10(top["stay0"][node] * kt_next(top["r0"][node], top["r1"][node], bit) + (1 - top["stay0"][node]) * p)
-    return out
-
-
-class Grams:
-    """Values of gram codes."""
-
-    def __init__(self, codes: np.ndarray, values: np.ndarray):
-        self.codes, self.values = pd.Index(codes), values
-
-    def __call__(self, codes: np.ndarray) -> np.ndarray:
-        return self.values[self.codes.get_indexer(codes)]
-
-
 # -- the job ---------------------------------------------------------------------------------------------------------
-def _parts(t: pd.DataFrame, rows: int = 2000) -> Iterator[pd.DataFrame]:
-    for at in range(0, len(t), rows):
-        yield t.iloc[at : at + rows]
-
-
-def score(docs: DataFrame, train, id_col: str = "doc_id", text_col: str = "text", batch_bytes: int = BATCH_BYTES, depth: int = DEPTH) -> DataFrame:
+def slices(texts: pa.ChunkedArray | pa.Array) -> Iterator[list[str]]:
+    """Texts in order, in runs of about SLICE_BYTES."""
+    held, size = [], 0
+    for at in range(0, len(texts), 64):
+        for t in texts.slice(at, 64).to_pylist():
+            held.append(t)
+            size += len(t)
+            if size >= SLICE_BYTES:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
+
+
+_SENT = "batch string, part int, n long, data binary"
+_FIELDS = pa.schema([("batch", pa.string()), ("part", pa.int32()), ("n", pa.int64()), ("data", pa.binary())])
+#: Stands for the texts of a batch in place of a group; groups of grams come from 0 on, then those of words.
+TEXT = -1
+
+
+def _rows(batch: str, part: list[int], n: list[int], data: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([batch] * len(part)), pa.array(part, pa.int32()), pa.array(n, pa.int64()), pa.array(data, pa.binary())], schema=_FIELDS)
+
+
+def part_of(codes: np.ndarray, depth: int, parts: int) -> np.ndarray:
+    """Group of each code, by its two nearest bytes."""
+    return (codes >> 8 * (depth - 1)) * 40503 % 65537 % parts
+
+
+def gather(t: pa.Table, depth: int, parts: int) -> Iterator[pa.RecordBatch]:
+    """A batch's texts, grams and words as rows."""
+    batch = uuid.uuid4().hex
+    with pa.BufferOutputStream() as out:
+        with pa.ipc.new_stream(out, t.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+            w.write_table(t)
+        yield _rows(batch, [TEXT], [t.num_rows], [out.getvalue().to_pybytes()])
+    learn, other, codes, counts = Counter(), set(), [], []
+    train = t.column("train").to_numpy()
+    for on in (True, False):
+        for texts in slices(t.column("text").filter(pa.array(train == on))):
+            if on:
+                learn.update(w for x in texts for w in words(x))
+            else:
+                other.update(w for x in texts for w in words(x))
+            u, n = np.unique(grams(texts, depth)[0], return_counts=True)
+            codes.append(u)
+            counts.append(n if on else 0 * n)
+            if len(codes) >= 6:
+                codes, counts = ([x] for x in total(codes, counts))
+    u, n = total(codes, counts)
+    del codes, counts
+    part = part_of(u, depth, parts)
+    order = np.argsort(part, kind="stable")
+    u, n, part = u[order], n[order], part[order]
+    first = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+    yield _rows(batch, part[first].tolist(), np.diff(first, append=len(u)).tolist(), [pack(u[a:b], n[a:b]) for a, b in zip(first, [*first[1:], len(u)], strict=True)])
+    del u, n, part, order
+    learn[END] += int(train.sum())
+    groups: list[list[str]] = [[] for _ in range(parts)]
+    for ws in (learn, other - learn.keys()):
+        for w in ws:
+            groups[zlib.crc32(w.encode()) % parts].append(w)
+    full = [(k, g) for k, g in enumerate(groups) if g]
+    yield _rows(batch, [parts + k for k, _ in full], [len(g) for _, g in full], [pack_words(g, [learn.get(w, 0) for w in g]) for _, g in full])
+
+
+def batched(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Table]:
+    """Record batches (doc_id, text, train) as tables of about so many bytes of text; a row is never cut."""
+    held, size = [], 0
+    for b in batches:
+        at = 0
+        ends = np.cumsum(pc.binary_length(b.column(1)).to_numpy(zero_copy_only=False).astype(np.int64))
+        while at < b.num_rows:
+            before = ends[at - 1] if at else 0
+            stop = min(b.num_rows, int(np.searchsorted(ends, before + most - size)) + 1)
+            held.append(b.slice(at, stop - at))
+            size += int(ends[stop - 1] - before)
+            at = stop
+            if size >= most:
+                yield pa.Table.from_batches(held)
+                held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def score(docs: DataFrame, train, id_col: str = "doc_id", text_col: str = "text", batch_bytes: int = BATCH_BYTES, depth: int = DEPTH, parts: int = PARTS, share: int = SHARE) -> DataFrame:
     """One row per document; train: a boolean Column over docs that says which texts the model learns from.
 
     doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes and bits_per_byte.
@@ -184,84 +330,94 @@ def score(docs: DataFrame, train, id_col: str = "doc_id", text_col: str = "text"
         raise ValueError("depth must be 2 to 6")
     ship(docs.sparkSession)
     src = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
-    size, n_train = src.agg(F.coalesce(F.sum(F.octet_length("text") + 1), F.lit(0)), F.coalesce(F.sum(F.col("train").cast("long")), F.lit(0))).first()
-    batches = max(1, -(-size // batch_bytes))
-    # a text's hash, so that batches are even whatever ids are; equal texts are spread by their id
-    dealt = src.withColumn("batch", F.pmod(F.xxhash64("doc_id", "text"), F.lit(batches)).cast("int"))
-
-    def gather(key: tuple, t: pd.DataFrame) -> pd.DataFrame:
-        learn: Counter = Counter()
-        other: set = set()
-        g: list = []
-        for p in _parts(t):
-            for on, q in p.groupby("train"):
-                texts = q["text"].tolist()
-                for x in texts:
-                    if on:
-                        learn.update(words(x))
-                    else:
-                        other.update(words(x))
-                u, k = np.unique(grams(texts, depth)[0], return_counts=True)
-                g.append((u, k if on else 0 * k))
-        learn[END] += int(t["train"].sum())
-        w = list(learn) + [x for x in other if x not in learn]
-        u, inv = np.unique(np.concatenate([x for x, _ in g]), return_inverse=True)
-        n = np.bincount(inv, np.concatenate([k for _, k in g]), len(u)).astype(np.int64)
-        # words have the gram -1: with nulls, pandas makes floats of a column, which hold no seven bytes
-        return pd.concat([
-            pd.DataFrame({"batch": key[0], "word": w, "gram": -1, "n": [learn.get(x, 0) for x in w]}),
-            pd.DataFrame({"batch": key[0], "word": None, "gram": u.astype(np.int64), "n": n}),
-        ])
-
-    sent = scratch(dealt.groupBy("batch").applyInPandas(gather, "batch int, word string, gram long, n long"))
-    own_w, own_g = sent.where("word IS NOT NULL").select("batch", "word", "n"), sent.where("word IS NULL").select("batch", "gram", "n")
-    word_n = own_w.groupBy("word").agg(F.sum("n").alias("c"))
-    tokens, distinct = word_n.where("c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    tokens, distinct = int(tokens), int(distinct)
-
-    # at most 4096 groups; all grams that share the two nearest bytes are in one
-    gram_n = scratch(own_g.groupBy("gram").agg(F.sum("n").alias("n")).withColumn("part", F.shiftright("gram", 12).bitwiseAND(F.lit(4095))))
-    up = gram_n.where("n > 0").groupBy("part").applyInPandas(lambda key, t: _up(key, t, depth), _UP).groupBy("c1", "node").agg(*(F.sum(c).alias(c) for c in ("n0", "n1", "w")))
-    top = shallow(up.toPandas())
-
-    def down(key: tuple, t: pd.DataFrame) -> pd.DataFrame:
-        codes = t["gram"].to_numpy(np.int64)
-        return pd.DataFrame({"gram": codes, "value": gram_values(codes, t["n"].to_numpy(float), top, depth)})
-
-    values = gram_n.groupBy("part").applyInPandas(down, "gram long, value double")
-    back = own_w.join(word_n, "word").select("batch", "word", F.lit(-1).cast("long").alias("gram"), F.col("c").cast("double").alias("value"))
-    back = back.unionAll(own_g.join(values, "gram").select("batch", F.lit(None).cast("string").alias("word"), "gram", "value"))
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in batched(batches, batch_bytes):
+            yield from gather(t, depth, parts)
+
+    sent = scratch(src.mapInArrow(send, _SENT))
+    # a group that many batches ask is dealt to several tasks; one row a group says to how many
+    asked = sent.where(F.col("part") != TEXT)
+    dealt = asked.groupBy("part").agg(F.ceil(F.sum("n") / share).cast("int").alias("shares"))
+    asked = asked.join(F.broadcast(dealt), "part").withColumn("share", F.pmod(F.xxhash64("batch"), "shares").cast("int"))
+
+    def add(t: pa.Table) -> pa.Table:
+        part, rows = t.column("part")[0].as_py(), list(zip(t.column("data").to_pylist(), t.column("n").to_pylist(), strict=True))
+        if part < parts:
+            u, n = total(*map(list, zip(*(unpack(d) for d, _ in rows), strict=True)))
+            return pa.table({"part": pa.array([part], pa.int32()), "n": [len(u)], "tokens": [0], "known": [0], "data": [pack(u, n)]})
+        c: dict[str, int] = {}
+        for d, n in rows:
+            for w, k in zip(*unpack_words(d, n), strict=True):
+                c[w] = c.get(w, 0) + k
+        return pa.table({"part": pa.array([part], pa.int32()), "n": [len(c)], "tokens": [sum(c.values())], "known": [sum(k > 0 for k in c.values())], "data": [pack_words(list(c), list(c.values()))]})
+
+    added = "part int, n long, tokens long, known long, data binary"
+    some = asked.select("part", "share", "n", "data").groupBy("part", "share").applyInArrow(add, added)
+    sums = scratch(some.select("part", "n", "data").groupBy("part").applyInArrow(add, added))
+    tokens, distinct = map(int, sums.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("known"), F.lit(0))).first())
+
+    def up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for d in b.column(0).to_pylist():
+                u, c = unpack(d)
+                if (c > 0).any():
+                    yield from Trees(u[c > 0], c[c > 0], depth).up().to_batches()
+
+    rows = sums.where(F.col("part") < parts).select("data").mapInArrow(up, "c1 long, node long, n0 double, n1 double, w double").groupBy("c1", "node").agg(*(F.sum(c).alias(c) for c in ("n0", "n1", "w"))).toArrow()
+    top = shallow(*(rows.column(c).to_numpy() for c in ("c1", "node", "n0", "n1", "w")))
+
+    def answer(t: pa.Table, s: pa.Table) -> pa.Table:
+        if not t.num_rows or not s.num_rows:
+            return _FIELDS.empty_table()
+        data, n, ask, m = s.column("data")[0].as_py(), s.column("n")[0].as_py(), t.column("data").to_pylist(), t.column("n").to_pylist()
+        if t.column("part")[0].as_py() < parts:
+            u, c = unpack(data)
+            values = short(Trees(u, c, depth).values(top, depth))
+            out = [pack(c, values[np.searchsorted(u, c)]) for c, _ in map(unpack, ask)]
+        else:
+            count = dict(zip(*unpack_words(data, n), strict=True))
+            out = [pack_words(ws, [count[w] for w in ws]) for ws, _ in map(unpack_words, ask, m)]
+        return pa.table([t.column("batch"), t.column("part"), t.column("n"), pa.array(out, pa.binary())], schema=_FIELDS)
+
+    known = sums.join(F.broadcast(dealt), "part").select("part", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), "n", "data")
+    values = asked.select("part", "share", "batch", "n", "data").groupBy("part", "share").cogroup(known.groupBy("part", "share")).applyInArrow(answer, _SENT)
     scale = np.log10(tokens + 1.0 * (distinct + 1))
 
-    def look_up(key: tuple, t: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        is_word = b["word"].notna()
-        count = dict(zip(b.loc[is_word, "word"], b.loc[is_word, "value"], strict=True))
-        count[END] = count.get(END, float(n_train))
-        names = list(count)
-        cost = dict(zip(names, (np.log10(np.fromiter(count.values(), float, len(names)) + 1.0) - scale).tolist(), strict=True))
+    def look_up(b: pa.Table) -> pa.Table:
+        part = b.column("part").to_numpy()
+        of = lambda on: b.filter(pa.array(on)).select(["data", "n"]).to_pydict()
+        cost, w = {}, of(part >= parts)
+        for d, n in zip(w["data"], w["n"], strict=True):
+            ws, c = unpack_words(d, n)
+            cost |= zip(ws, (np.log10(np.array(c, float) + 1.0) - scale).tolist(), strict=True)
         unknown = float(np.log10(1.0) - scale)
-        find = Grams(b.loc[~is_word, "gram"].to_numpy(np.int64), b.loc[~is_word, "value"].to_numpy(float))
-        out = []
-        for p in _parts(t):
-            texts = p["text"].tolist()
+        each = [unpack(d, np.float64) for d in of((part >= 0) & (part < parts))["data"]]
+        u, v = (np.concatenate(x) for x in zip(*each, strict=True))
+        del w, each
+        order = np.argsort(u, kind="stable")
+        u, v = u[order], v[order]
+        t = pa.ipc.open_stream(of(part == TEXT)["data"][0]).read_all()
+        cols = {k: [] for k in ("n_tokens", "n_known", "base_score", "score", "n_bytes")}
+        for texts in slices(t.column("text")):
             c, sizes = grams(texts, depth)
-            v = np.add.reduceat(find(c), np.cumsum(sizes) - sizes)
-            n_tokens, n_known, base = [], [], []
+            distinct_c, inv = np.unique(c, return_inverse=True)
+            cols["score"] += np.add.reduceat(v[np.searchsorted(u, distinct_c)][inv], np.cumsum(sizes) - sizes).tolist()
+            cols["n_bytes"] += sizes.tolist()
             for x in texts:
-                w = words(x)
-                w.append(END)
-                each = list(map(cost.__getitem__, w))
-                n_tokens.append(len(w))
-                n_known.append(len(w) - each.count(unknown))
-                base.append(sum(each))
-            out.append(pd.DataFrame({"doc_id": p["doc_id"], "held_out": ~p["train"].astype(bool), "n_tokens": n_tokens, "n_known": n_known, "train_tokens": tokens, "base_score": base, "score": v, "n_bytes": sizes}))
-        if not out:
-            return pd.DataFrame(columns=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes"])
-        return pd.concat(out)
-
+                ws = words(x)
+                ws.append(END)
+                logs = list(map(cost.__getitem__, ws))
+                cols["n_tokens"].append(len(ws))
+                cols["n_known"].append(len(ws) - logs.count(unknown))
+                cols["base_score"].append(sum(logs))
+        return pa.table({"doc_id": t.column("doc_id"), "held_out": pa.array(~t.column("train").to_numpy()), "train_tokens": pa.array([tokens] * t.num_rows, pa.int64())} | {k: pa.array(x, pa.float64() if "score" in k else pa.int64()) for k, x in cols.items()})
+
+    back = sent.where(F.col("part") == TEXT).unionByName(values)
     kind = src.schema["doc_id"].dataType.simpleString()
-    scored = dealt.groupBy("batch").cogroup(back.groupBy("batch")).applyInPandas(look_up, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_bytes long")
-    return scored.withColumn("bits_per_byte", -F.col("score") * F.lit(float(np.log2(10))) / F.col("n_bytes"))
+    scored = back.groupBy("batch").applyInArrow(look_up, f"doc_id {kind}, held_out boolean, train_tokens long, n_tokens long, n_known long, base_score double, score double, n_bytes long")
+    names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes"]
+    return scored.select(*names, (-F.col("score") * F.lit(float(np.log2(10))) / F.col("n_bytes")).alias("bits_per_byte"))
 
 
 def evaluate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", parts: int = 7, held: int = 2, depth: int = DEPTH) -> DataFrame:

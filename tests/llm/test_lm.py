@@ -6,6 +6,7 @@ import re
 from collections import Counter
 from functools import cache
 
+import numpy as np
 import pytest
 
 from confluo.llm import lm
@@ -82,21 +83,52 @@ def test_scores(spark):
 
 
 def test_probabilities_sum_to_one():
-    import numpy as np
-    import pandas as pd
-
     codes = np.unique(lm.grams(["the thing then", "this"])[0]).astype(np.int64)
-    n = np.arange(1, len(codes) + 1).astype(float)
-    top = lm.shallow(pd.concat([lm._up((0,), pd.DataFrame({"gram": codes[codes >> 12 & 4095 == p], "n": n[codes >> 12 & 4095 == p]})) for p in np.unique(codes >> 12 & 4095)]))
+    n = np.arange(1, len(codes) + 1)
+    groups = lm.part_of(codes, 3, 64)
+    up = [lm.Trees(codes[groups == p], n[groups == p], 3).up() for p in np.unique(groups)]
+    top = lm.shallow(*(np.concatenate([t.column(c).to_numpy() for t in up]) for c in ("c1", "node", "n0", "n1", "w")))
     ctx = int(codes[5] >> 8)
     every = np.array([ctx << 8 | b for b in range(256)], np.int64)
     have = dict(zip(codes.tolist(), n.tolist(), strict=True))
-    same = codes[(codes >> 8 & 0xFFFF) == (ctx & 0xFFFF)]
+    same = codes[codes >> 16 == ctx >> 8]
     all_codes = np.union1d(every, same)
-    v = lm.gram_values(all_codes, np.array([have.get(int(c), 0.0) for c in all_codes]), top)
+    v = lm.Trees(all_codes, np.array([have.get(int(c), 0) for c in all_codes]), 3).values(top, 3)
     assert sum(10 ** v[np.isin(all_codes, every)]) == pytest.approx(1)
 
 
+def test_packing():
+    r = np.random.default_rng(1)
+    for n in (1, 2, 1000):
+        codes, values = np.unique(r.integers(0, 1 << 56, n)), r.random(n)
+        codes = codes[: len(values)]
+        c, v = lm.unpack(lm.pack(codes, values[: len(codes)]), np.float64)
+        assert (c == codes).all() and (v == values[: len(codes)]).all()
+        c, v = lm.unpack(lm.pack(codes, codes * 3))
+        assert (v == codes * 3).all()
+    x = -r.random(1000) * 9
+    assert np.abs(lm.short(x) / x - 1).max() < 1e-11
+    assert lm.unpack_words(lm.pack_words([" ", "é", "b"], [0, 1, 1 << 40]), 3) == ([" ", "é", "b"], [0, 1, 1 << 40])
+    u, n = lm.total([np.array([1, 5]), np.array([1, 2])], [np.array([1, 1]), np.array([4, 0])])
+    assert u.tolist() == [1, 2, 5] and n.tolist() == [5, 0, 1]
+
+
+def test_any_unicode_in_small_batches_and_shares(spark):
+    """Random characters of all planes, long texts, many batches, few groups, several tasks for each group."""
+    r = random.Random(7)
+    texts = ["".join(chr(r.choice([r.randrange(32, 127), r.randrange(0x80, 0x800), r.randrange(0x4E00, 0x9FFF), r.randrange(0x1F300, 0x1F650)])) for _ in range(r.choice([0, 3, 50]))) for _ in range(30)]
+    texts.append("long " * 400 + "\0end")
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(5)
+    import zlib
+
+    train = [t for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 7 != 2]
+    got = lm.score(df, lm.fold("doc_id", 7) != 2, batch_bytes=300, parts=5, share=50, depth=5).collect()
+    assert len(got) == len(texts)
+    want = brute(train, texts, 5)
+    for x in got:
+        assert x.score == pytest.approx(want[x.doc_id], rel=1e-8)
+
+
 def test_depth(spark):
     """The next word hangs on a byte that lies beyond three bytes; scores equal the node-by-node version."""
     import zlib
