@@ -6,7 +6,9 @@ forward and a backward pass over its window of `window` bytes (windows tile the
 and a document's probability is the mean over its positions.
 
 Edge cases: null texts and texts without a letter get `und` with score 0; texts of any length run in blocks of
-windows; languages that are null in learning rows are not learned; with nothing to learn from all rows are `und`.
+windows; languages that are null in learning rows are not learned; with nothing to learn from all rows are `und`;
+repeated rows are each labelled and, their text being one, learned once; an empty table gives no rows; columns other
+than those named are not read.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from confluo.llm.common import fold, ship
@@ -164,10 +166,13 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sample_
         share = F.when(F.col("lang") == k, F.lit(min(1.0, 1.5 * sample_rows / n))).otherwise(share)
     key = F.pmod(F.xxhash64("text"), F.lit(1 << 40))
     at = F.pmod(F.xxhash64(F.lit(7), "text"), F.greatest(F.length("text") - sample_bytes // 2, F.lit(1))).cast("int") + 1
-    some = src.where(key < share * F.lit(float(1 << 40))).select("lang", F.substr("text", at, F.lit(sample_bytes // 2)).alias("t"), key.alias("k")).collect()
+    drawn = src.where(key < share * F.lit(float(1 << 40))).select("lang", F.substr("text", at, F.lit(sample_bytes // 2)).alias("t"), key.alias("k"))
+    # copies of a text are one row, and each language is cut to its share, before any reach the driver
+    drawn = drawn.groupBy("lang", "k").agg(F.min("t").alias("t"))
+    some = drawn.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("k"))).where(F.col("r") <= sample_rows).select("lang", "k", "t").collect()
     langs, texts, labels = sorted(counts), [], []
     for i, lang in enumerate(langs):
-        own = sorted({(r.k, r.t) for r in some if r.lang == lang})[:sample_rows]
+        own = sorted((r.k, r.t) for r in some if r.lang == lang)
         texts += [t.encode() for _, t in own]
         labels += [i] * len(own)
     got = sorted(set(labels))
