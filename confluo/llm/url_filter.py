@@ -1,12 +1,15 @@
 """URL filters: rules by longest prefix, and an empirical-Bayes reputation of hosts for what no rule covers.
 
 Pages that a rule judges are the labelled outcomes (or a table of outcomes is given). Outcomes are summed by host,
-registered domain (last two labels) and suffix (last label). Each level's mean shrinks towards its parent's through a
-beta prior of `strength` pseudo-counts, whose weight the method of moments sets from the spread of that level's
-outcomes; a host is blocked if the upper posterior bound of its allowed share is below `least`.
+registered domain and suffix: the last label, or the last two where SECOND_LEVEL has them; the domain is the suffix and
+one label more. Each level's mean shrinks towards its parent's through a beta prior, whose pseudo-counts the method of
+moments sets from what that level's outcomes spread beyond the binomial chance of their numbers; a host is blocked if
+the upper posterior bound of its allowed share is below `least`. The bound is mean + WIDTH standard deviations of the
+beta posterior: SQL has no beta quantile, from which it differs by some hundredths for hosts of a few pages.
 
 Edge cases: a null url or one without "://" has an empty host and path; an empty host has no domain or suffix and
-falls to the overall mean; with no outcomes at all, the mean is 1/2 and nothing is blocked; repeated rows count each.
+falls to the overall mean; with no outcomes at all, the mean is 1/2 and nothing is blocked; repeated rows count each; an
+empty table gives no rows; urls of any length are read whole; columns other than id and url are not read.
 """
 
 from __future__ import annotations
@@ -16,6 +19,12 @@ from pyspark.sql import functions as F
 
 #: (rule, verdict): host suffix, then path prefix.
 RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
+#: Public suffixes of two labels; others can be given.
+SECOND_LEVEL = (
+    "co.uk org.uk ac.uk gov.uk ltd.uk me.uk com.au net.au org.au edu.au gov.au co.nz org.nz govt.nz co.jp or.jp ne.jp ac.jp go.jp "
+    "co.kr or.kr com.cn net.cn org.cn gov.cn com.hk com.tw com.sg com.my co.id co.th co.in net.in org.in gov.in com.br org.br "
+    "gov.br com.ar com.mx com.co com.pe com.tr gov.tr com.pl co.za org.za co.il org.il com.ua com.eg com.sa com.ng co.ke"
+).split()
 LEAST, WIDTH, MOST_STRENGTH = 0.5, 1.64, 1000.0
 
 
@@ -39,24 +48,30 @@ def match_rule(host: Column, path: Column, rules=RULES) -> Column:
     return F.coalesce(*tries) if tries else F.lit(None).cast("string")
 
 
-def reputation(outcomes: DataFrame, least: float = LEAST, width: float = WIDTH) -> dict[str, DataFrame]:
+def _levels(host: Column, second_level: list[str]) -> tuple[Column, Column]:
+    """Registered domain and suffix of a host."""
+    two = F.substring_index(host, ".", -2).isin(second_level)
+    return F.when(two, F.substring_index(host, ".", -3)).otherwise(F.substring_index(host, ".", -2)), F.when(two, F.substring_index(host, ".", -2)).otherwise(F.substring_index(host, ".", -1))
+
+
+def reputation(outcomes: DataFrame, least: float = LEAST, width: float = WIDTH, second_level: list[str] = SECOND_LEVEL) -> dict[str, DataFrame]:
     """Posterior (mean, upper) of allowed pages, by level: overall (one row), suffix, domain and host.
 
     outcomes: host, good (long), n (long); one row a host. Overall: Beta(1, 1).
     """
-    host = outcomes.select(F.col("host").alias("key"), F.substring_index("host", ".", -2).alias("domain"), "good", "n")
-    domain = host.groupBy(F.col("domain").alias("key")).agg(F.sum("good").alias("good"), F.sum("n").alias("n")).withColumn("suffix", F.substring_index("key", ".", -1))
+    host = outcomes.select(F.col("host").alias("key"), _levels(F.col("host"), second_level)[0].alias("domain"), "good", "n")
+    domain = host.groupBy(F.col("domain").alias("key")).agg(F.sum("good").alias("good"), F.sum("n").alias("n")).withColumn("suffix", _levels(F.col("key"), second_level)[1])
     suffix = domain.groupBy(F.col("suffix").alias("key")).agg(F.sum("good").alias("good"), F.sum("n").alias("n")).withColumn("all", F.lit(""))
     overall = suffix.agg(F.coalesce(F.sum("good"), F.lit(0)).alias("good"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).select(F.lit("").alias("key"), "good", "n", ((F.col("good") + 1) / (F.col("n") + 2)).alias("mean"), (F.col("n") + 2).cast("double").alias("weight"))
     levels = {"overall": overall}
     for name, own, up_key in (("suffix", suffix, "all"), ("domain", domain, "suffix"), ("host", host, "domain")):
         up = levels[{"suffix": "overall", "domain": "suffix", "host": "domain"}[name]].select(F.col("key").alias(up_key), F.col("mean").alias("up"))
         t = own.join(up, up_key)
-        # method of moments: between-key variance of shares gives the prior's pseudo-count, 1 at least
-        spread = t.agg(
-            (F.sum(F.col("n") * F.pow(F.col("good") / F.col("n") - F.col("up"), 2)) / F.sum("n")).alias("v"),
-            (F.sum(F.col("n") * F.col("up") * (1 - F.col("up"))) / F.sum("n")).alias("b"),
-        ).select(F.coalesce(F.greatest(F.lit(1.0), F.least(F.lit(MOST_STRENGTH), F.when(F.col("v") > 0, F.col("b") / F.col("v") - 1).otherwise(MOST_STRENGTH))), F.lit(1.0)).alias("k"))
+        # method of moments: a share of n varies by u (1 - u) (1 + (n - 1) rho) / n, and rho is 1 / (pseudo-counts + 1)
+        q = F.col("up") * (1 - F.col("up"))
+        rho = (F.sum(F.col("n") * F.pow(F.col("good") / F.col("n") - F.col("up"), 2)) - F.sum(q)) / F.nullif(F.sum((F.col("n") - 1) * q), F.lit(0.0))
+        # no spread beyond chance, or none that can be told from it: the strongest prior
+        spread = t.agg(rho.alias("rho")).select(F.greatest(F.lit(1.0), F.least(F.lit(MOST_STRENGTH), F.when(F.col("rho") > 0, 1 / F.col("rho") - 1).otherwise(MOST_STRENGTH))).alias("k"))
         # one row, by construction
         t = t.crossJoin(F.broadcast(spread))
         levels[name] = t.select("key", "good", "n", ((F.col("good") + F.col("k") * F.col("up")) / (F.col("n") + F.col("k"))).alias("mean"), (F.col("n") + F.col("k")).alias("weight"))
@@ -64,7 +79,7 @@ def reputation(outcomes: DataFrame, least: float = LEAST, width: float = WIDTH)
     return {k: v.select("key", "mean", (F.col("mean") + width * sd < least).alias("bad")) for k, v in levels.items()}
 
 
-def judge(pages: DataFrame, rules=RULES, outcomes: DataFrame | None = None, least: float = LEAST, width: float = WIDTH, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+def judge(pages: DataFrame, rules=RULES, outcomes: DataFrame | None = None, least: float = LEAST, width: float = WIDTH, id_col: str = "page_id", url_col: str = "url", second_level: list[str] = SECOND_LEVEL) -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict, level (what decided: rule, host, domain, suffix, overall)."""
     base = pages.select(F.col(id_col).alias("page_id"), url_host(F.col(url_col)).alias("host"), url_path(F.col(url_col)).alias("path"))
     base = base.withColumn("rule", match_rule(F.col("host"), F.col("path"), rules))
@@ -72,10 +87,11 @@ def judge(pages: DataFrame, rules=RULES, outcomes: DataFrame | None = None, leas
     if outcomes is None:
         judged = base.where(F.col("rule").isNotNull() & (F.col("host") != ""))
         outcomes = judged.groupBy("host").agg(F.sum(F.col("rule").isin(allows).cast("long")).alias("good"), F.count("*").alias("n"))
-    rep = reputation(outcomes, least, width)
+    rep = reputation(outcomes, least, width, second_level)
     # reputations go to distinct hosts first, so a host with a third of all pages is one row in every join but the last
     hosts = base.where("rule IS NULL").select("host").distinct()
-    hosts = hosts.withColumn("domain", F.substring_index("host", ".", -2)).withColumn("suffix", F.substring_index("host", ".", -1))
+    domain, suffix = _levels(F.col("host"), second_level)
+    hosts = hosts.withColumn("domain", domain).withColumn("suffix", suffix)
     for name in ("host", "domain", "suffix"):
         hosts = hosts.join(rep[name].select(F.col("key").alias(name), F.col("bad").alias(f"{name}_bad")), name, "left")
     hosts = hosts.crossJoin(F.broadcast(rep["overall"].select(F.col("bad").alias("overall_bad"))))
@@ -91,17 +107,20 @@ def _sql(rules=RULES) -> str:
     order = sorted(rules, key=lambda r: (-len(r[0]), r[0]))
     case = " ".join(f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '/{p}') THEN '{r}'" for r, _ in order for h, p in [r.split("/", 1)])
     allow = ", ".join(f"'{r}'" for r, v in rules if v == "allow")
+    two = f"array_to_string(string_split({{0}}, '.')[-2:], '.') IN ({', '.join(repr(x) for x in SECOND_LEVEL)})"
+    domain = lambda h: f"CASE WHEN {two.format(h)} THEN array_to_string(string_split({h}, '.')[-3:], '.') ELSE array_to_string(string_split({h}, '.')[-2:], '.') END"
+    suffix = lambda h: f"CASE WHEN {two.format(h)} THEN array_to_string(string_split({h}, '.')[-2:], '.') ELSE string_split({h}, '.')[-1] END"
     level = lambda name, own, key, up: f"""
-{name}_k AS (SELECT coalesce(greatest(1.0, least({MOST_STRENGTH}, CASE WHEN v > 0 THEN b / v - 1 ELSE {MOST_STRENGTH} END)), 1.0) AS k FROM
-  (SELECT sum(n * power(good / n - u.mean, 2)) / sum(n) AS v, sum(n * u.mean * (1 - u.mean)) / sum(n) AS b FROM {own} o JOIN {up} u ON o.up = u.key)),
+{name}_k AS (SELECT greatest(1.0, least({MOST_STRENGTH}, CASE WHEN rho > 0 THEN 1 / rho - 1 ELSE {MOST_STRENGTH} END)) AS k FROM
+  (SELECT (sum(n * power(good / n - u.mean, 2)) - sum(u.mean * (1 - u.mean))) / nullif(sum((n - 1) * u.mean * (1 - u.mean)), 0) AS rho FROM {own} o JOIN {up} u ON o.up = u.key)),
 {name} AS (SELECT o.key, (good + k * u.mean) / (n + k) AS mean, n + k AS weight FROM {own} o JOIN {up} u ON o.up = u.key, {name}_k)"""
     bad = f"mean + {WIDTH} * sqrt(mean * (1 - mean) / (weight + 1)) < {LEAST}"
     return rf"""
 WITH u AS (SELECT page_id, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
   coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
 b AS (SELECT *, CASE {case} END AS rule FROM u),
-oh AS (SELECT host AS key, array_to_string(string_split(host, '.')[-2:], '.') AS up, sum((rule IN ({allow}))::INT)::DOUBLE AS good, count(*)::DOUBLE AS n FROM b WHERE rule IS NOT NULL AND host <> '' GROUP BY host),
-od AS (SELECT up AS key, string_split(up, '.')[-1] AS up, sum(good) AS good, sum(n) AS n FROM oh GROUP BY ALL),
+oh AS (SELECT host AS key, {domain("host")} AS up, sum((rule IN ({allow}))::INT)::DOUBLE AS good, count(*)::DOUBLE AS n FROM b WHERE rule IS NOT NULL AND host <> '' GROUP BY host),
+od AS (SELECT up AS key, {suffix("up")} AS up, sum(good) AS good, sum(n) AS n FROM oh GROUP BY ALL),
 os AS (SELECT up AS key, '' AS up, sum(good) AS good, sum(n) AS n FROM od GROUP BY ALL),
 overall AS (SELECT '' AS key, (coalesce(sum(good), 0) + 1) / (coalesce(sum(n), 0) + 2) AS mean, coalesce(sum(n), 0) + 2 AS weight FROM os),
 {level("ls", "os", "suffix", "overall")},
@@ -113,8 +132,8 @@ SELECT page_id, host, path, rule,
     WHEN coalesce(h.bad, d.bad, s.bad, (SELECT {bad} FROM overall)) THEN 'block' ELSE 'allow' END AS verdict,
   CASE WHEN rule IS NOT NULL THEN 'rule' WHEN h.bad IS NOT NULL THEN 'host' WHEN d.bad IS NOT NULL THEN 'domain' WHEN s.bad IS NOT NULL THEN 'suffix' ELSE 'overall' END AS level
 FROM b LEFT JOIN rep h ON h.l = 1 AND h.key = host
-LEFT JOIN rep d ON d.l = 2 AND d.key = array_to_string(string_split(host, '.')[-2:], '.')
-LEFT JOIN rep s ON s.l = 3 AND s.key = string_split(host, '.')[-1]
+LEFT JOIN rep d ON d.l = 2 AND d.key = {domain("host")}
+LEFT JOIN rep s ON s.l = 3 AND s.key = {suffix("host")}
 """
 
 

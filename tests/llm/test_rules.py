@@ -6,6 +6,8 @@ from collections import Counter
 import duckdb
 import pandas as pd
 
+import pytest
+
 from confluo.llm import quality, url_filter
 
 
@@ -43,3 +45,34 @@ def test_url_filter(spark):
     assert by[5] == ("example.org", "/es/1", "example.org/es/", "block") and by[6][2:] == ("example.org/en/1", "block") and by[7][2:] == ("org/", "allow")
     assert by[8][2:] == ("org/", "allow") and by[9][2:] == ("com/fr/", "allow") and by[11][2] is None and by[0][:2] == ("", "") and by[13][:2] == ("b.net", "/p")
     assert url_filter.judge(spark.createDataFrame(rows, "page_id long, url string, host string").limit(0)).count() == 0
+
+
+def test_reputation_shrinks_by_spread_beyond_chance(spark):
+    """Posterior means equal a plain version, and hosts under two-label suffixes have domains of their own."""
+    from collections import defaultdict
+
+    rows = [("a.x.co.uk", 9, 10), ("b.x.co.uk", 1, 10), ("c.y.co.uk", 5, 10), ("d.z.com", 30, 30), ("z.com", 0, 20), ("e.w.com", 7, 40), ("localhost", 1, 1)]
+    got = url_filter.reputation(spark.createDataFrame(rows, "host string, good long, n long"))
+    mean = {k: {r.key: r["mean"] for r in df.collect()} for k, df in got.items()}
+
+    def cut(host, more):
+        parts = host.split(".")
+        n = (2 if ".".join(parts[-2:]) in url_filter.SECOND_LEVEL else 1) + more
+        return ".".join(parts[-n:])
+
+    levels = [[(h, cut(h, 1), g, n) for h, g, n in rows]]
+    for more in (0, None):
+        add = defaultdict(lambda: [0, 0])
+        for _, up, g, n in levels[-1]:
+            add[up][0] += g
+            add[up][1] += n
+        levels.append([(k, "" if more is None else cut(k, more), g, n) for k, (g, n) in add.items()])
+    above = {"": (sum(g for *_, g, _ in levels[0]) + 1) / (sum(n for *_, n in levels[0]) + 2)}
+    for name, level in (("suffix", levels[2]), ("domain", levels[1]), ("host", levels[0])):
+        u = [above[up] for _, up, _, _ in level]
+        extra = sum(n * (g / n - x) ** 2 for (_, _, g, n), x in zip(level, u, strict=True)) - sum(x * (1 - x) for x in u)
+        rho = extra / sum((n - 1) * x * (1 - x) for (*_, n), x in zip(level, u, strict=True))
+        k = max(1.0, min(1000.0, 1 / rho - 1 if rho > 0 else 1000.0))
+        above = {key: (g + k * x) / (n + k) for (key, _, g, n), x in zip(level, u, strict=True)}
+        assert mean[name] == pytest.approx(above)
+    assert set(mean["domain"]) == {"x.co.uk", "y.co.uk", "z.com", "w.com", "localhost"} and set(mean["suffix"]) == {"co.uk", "com", "localhost"}
