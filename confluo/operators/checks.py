@@ -20,6 +20,15 @@ def references(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFra
     return lost.unionByName(twice)
 
 
+#: Fixed value: the form of an entity's id.
+ID = r"^[a-z0-9]+(?:-[a-z0-9]+)*$"
+
+
+def records(df: DataFrame, entity: str, name: str) -> DataFrame:
+    """Records whose id has another form (bad-id) or whose name is blank (blank-name)."""
+    return violations(df, F.col(entity), {"bad-id": ~F.coalesce(F.col(entity).rlike(ID), F.lit(False)), "blank-name": F.trim(F.coalesce(F.col(name), F.lit(""))) == ""}, F.col(name))
+
+
 def ambiguous_aliases(records: DataFrame, entity: str, key: str, countries: str) -> DataFrame:
     """(key, country, n, first, last) of keys that several records of one country, or several without any, share.
 

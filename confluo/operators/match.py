@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from confluo.scratch import scratch
 
 
-def mutual_unique(left: DataFrame, right: DataFrame, left_id: str, right_id: str, steps: list[str]) -> tuple[DataFrame, DataFrame]:
+def mutual_unique(left: DataFrame, right: DataFrame, left_id: str, right_id: str, steps: list[str], generic: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """Match each left row to the one right row that shares a key, keys being tried in order; a step counts only with
-    exactly one hit, and right rows that two left rows claim are dropped as ambiguous.
+    exactly one hit, and right rows that two left rows claim are dropped as ambiguous. Steps named in generic ignore
+    keys that several left rows hold: such a key names a kind of thing, not one.
 
     left and right hold an array column of keys for each step. Returns (matches: left_id, right_id, matched_by) and
     counts (outcome, n). Right rows meet a key only in numbers: keys are reduced to (n, only id) first.
@@ -19,6 +20,8 @@ def mutual_unique(left: DataFrame, right: DataFrame, left_id: str, right_id: str
     for place, step in enumerate(steps):
         index = right.select(F.explode(F.array_distinct(step)).alias("key"), F.col(right_id).alias("r")).where("key <> ''").groupBy("key").agg(F.min("r").alias("lo"), F.max("r").alias("hi"))
         own = left.select(F.col(left_id).alias("l"), F.explode(F.array_distinct(step)).alias("key"))
+        if step in generic:
+            own = own.join(own.groupBy("key").agg(F.count("*").alias("holders")).where("holders = 1"), "key", "left_semi")
         found = own.join(index, "key").groupBy("l").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).select("l", F.lit(place).alias("place"), F.lit(step).alias("matched_by"), F.when(F.col("lo") == F.col("hi"), F.col("lo")).alias("r"))
         hits = found if hits is None else hits.unionByName(found)
     best = hits.where("r IS NOT NULL").groupBy("l").agg(F.min_by(F.struct("r", "matched_by"), "place").alias("m")).select("l", "m.*")

@@ -33,6 +33,12 @@ def failed_report(df: DataFrame, category: str, ok: Column, skipped: str) -> Dat
     return df.groupBy(category).agg(F.count_if(ok).alias("active"), F.count_if(~ok & (F.col(category) != skipped)).alias("failed"), F.count_if(~ok & (F.col(category) == skipped)).alias("skipped"))
 
 
+def failed_rows(df: DataFrame, category: str, ok: Column, keep: list[str], skipped: str | None = None) -> DataFrame:
+    """The failed rows themselves, but for those of the skipped category; an unknown outcome has failed."""
+    bad = ~F.coalesce(ok, F.lit(False))
+    return df.where(bad if skipped is None else bad & ~F.coalesce(F.col(category) == skipped, F.lit(False))).select(category, *keep)
+
+
 def nested_index(entities: DataFrame, candidates: DataFrame, key: str, fields: list[str]) -> DataFrame:
     """Entities with the sorted array of all their candidates."""
     c = candidates.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("candidates"))

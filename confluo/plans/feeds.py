@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from confluo.functions import names
 from confluo.operators import lookup
 from confluo.plans.registry import query, table
+from confluo.scratch import folder
 from confluo.sources import feeds, playlists
 
 _GROUP = "CASE WHEN p_size % 4 = 0 THEN '' ELSE p_type END"
@@ -94,12 +95,48 @@ def adapter_blank_fill(spark, d):
     return feeds.blank_fill(c, s, "c_custkey", ["c_name", "c_mktsegment"])
 
 
-@query()
-def xml_names(spark, d):
-    """Parts as an XML guide, written and read back."""
-    from confluo.scratch import folder
+@query("SELECT p_partkey, p_name AS title, 'http://h/' || p_partkey AS url, 1 AS headers FROM part")
+def m3u_file_round_trip(spark, d):
+    """Parts written as one playlist over several files and read back from there; the header is there once."""
+    path = folder(spark)
+    text = playlists.render(_attrs(), F.col("p_name"), F.concat(F.lit("http://h/"), F.col("p_partkey").cast("string")))
+    playlists.write(table(spark, d, "part"), path, [F.col("p_type"), F.col("p_partkey")], text, header='#EXTM3U url-tvg="http://h/g.xml"')
+    entries, headers, _ = playlists.scan(playlists.read(spark, path))
+    n = headers.where("header = '#EXTM3U url-tvg=\"http://h/g.xml\"'").agg(F.count("*").cast("int").alias("headers"))
+    return entries.select(playlists.get(F.col("attrs"), "tvg-id").cast("long").alias("p_partkey"), "title", "url").crossJoin(F.broadcast(n))  # one row
+
+
+@query("""SELECT s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN '#EXTM3U url-tvg="https://h/guide$1.xml" x="' || s_name || '"' ELSE '#EXTM3U x="' || s_name || '" url-tvg="https://h/guide$1.xml"' END AS header FROM supplier""")
+def guide_header(spark, d):
+    old = F.when(F.col("s_suppkey") % 2 == 0, F.concat(F.lit('#EXTM3U url-tvg="http://old" x="'), F.col("s_name"), F.lit('"'))).otherwise(F.concat(F.lit('#EXTM3U x="'), F.col("s_name"), F.lit('"')))
+    return table(spark, d, "supplier").select("s_suppkey", playlists.guide_header(old, "https://h/guide$1.xml").alias("header"))
+
 
+@query("SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'https://c/' || CASE WHEN page_id % 2 = 0 THEN 'ab12' ELSE 'cd34' END || '/playlist.m3u8?token=t' || page_id || 'z' WHEN 1 THEN 'https://h/x' || page_id || '/playlist.m3u8?token=t' || page_id || 'z' END AS address FROM pages")
+def html_base64(spark, d):
+    """Addresses in base64 chunks without padding, as player pages hold them."""
+    bare = lambda x: F.regexp_replace(F.base64(x.cast("binary")), r"[=\r\n]+", "")
+    k = F.col("page_id").cast("string")
+    address = F.concat(F.when(F.col("page_id") % 3 == 1, F.concat(F.lit("https://h/x"), k, F.lit("/playlist.m3u8"))).otherwise(""), F.lit("?token=t"), k, F.lit("z"))
+    channel = F.when(F.col("page_id") % 3 == 2, "").when(F.col("page_id") % 2 == 0, 'var _CH = "ab12";').otherwise('var _CH="cd34";')
+    page = F.concat(F.col("html"), channel, F.lit("var a1 = '"), bare(F.substr(address, F.lit(1), F.lit(5))), F.lit("'; var b = '"), bare(F.substr(address, F.lit(6))), F.lit("';"))
+    return table(spark, d, "pages").select("page_id", feeds.stream_address(page, "https://c/").alias("address"))
+
+
+@query("SELECT s_suppkey, n_name AS country, 'https://h/v2/' || s_suppkey || '/master.m3u8?jwt=' || s_name || '&x=1' AS url FROM supplier JOIN nation ON n_nationkey = s_nationkey WHERE s_suppkey % 4 <> 0 AND s_suppkey % 4 <> 3 AND n_name IN ('NATION_1', 'NATION_2', 'NATION_5', 'NATION_8', 'NATION_13', 'NATION_21')")
+def adapter_template(spark, d):
+    """Records of an API that are stitched and come from allowed countries, with addresses from a template."""
+    s = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    stitched = F.when(F.col("s_suppkey") % 4 == 3, F.lit(None).cast("boolean")).otherwise(F.col("s_suppkey") % 4 != 0)
+    allow = ["nation_1", "Nation_2", "NATION_5", "NATION_8", "NATION_13", "NATION_21"]
+    out = feeds.adapt(s, stitched, "https://h/v2/{id}/master.m3u8?jwt={token}&x=1", {"id": F.col("s_suppkey"), "token": F.col("s_name")}, F.col("n_name"), allow)
+    return out.select("s_suppkey", F.col("n_name").alias("country"), "url")
+
+
+@query("SELECT p_brand || '.' || p_partkey AS ext_id, p_name || ' & <b>' AS name, 'en' AS lang FROM part")
+def xml_names(spark, d):
+    """Parts as a gzipped XML guide with entities, written and read back."""
     path = folder(spark)
-    p = table(spark, d, "part").select(F.concat("p_brand", F.lit("."), F.col("p_partkey").cast("string")).alias("_id"), F.array(F.struct(F.col("p_name").alias("_VALUE"), F.lit("en").alias("_lang"))).alias("display-name"))
-    p.write.format("xml").option("rowTag", "channel").option("rootTag", "tv").save(path)
+    p = table(spark, d, "part").select(F.concat("p_brand", F.lit("."), F.col("p_partkey").cast("string")).alias("_id"), F.array(F.struct(F.concat("p_name", F.lit(" & <b>")).alias("_VALUE"), F.lit("en").alias("_lang"))).alias("display-name"))
+    p.write.format("xml").option("rowTag", "channel").option("rootTag", "tv").option("compression", "gzip").save(path)
     return feeds.read_xml_names(spark, path).select("ext_id", F.col("names")[0]["name"].alias("name"), F.col("names")[0]["lang"].alias("lang"))

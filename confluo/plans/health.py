@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from confluo.operators import health
+from confluo.operators import health, resolve, survive
 from confluo.plans.registry import query, table
-from confluo.scratch import folder
-from confluo.streaming.health_stream import fold_stream
+from confluo.plans.resolution import RESOLVE_SQL, aliases, entities, entries
+from confluo.scratch import folder, scratch
+from confluo.streaming.health_stream import fold_stream, on_snapshots
 
 _RUNS = "SELECT user_id, ts, event_id, ok, sum(ok::INT) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM (SELECT *, event_type = 'purchase' AS ok FROM events)"
 
@@ -16,10 +17,11 @@ def _checks(spark, d):
     return table(spark, d, "events").select("user_id", "ts", "event_id", (F.col("event_type") == "purchase").alias("ok"))
 
 
-@query(
-    f"""WITH r AS ({_RUNS}), f AS (SELECT user_id, count(*) FILTER (NOT ok AND i = mi) AS failures, max(ts) AS last_check, max(ts) FILTER (ok) AS last_success FROM (SELECT *, max(i) OVER (PARTITION BY user_id) AS mi FROM r) GROUP BY user_id)
+_FOLD = f"""WITH r AS ({_RUNS}), f AS (SELECT user_id, count(*) FILTER (NOT ok AND i = mi) AS failures, max(ts) AS last_check, max(ts) FILTER (ok) AS last_success FROM (SELECT *, max(i) OVER (PARTITION BY user_id) AS mi FROM r) GROUP BY user_id)
     SELECT user_id, failures, last_check, last_success, CASE WHEN failures = 0 THEN 'online' WHEN failures <= 2 THEN 'degraded' WHEN failures < 6 THEN 'unstable' ELSE 'offline' END AS status, failures < 6 AS enabled FROM f"""
-)
+
+
+@query(_FOLD)
 def health_fold(spark, d):
     return health.fold(_checks(spark, d), "user_id", ["ts", "event_id"], "ok")
 
@@ -40,7 +42,7 @@ def upsert_present(spark, d):
     return health.upsert(state, fold(e.where("ts >= '2024-01-10' AND ts < '2024-01-11'")), "user_id")
 
 
-@query()
+@query(f"SELECT user_id, failures, last_check, status, enabled FROM ({_FOLD})")
 def health_fold_stream(spark, d):
     """Final states of the fold run as a stream over the events table; equal to health_fold."""
     path = folder(spark)
@@ -55,18 +57,22 @@ def health_fold_stream(spark, d):
     return got.groupBy("user_id").agg(F.max_by(F.struct("failures", "last_check", "status", "enabled"), "batch").alias("s")).select("user_id", "s.*")
 
 
-@query()
+@query(f"SELECT entity_id, arg_min(p_partkey, (p_size, p_partkey)) AS p_partkey, min(p_size) AS p_size, arg_min(matched_by, (p_size, p_partkey)) AS matched_by FROM ({RESOLVE_SQL}) JOIN part USING (p_partkey) GROUP BY entity_id")
 def ingest_rebuild(spark, d):
-    """Snapshots of lineitem arrive as a stream; the best candidate of each entity is rebuilt for those touched."""
-    from confluo.operators import survive
-
-    path = folder(spark)
-    src = spark.readStream.schema(table(spark, d, "lineitem").schema).parquet(f"{d}/lineitem.parque[t]")
+    """Snapshots of parts arrive as a stream; each is resolved, and the best candidate of the entities it touches is
+    rebuilt from all that has arrived for them."""
+    path, rank = folder(spark), [F.col("p_size"), F.col("p_partkey")]
+    known, named = scratch(entities(spark, d)), scratch(aliases(spark, d))
+    src = spark.readStream.schema(table(spark, d, "part").schema).parquet(f"{d}/part.parque[t]")
 
     def rebuild(batch, n):
-        rank = [F.col("l_quantity"), F.col("l_orderkey"), F.col("l_linenumber")]
-        survive.survivors(batch, ["l_partkey"], rank, ["l_orderkey", "l_linenumber", "l_quantity"]).write.mode("overwrite").parquet(f"{path}/out/batch={n}")
-
-    src.writeStream.foreachBatch(rebuild).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start().awaitTermination()
-    rank = [F.col("l_quantity"), F.col("l_orderkey"), F.col("l_linenumber")]
-    return survive.survivors(spark.read.parquet(f"{path}/out/*"), ["l_partkey"], rank, ["l_orderkey", "l_linenumber", "l_quantity"])
+        found = resolve.resolve(entries(batch), known, named).select("entity_id", "matched_by", F.col("entry_key").alias("p_partkey"))
+        found.join(batch.select("p_partkey", "p_size"), "p_partkey").write.mode("overwrite").parquet(f"{path}/candidates/batch={n}")
+        all_ = spark.read.parquet(f"{path}/candidates")
+        touched = all_.where(F.col("batch") == n).select("entity_id").distinct()
+        best = survive.survivors(all_.join(touched, "entity_id", "left_semi"), ["entity_id"], rank, ["p_partkey", "p_size", "matched_by"])
+        best.write.mode("overwrite").parquet(f"{path}/best/batch={n}")
+
+    on_snapshots(src, rebuild, f"{path}/state").awaitTermination()
+    best = spark.read.parquet(f"{path}/best")
+    return best.groupBy("entity_id").agg(F.max_by(F.struct("p_partkey", "p_size", "matched_by"), "batch").alias("s")).select("entity_id", "s.*")

@@ -65,6 +65,26 @@ def failed_report(spark, d):
     return report.failed_report(table(spark, d, "events").where("value IS NOT NULL"), "event_type", F.col("value") > 50, "error")
 
 
+@query("SELECT event_type, event_id, user_id FROM events WHERE value <= 50 AND event_type <> 'error'")
+def failed_rows(spark, d):
+    """The rows that failed_report counts as failed."""
+    return report.failed_rows(table(spark, d, "events").where("value IS NOT NULL"), "event_type", F.col("value") > 50, ["event_id", "user_id"], skipped="error")
+
+
+@query("SELECT event_type, event_id, value FROM events WHERE value IS NOT NULL AND event_type IS NOT NULL AND value <= 50")
+def check_failures(spark, d):
+    """The rows that check_rate counts as failed."""
+    return report.failed_rows(table(spark, d, "events").where("value IS NOT NULL AND event_type IS NOT NULL"), "event_type", F.col("value") > 50, ["event_id", "value"])
+
+
+@query("""SELECT 'bad-id' AS "check", id AS key, name AS detail FROM (SELECT CASE p_partkey % 4 WHEN 0 THEN 'p-' || p_partkey WHEN 1 THEN 'P' || p_partkey WHEN 2 THEN 'p--' || p_partkey ELSE p_partkey::VARCHAR END AS id, CASE WHEN p_partkey % 7 = 0 THEN ' ' ELSE p_name END AS name, p_partkey AS k FROM part) WHERE k % 4 IN (1, 2)
+UNION ALL SELECT 'blank-name', CASE p_partkey % 4 WHEN 0 THEN 'p-' || p_partkey WHEN 1 THEN 'P' || p_partkey WHEN 2 THEN 'p--' || p_partkey ELSE p_partkey::VARCHAR END, ' ' FROM part WHERE p_partkey % 7 = 0""")
+def dq_records(spark, d):
+    own = F.expr("CASE p_partkey % 4 WHEN 0 THEN concat('p-', p_partkey) WHEN 1 THEN concat('P', p_partkey) WHEN 2 THEN concat('p--', p_partkey) ELSE string(p_partkey) END")
+    p = table(spark, d, "part").select(own.alias("id"), F.when(F.col("p_partkey") % 7 == 0, " ").otherwise(F.col("p_name")).alias("name"))
+    return checks.records(p, "id", "name")
+
+
 @query("SELECT 'left' AS side, p_partkey FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 40) UNION ALL SELECT DISTINCT 'right', l_partkey FROM lineitem WHERE l_quantity > 40 AND l_partkey NOT IN (SELECT p_partkey FROM part)")
 def set_diff(spark, d):
     li = table(spark, d, "lineitem").where("l_quantity > 40").select(F.col("l_partkey").alias("p_partkey"))

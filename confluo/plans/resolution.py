@@ -15,24 +15,24 @@ _ENTITIES = f"SELECT min(p_partkey) AS p, p_name, p_brand, {_PLACE} AS place FRO
 _ENTRY_PLACE = "CASE WHEN p_size % 3 = 0 THEN '' WHEN p_size % 3 = 1 THEN 'US' ELSE 'FR' END"
 
 
-def _entities(spark, d):
+def entities(spark, d):
     p = table(spark, d, "part").where("p_partkey % 11 < 4").groupBy("p_name", "p_brand").agg(F.min("p_partkey").alias("p")).withColumn("place", F.expr(_PLACE))
     name = names.name_key("p_name")
     return p.select(F.concat(F.lit("e"), F.col("p").cast("string")).alias("entity_id"), F.array(name).alias("keys"), F.when(F.col("place") == "", F.array().cast("array<string>")).otherwise(F.array("place")).alias("countries"))
 
 
-def _entries(spark, d):
+def entries(parts):
     n = F.expr(NOISY)
-    return table(spark, d, "part").select(F.col("p_partkey").alias("entry_key"), F.col("p_brand").alias("source"), F.array(names.name_key(F.concat(F.lit("zz "), n)), names.name_key(n)).alias("keys"), F.expr(_ENTRY_PLACE).alias("country"), names.slug(n).alias("slug"))
+    return parts.select(F.col("p_partkey").alias("entry_key"), F.col("p_brand").alias("source"), F.array(names.name_key(F.concat(F.lit("zz "), n)), names.name_key(n)).alias("keys"), F.expr(_ENTRY_PLACE).alias("country"), names.slug(n).alias("slug"))
 
 
-def _aliases(spark, d):
+def aliases(spark, d):
     # a brand's own name for a part, if one entity alone bears it there
     e = table(spark, d, "part").where("p_partkey % 11 < 4 AND p_brand = 'Brand#22'").groupBy("p_name", "p_brand").agg(F.min("p_partkey").alias("p"))
     return e.select(F.col("p_brand").alias("source"), names.name_key("p_name").alias("alias_key"), F.concat(F.lit("e"), F.col("p").cast("string")).alias("entity_id"))
 
 
-_RESOLVE = f"""
+RESOLVE_SQL = f"""
 WITH ent AS ({_ENTITIES}), k AS (SELECT 'e' || p AS id, {KEY_SQL('p_name')} AS key, place, p_brand FROM ent),
 al AS (SELECT p_brand AS source, key, id FROM k WHERE p_brand = 'Brand#22'),
 nm AS (SELECT key, count(*) AS n, min(id) AS only_id, count(*) FILTER (place = '') AS na, min(id) FILTER (place = '') AS aid FROM k GROUP BY key),
@@ -46,15 +46,15 @@ SELECT p_partkey, coalesce(alias_id, one, CASE WHEN n > 1 THEN 'unmapped-' || sl
 
 
 def _resolved(spark, d):
-    return resolve.resolve(_entries(spark, d), _entities(spark, d), _aliases(spark, d))
+    return resolve.resolve(entries(table(spark, d, "part")), entities(spark, d), aliases(spark, d))
 
 
-@query(_RESOLVE)
+@query(RESOLVE_SQL)
 def resolve_cascade(spark, d):
     return _resolved(spark, d).select(F.col("entry_key").alias("p_partkey"), "entity_id", "matched_by")
 
 
-@query(f"SELECT matched_by, count(*) AS n FROM ({_RESOLVE}) WHERE matched_by IN ('fallback', 'ambiguous-fallback') GROUP BY matched_by")
+@query(f"SELECT matched_by, count(*) AS n FROM ({RESOLVE_SQL}) WHERE matched_by IN ('fallback', 'ambiguous-fallback') GROUP BY matched_by")
 def unresolved(spark, d):
     return _resolved(spark, d).where(F.col("matched_by").isin("fallback", "ambiguous-fallback")).groupBy("matched_by").agg(F.count("*").alias("n"))
 
@@ -68,7 +68,7 @@ def unique_ref(spark, d):
 
 @query(f"SELECT key, count(*) AS n, min(id) AS only_id, count(*) FILTER (place = '') AS n_agnostic, min(id) FILTER (place = '') AS agnostic_id FROM (SELECT 'e' || p AS id, {KEY_SQL('p_name')} AS key, place FROM ({_ENTITIES})) GROUP BY key")
 def key_index(spark, d):
-    return resolve.key_index(_entities(spark, d))[0]
+    return resolve.key_index(entities(spark, d))[0]
 
 
 @query(f"SELECT p_partkey, slug || CASE WHEN (many OR man) AND place <> '' THEN '-' || lower(place) ELSE '' END AS entity_id FROM (SELECT p_partkey, slug, place, min(place) OVER w <> max(place) OVER w AS many, slug IN (SELECT {KEY_SQL('p_name', '-')} FROM part WHERE p_partkey < 4) AS man FROM (SELECT p_partkey, {KEY_SQL('p_name', '-')} || '-' || p_size AS slug, {_PLACE} AS place FROM part) WINDOW w AS (PARTITION BY slug))")
@@ -101,6 +101,30 @@ def mutual_unique_counts(spark, d):
     return _mutual(spark, d)[1]
 
 
+_STEPS = """
+WITH c AS (SELECT c_custkey AS l, CASE WHEN c_custkey % 3 = 0 THEN 's' || (c_custkey // 4) END AS ref, CASE WHEN c_custkey % 2 = 0 THEN floor(c_acctbal / 20)::INT || ':' || c_nationkey END AS placed, CASE WHEN c_custkey % 2 = 1 THEN floor(c_acctbal / 20)::INT || '' END AS named FROM customer),
+s AS (SELECT s_suppkey AS r, 's' || s_suppkey AS ref, floor(s_acctbal / 20)::INT || ':' || s_nationkey AS placed, floor(s_acctbal / 20)::INT || '' AS named FROM supplier),
+own AS (SELECT ref FROM c WHERE ref IS NOT NULL GROUP BY ref HAVING count(*) = 1),
+h AS (SELECT l, 0 AS place, 'ref' AS matched_by, min(r) AS r FROM c JOIN own USING (ref) JOIN s USING (ref) GROUP BY l HAVING count(DISTINCT r) = 1
+  UNION ALL SELECT l, 1, 'placed', min(r) FROM c JOIN s USING (placed) GROUP BY l HAVING count(DISTINCT r) = 1 UNION ALL SELECT l, 2, 'named', min(r) FROM c JOIN s USING (named) GROUP BY l HAVING count(DISTINCT r) = 1),
+b AS (SELECT l, r, matched_by FROM h QUALIFY row_number() OVER (PARTITION BY l ORDER BY place) = 1)
+SELECT l AS c_custkey, r AS s_suppkey, matched_by FROM b QUALIFY count(*) OVER (PARTITION BY r) = 1"""
+
+
+@query(_STEPS)
+def mutual_unique_cascade(spark, d):
+    """Source id first, unless several hold it, then name with country where that is known, else the name alone."""
+    one = lambda on, x: F.when(on, F.array(x)).otherwise(F.array().cast("array<string>"))
+    name = lambda balance: F.floor(F.col(balance) / 20).cast("int").cast("string")
+    placed = F.col("c_custkey") % 2 == 0
+    left = table(spark, d, "customer").select(
+        "c_custkey", one(F.col("c_custkey") % 3 == 0, F.concat(F.lit("s"), F.floor(F.col("c_custkey") / 4).cast("string"))).alias("ref"),
+        one(placed, F.concat_ws(":", name("c_acctbal"), "c_nationkey")).alias("placed"), one(~placed, name("c_acctbal")).alias("named"),
+    )
+    right = table(spark, d, "supplier").select("s_suppkey", F.array(F.concat(F.lit("s"), F.col("s_suppkey").cast("string"))).alias("ref"), F.array(F.concat_ws(":", name("s_acctbal"), "s_nationkey")).alias("placed"), F.array(name("s_acctbal")).alias("named"))
+    return match.mutual_unique(left, right, "c_custkey", "s_suppkey", ["ref", "placed", "named"], generic=("ref",))[0]
+
+
 # -- fuzzy two-party matching: sentences of benchmark items (games) and documents (events), each halved ------------
 _SENT = "SELECT k, row_number() OVER (PARTITION BY k ORDER BY i) AS o, s FROM (SELECT {k} AS k, generate_subscripts(string_split(regexp_replace(text, '\\n', '.', 'g'), '.'), 1) AS i, unnest(string_split(regexp_replace(text, '\\n', '.', 'g'), '.')) AS s FROM {t}) WHERE length(trim(s)) > 20"
 _HALF = lambda part: f"(SELECT array_to_string(w{'[1:(len(w) // 2)]' if part == 0 else '[(len(w) // 2) + 1:]'}, ' ') FROM (SELECT string_split(trim(s), ' ') AS w))"
@@ -230,5 +254,5 @@ def category_order(spark, d):
 
 @query(f"SELECT key, country, count(DISTINCT id) AS n, min(id) AS first, max(id) AS last FROM (SELECT 'e' || p AS id, {KEY_SQL('p_name')} AS key, place AS country FROM ({_ENTITIES})) GROUP BY key, country HAVING count(DISTINCT id) > 1")
 def dq_ambiguous_alias(spark, d):
-    e = _entities(spark, d).withColumn("key", F.col("keys")[0])
+    e = entities(spark, d).withColumn("key", F.col("keys")[0])
     return checks.ambiguous_aliases(e, "entity_id", "key", "countries")

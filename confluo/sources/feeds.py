@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
@@ -53,9 +55,37 @@ def html_records(df: DataFrame, html: str, pattern: str, fields: list[str], keep
     return df.select(*keep, F.posexplode(F.arrays_zip(*groups)).alias("pos", "_m")).select(*keep, "pos", *(F.col(f"_m.{f}") for f in fields))
 
 
-def unbase64_parts(c: Column, sep: str) -> Column:
-    """Text of separated base64 chunks."""
-    return F.array_join(F.transform(F.split(c, sep), lambda x: F.decode(F.unbase64(x), "UTF-8")), "")
+def unbase64_parts(chunks: Column) -> Column:
+    """Text of an array of base64 chunks, padded or not, joined in their order."""
+    whole = lambda x: F.rpad(x, (F.ceil(F.length(x) / 4) * 4).cast("int"), F.lit("="))
+    return F.array_join(F.transform(chunks, lambda x: F.decode(F.unbase64(whole(x)), "UTF-8")), "")
+
+
+# How pages of players hold their channel and the chunks of its address.
+CHANNEL = r'var\s+_CH\s*=\s*"([0-9a-f]+)"'
+CHUNKS = r"var\s+\w+\s*=\s*'([A-Za-z0-9+/=]+)'\s*;"
+ADDRESS = r"""(https?://[^"'`\s]+?/playlist\.m3u8\?token=[A-Za-z0-9+/=]+|\?token=[A-Za-z0-9+/=]+)"""
+
+
+def stream_address(html: Column, base: str) -> Column:
+    """The address that a player's page holds in base64 chunks; a bare token gets base/channel before it; null if the
+    page names no channel or holds no address."""
+    channel = F.regexp_extract(html, CHANNEL, 1)
+    found = F.regexp_extract(unbase64_parts(F.regexp_extract_all(html, F.lit(CHUNKS), F.lit(1))), ADDRESS, 1)
+    whole = F.when(F.startswith(found, F.lit("?")), F.concat(F.lit(f"{base.rstrip('/')}/"), channel, F.lit("/playlist.m3u8"), found)).otherwise(found)
+    return F.when((channel != "") & (found != ""), whole)
+
+
+def adapt(records: DataFrame, keep: Column, template: str, values: dict[str, Column], countries: Column | None = None, allow: list[str] | None = None) -> DataFrame:
+    """Records of an API that are kept and come from an allowed country, with url: the template, its {names} filled in."""
+    out = records.where(F.coalesce(keep, F.lit(False)))
+    if allow is not None:
+        out = out.where(F.coalesce(F.upper(countries).isin([c.upper() for c in allow]), F.lit(False)))
+    parts, at = [], 0
+    for m in re.finditer(r"\{(\w+)\}", template):
+        parts += [F.lit(template[at : m.start()]), F.coalesce(values[m[1]].cast("string"), F.lit(""))]
+        at = m.end()
+    return out.withColumn("url", F.concat(*parts, F.lit(template[at:])))
 
 
 def blank_fill(df: DataFrame, detail: DataFrame, key: str, columns: list[str]) -> DataFrame:

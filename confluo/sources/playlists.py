@@ -82,9 +82,20 @@ def render(attrs: Column, title: Column, url: Column, duration: Column | None =
     return F.array_join(F.concat(F.array(head), directives if directives is not None else F.array().cast("array<string>"), F.array(url)), "\n")
 
 
-def write(df: DataFrame, path: str, order: list[Column], text: Column, one_file: bool = False) -> None:
-    """Write rendered entries in order; atomic, as Spark commits the folder at once."""
-    out = df.select(*(c.alias(f"_o{i}") for i, c in enumerate(order)), text.alias("value"))
-    keys = [f"_o{i}" for i in range(len(order))]
+def guide_header(header: Column, address: str) -> Column:
+    """A header line whose guide address is the given one, added where it has none."""
+    own = f'url-tvg="{address}"'
+    return F.when(F.contains(header, F.lit("url-tvg=")), F.regexp_replace(header, 'url-tvg="[^"]*"', own.replace("\\", "\\\\").replace("$", "\\$"))).otherwise(F.concat(header, F.lit(f" {own}")))
+
+
+def write(df: DataFrame, path: str, order: list[Column], text: Column, one_file: bool = False, header: str = "#EXTM3U") -> None:
+    """Write the header and rendered entries in order; atomic, as Spark commits the folder at once.
+
+    The files, one after the other by name, are one playlist; only the first has the header.
+    """
+    keys = ["_h", *(f"_o{i}" for i in range(len(order)))]
+    out = df.select(F.lit(1).alias("_h"), *(c.alias(k) for c, k in zip(order, keys[1:], strict=True)), text.alias("value"))
+    first = df.sparkSession.range(1).select(F.lit(0).alias("_h"), *(F.lit(None).cast(out.schema[k].dataType).alias(k) for k in keys[1:]), F.lit(header).alias("value"))
+    out = first.unionByName(out)
     out = (out.coalesce(1) if one_file else out.repartitionByRange(*keys)).sortWithinPartitions(*keys)
     out.select("value").write.mode("overwrite").text(path)

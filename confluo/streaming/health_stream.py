@@ -23,7 +23,7 @@ def fold_stream(checks: DataFrame, key: str, at: str, order: str, ok: str) -> Da
 
     def step(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         failures, last, place = state.get if state.exists else (0, -1, -1)
-        rows = pd.concat(list(batches)).sort_values(["_at", "_ord"])
+        rows = pd.concat([b for b in batches if len(b)]).sort_values(["_at", "_ord"])
         for t, o, good in zip(rows["_at"], rows["_ord"], rows["_ok"], strict=True):
             if (t, o) > (last, place):
                 failures, last, place = 0 if good else failures + 1, int(t), int(o)

@@ -155,3 +155,54 @@ def test_events_last_parts_of_hours(spark):
     late = lambda at, hours: df.select(rules.event_expiry("start", "kind", as_of=F.lit(at).cast("timestamp_ntz"), hours={}, default_hours=hours)).first()[0]
     assert late("2026-01-01 12:15:00", 2.5) == "" and late("2026-01-01 12:31:00", 2.5) == "event-ended:2026-01-01 10:00:00"
     assert late("2026-01-01 10:00:31", 0.01) == "" and late("2026-01-01 10:00:37", 0.01) != ""
+
+
+def test_addresses_in_pages(spark):
+    import base64
+
+    chunk = lambda x: base64.b64encode(x.encode()).decode().rstrip("=")
+    page = lambda channel, *parts: channel + " ".join(f"var v{i}='{chunk(p)}' ;" for i, p in enumerate(parts))
+    ch = 'var _CH = "0af9";'
+    rows = [
+        (page(ch, "https://a/b", "/playlist.m3u8?token=x1"), "https://a/b/playlist.m3u8?token=x1"), (page(ch, "zz ?to", "ken=abc="), "https://base/0af9/playlist.m3u8?token=abc="),
+        (page("", "?token=a"), None), (page(ch, "nothing"), None), (ch, None), ("", None), (None, None),
+    ]
+    df = spark.createDataFrame([(i, h) for i, (h, _) in enumerate(rows)], "i int, h string")
+    assert [r.a for r in df.select("i", feeds.stream_address(F.col("h"), "https://base/").alias("a")).orderBy("i").collect()] == [w for _, w in rows]
+
+
+def test_playlists_survive_a_folder(spark):
+    df = spark.range(300).select(F.col("id"), F.array(F.struct(F.lit("tvg-id").alias("k"), F.col("id").cast("string").alias("v"))).alias("attrs"))
+    for one in (True, False):
+        path = folder(spark)
+        playlists.write(df, path, [F.col("id")], playlists.render(F.col("attrs"), F.lit("t, x"), F.concat(F.lit("http://h/"), F.col("id").cast("string"))), one_file=one, header="#EXTM3U a\n# note")
+        entries, headers, rejects = playlists.scan(playlists.read(spark, path))
+        assert sorted(int(r.url[9:]) for r in entries.collect()) == list(range(300)) and rejects.isEmpty()
+        assert [r.header for r in headers.collect()] == ["#EXTM3U a\n# note"]
+
+
+def test_generic_ids_match_nothing(spark):
+    left = spark.createDataFrame([(1, ["k"], []), (2, ["k"], []), (3, ["own"], ["n"]), (4, [], ["m"])], "l int, ref array<string>, name array<string>")
+    right = spark.createDataFrame([("a", ["k"], []), ("b", ["own"], ["m"]), ("c", [], ["n"])], "r string, ref array<string>, name array<string>")
+    got = match.mutual_unique(left, right, "l", "r", ["ref", "name"], generic=("ref",))[0]
+    assert got.isEmpty()  # 3 and 4 both claim b
+    got = match.mutual_unique(left.where("l <> 4"), right, "l", "r", ["ref", "name"], generic=("ref",))[0]
+    assert [tuple(r) for r in got.collect()] == [(3, "b", "ref")]
+
+
+def test_records_and_failed_rows(spark):
+    from confluo.operators import report
+
+    df = spark.createDataFrame([("a-b2", "x"), ("A", " "), (None, None), ("a--b", "y")], "id string, name string")
+    got = sorted((r.check, r.key or "") for r in checks.records(df, "id", "name").collect())
+    assert got == [("bad-id", ""), ("bad-id", "A"), ("bad-id", "a--b"), ("blank-name", ""), ("blank-name", "A")]
+    rows = spark.createDataFrame([("s", 1, True), ("s", 2, False), ("live", 3, False), (None, 4, None)], "cat string, i int, ok boolean")
+    assert sorted(r.i for r in report.failed_rows(rows, "cat", F.col("ok"), ["i"], "live").collect()) == [2, 4]
+
+
+def test_country_spellings(spark):
+    from confluo.functions import geo
+
+    names_ = ["Channel (Türkiye)", "X (CHILE)", "Y (Viet-Nam)", "Z (Atlantis)", "no brackets", None, "Q (México) (Côte d'Ivoire)"]
+    got = spark.createDataFrame([(n,) for n in names_], "n string").select(F.coalesce(geo.country_from_name("n"), F.lit("")).alias("c"))
+    assert [r.c for r in got.collect()] == ["TR", "CL", "VN", "", "", "", ""]
