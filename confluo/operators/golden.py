@@ -43,12 +43,20 @@ def consolidate(records: DataFrame, entity: str = "entity_id", slug: str = "slug
     """
     order = F.struct((F.col(entity) != F.col(slug)).alias("a"), F.length(entity).alias("b"), F.col(entity).alias("c"))
     first = lambda c, has: F.min_by(c, F.when(has, order))
-    union = lambda c: F.array_distinct(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct(order.alias("o"), F.col(c).alias("v")))), lambda x: F.coalesce(x["v"], F.array().cast("array<string>"))))).alias(c)
-    return records.groupBy(slug).agg(
+    base = records.groupBy(slug).agg(
         F.min_by(entity, order).alias(entity), F.coalesce(first("name", ~F.col("marked")), F.min_by("name", order)).alias("name"),
-        *(union(c) for c in ("aliases", "countries", "categories", "sources")), F.bool_or("manual").alias("manual"),
-        first("external_id", F.coalesce("external_id", F.lit("")) != "").alias("external_id"), F.count("*").alias("members"),
+        F.bool_or("manual").alias("manual"), first("external_id", F.coalesce("external_id", F.lit("")) != "").alias("external_id"), F.count("*").alias("members"),
     )
+    # each distinct value of a slug's arrays is one row before they are put together, however many members hold it
+    arrays = ("aliases", "countries", "categories", "sources")
+    tagged = lambda c: F.transform(F.coalesce(c, F.array().cast("array<string>")), lambda v: F.struct(F.lit(c).alias("c"), v.alias("v")))
+    each = records.select(F.col(slug), order.alias("o"), F.posexplode(F.concat(*map(tagged, arrays))).alias("pos", "x"))
+    values = each.groupBy(slug, "x.c", "x.v").agg(F.min(F.struct("o", "pos")).alias("at"))
+    of = lambda c: F.transform(F.array_sort(F.collect_list(F.when(F.col("c") == c, F.struct("at", "v")))), lambda x: x["v"]).alias(c)
+    united = values.groupBy(slug).agg(*map(of, arrays)).withColumnRenamed(slug, "_slug")
+    none = F.array().cast("array<string>")
+    out = base.join(united, F.col(slug).eqNullSafe(F.col("_slug")), "left")
+    return out.select(slug, entity, "name", *(F.coalesce(c, none).alias(c) for c in arrays), "manual", "external_id", "members")
 
 
 def variant_fold(records: DataFrame, entity: str, name: str, key: str, base: str, base_key: str, countries: str) -> DataFrame:

@@ -209,18 +209,30 @@ def golden_record(spark, d):
     return g.select("entity_id", "name", "quality_height", "not_24_7", F.array_join("countries", ",").alias("countries"), F.array_join("aliases", "|").alias("aliases"), F.array_join("categories", "|").alias("categories"), refs.alias("refs"))
 
 
+_MEMBERS = f"""SELECT p_partkey, {KEY_SQL('p_name', '-')} AS slug, CASE WHEN p_partkey % 2 = 0 AND p_partkey = min(p_partkey) OVER (PARTITION BY p_name) THEN {KEY_SQL('p_name', '-')} ELSE 'r' || p_partkey END AS id,
+  {NOISY} AS name, p_name, p_partkey % 3 <> 2 AS marked, {_PLACE} AS place, p_type, p_brand, p_size % 50 = 0 AS manual, CASE WHEN p_size % 7 = 0 THEN 'x' || p_partkey END AS ext FROM part"""
+_UNITED = lambda c: f"(SELECT slug, string_agg(v, '|' ORDER BY rn, pos) AS {c} FROM (SELECT slug, v, rn, pos FROM a WHERE c = '{c}' QUALIFY row_number() OVER (PARTITION BY slug, v ORDER BY rn, pos) = 1) GROUP BY slug) AS {c}_"
+
+
 @query(
-    f"""WITH r AS (SELECT p_partkey, {KEY_SQL('p_name', '-')} AS slug, CASE WHEN p_partkey % 97 = 0 THEN {KEY_SQL('p_name', '-')} ELSE 'r' || p_partkey END || CASE WHEN p_partkey % 97 = 0 AND p_partkey > 97 * 60 THEN p_partkey::VARCHAR ELSE '' END AS id, {NOISY} AS name, p_partkey % 3 <> 2 AS marked, p_brand, p_size % 50 = 0 AS manual FROM part),
-    o AS (SELECT *, row_number() OVER (PARTITION BY slug ORDER BY id <> slug, length(id), id, p_partkey) AS rn FROM r)
-    SELECT slug, count(*) AS members, bool_or(manual) AS manual, count(DISTINCT p_brand) AS n_sources, arg_min(id, rn) AS entity_id FROM o GROUP BY slug"""
+    f"""WITH o AS (SELECT *, row_number() OVER (PARTITION BY slug ORDER BY id <> slug, length(id), id) AS rn FROM ({_MEMBERS})),
+    a AS (SELECT slug, rn, 'aliases' AS c, 1 AS pos, name AS v FROM o UNION ALL SELECT slug, rn, 'aliases', 2, p_name FROM o UNION ALL SELECT slug, rn, 'countries', 1, place FROM o WHERE place <> '' UNION ALL SELECT slug, rn, 'categories', 1, p_type FROM o UNION ALL SELECT slug, rn, 'sources', 1, p_brand FROM o)
+    SELECT slug, members, manual, entity_id, name, external_id, aliases, coalesce(countries, '') AS countries, categories, sources
+    FROM (SELECT slug, count(*) AS members, bool_or(manual) AS manual, arg_min(id, rn) AS entity_id, coalesce(arg_min(name, rn) FILTER (NOT marked), arg_min(name, rn)) AS name, arg_min(ext, rn) FILTER (ext IS NOT NULL) AS external_id FROM o GROUP BY slug)
+    JOIN {_UNITED("aliases")} USING (slug) LEFT JOIN {_UNITED("countries")} USING (slug) JOIN {_UNITED("categories")} USING (slug) JOIN {_UNITED("sources")} USING (slug)"""
 )
 def consolidate(spark, d):
-    n = F.expr(NOISY)
-    s = names.slug("p_name")
-    own = F.when(F.col("p_partkey") % 97 == 0, F.concat(s, F.when(F.col("p_partkey") > 97 * 60, F.col("p_partkey").cast("string")).otherwise(""))).otherwise(F.concat(F.lit("r"), F.col("p_partkey").cast("string")))
-    none = F.array().cast("array<string>")
-    r = table(spark, d, "part").select(s.alias("slug"), own.alias("entity_id"), n.alias("name"), (F.col("p_partkey") % 3 != 2).alias("marked"), F.array(n).alias("aliases"), none.alias("countries"), none.alias("categories"), F.array("p_brand").alias("sources"), (F.col("p_size") % 50 == 0).alias("manual"), F.when(F.col("p_size") % 7 == 0, F.concat(F.lit("x"), F.col("p_partkey").cast("string"))).otherwise("").alias("external_id"))
-    return golden.consolidate(r).select("slug", "members", "manual", F.size("sources").cast("long").alias("n_sources"), "entity_id")
+    p, s, n = table(spark, d, "part"), names.slug("p_name"), F.expr(NOISY)
+    least = p.groupBy("p_name").agg(F.min("p_partkey").alias("least"))
+    own = F.when((F.col("p_partkey") % 2 == 0) & (F.col("p_partkey") == F.col("least")), s).otherwise(F.concat(F.lit("r"), F.col("p_partkey").cast("string")))
+    place = F.expr(_PLACE)
+    r = p.join(least, "p_name").select(
+        s.alias("slug"), own.alias("entity_id"), n.alias("name"), (F.col("p_partkey") % 3 != 2).alias("marked"), F.array(n, "p_name").alias("aliases"),
+        F.when(place == "", F.lit(None).cast("array<string>")).otherwise(F.array(place)).alias("countries"), F.array("p_type").alias("categories"), F.array("p_brand").alias("sources"),
+        (F.col("p_size") % 50 == 0).alias("manual"), F.when(F.col("p_size") % 7 == 0, F.concat(F.lit("x"), F.col("p_partkey").cast("string"))).otherwise("").alias("external_id"),
+    )
+    arrays = ("aliases", "countries", "categories", "sources")
+    return golden.consolidate(r).select("slug", "members", "manual", "entity_id", "name", "external_id", *(F.array_join(c, "|").alias(c) for c in arrays))
 
 
 _VAR = "p_name || ' ' || p_size || CASE p_partkey % 4 WHEN 0 THEN ' CA' WHEN 1 THEN ' Arabia' ELSE '' END"
