@@ -2,11 +2,14 @@
 
 Pieces of one length are interchangeable, so bins are planned on the histogram of lengths, which has `capacity` rows
 at any corpus size, and each plan (a multiset of lengths) is used as often as its lengths last; that gives the same
-bins as planning them one by one. Numbering the pieces of each length is a window over (bucket, length) groups of
-bounded size plus prefix sums, so a length that a third of all pieces have does not meet in one task.
-
-Edge cases: a null or empty text is its end id alone (one piece of length 1); repeated rows are packed as often as
-they occur; an empty table gives no pieces.
+bins as planning them one by one. A bin of a single piece is left as it is: that is the largest piece left, and would
+only come back to the next bin. Numbering the pieces of each length is a window over (bucket, length) groups of
+bounded size, drawn by a number that each written piece has, plus prefix sums, so neither a length that a third of all
+pieces have nor rows that repeat meet in one task.
+
+Edge cases: a null or empty text is its end id alone (one piece of length 1); a very long text is encoded whole by one
+task and cut into pieces; repeated rows are packed as often as they occur; an empty table gives no pieces; ids must be
+whole numbers or text of one (others raise an error), or null; columns other than id and text are not read.
 """
 
 from __future__ import annotations
@@ -103,12 +106,13 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[pd.DataFrame
 
 
 def pack_pieces(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """Give each piece a sequence_id and an offset, gapless from 0. cut: as pieces() returns it, written already."""
+    """Give each piece a sequence_id and an offset, gapless from 0. cut: as pieces() returns it, and a number `at` of its
+    own for each row, written already."""
     hist = {r.length: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
     table, _ = plan(hist, capacity)
     groups = max(16, sum(hist.values()) // GROUP_ROWS)
-    by = cut.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)))
-    ranked = by.withColumn("rank", F.row_number().over(Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "ids_crc32")).cast("long") - 1)
+    by = cut.withColumn("bucket", F.pmod(F.xxhash64("at"), F.lit(groups)))
+    ranked = by.withColumn("rank", F.row_number().over(Window.partitionBy("length", "bucket").orderBy("at")).cast("long") - 1)
     sums = by.groupBy("length", "bucket").agg(F.count("*").alias("n"))
     sums = sums.select("length", "bucket", (F.sum("n").over(Window.partitionBy("length").orderBy("bucket")) - F.col("n")).alias("before"))
     numbered = ranked.join(sums, ["length", "bucket"]).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("rank") + F.col("before")).alias("rank"))
@@ -133,4 +137,5 @@ def pack_pieces(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID, tokenizer_path: str | None = None) -> DataFrame:
     """Pack all documents; one row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    return pack_pieces(scratch(pieces(docs, id_col, text_col, capacity, end_id, tokenizer_path)), capacity)
+    cut = pieces(docs, id_col, text_col, capacity, end_id, tokenizer_path)
+    return pack_pieces(scratch(cut.withColumn("at", F.monotonically_increasing_id())), capacity)
