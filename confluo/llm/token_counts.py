@@ -7,7 +7,9 @@ them change. A leaf that edits have made large is split when the tree is next bu
 
 Edge cases: a null or empty text has one empty leaf and 0 tokens; edits are given in characters of the original text,
 must not overlap (an edit that starts before the last one ended is ignored, as is one outside the text), and may be
-null or empty; repeated rows are documents of their own.
+null or empty; repeated rows are documents of their own; a very long text is one tree in one task; an empty table gives
+no rows; ids must be whole numbers or text of one (others raise an error), or null; columns other than those named are
+not read. n_edits counts the edits that were applied.
 """
 
 from __future__ import annotations
@@ -92,14 +94,21 @@ def build(enc: Encoder, text: str, leaf_chars: int = LEAF_CHARS) -> Tree:
     return Tree(tokens, np.array([len(p) for p in parts], np.int64))
 
 
+def usable(edits: list[tuple[int, int, str]], size: int) -> list[tuple[int, int, str]]:
+    """Edits in order of their place, without those outside a text of that size or over an earlier one."""
+    out, last = [], 0
+    for start, end, new in sorted(edits):
+        if last <= start <= end <= size:
+            out.append((start, end, new))
+            last = end
+    return out
+
+
 def apply(enc: Encoder, tree: Tree, text: str, edits: list[tuple[int, int, str]]) -> tuple[str, int]:
     """Apply edits (start, end, replacement) to the tree; the new text and the characters encoded again."""
-    pieces, at, shift, again, last = [], 0, 0, 0, 0
+    shift, again = 0, 0
     done = text
-    for start, end, new in sorted(edits):
-        if not last <= start <= end <= len(text):
-            continue
-        last = end
+    for start, end, new in usable(edits, len(text)):
         s, e = start + shift, end + shift
         done = done[:s] + new + done[e:]
         first, lo = tree.leaf_at(s)
@@ -168,6 +177,7 @@ def update(state: DataFrame, edits_col: str = "edits", tokenizer_path: str | Non
                 for r in b.slice(lo, 1024).to_pylist():
                     tree = Tree(np.frombuffer(r["leaf_tokens"], "<i4"), np.frombuffer(r["leaf_chars"], "<i4"))
                     edits = [(e["start"], e["end"], e["new"] or "") for e in r[edits_col] or () if e and e["start"] is not None and e["end"] is not None]
+                    edits = usable(edits, len(r["text"]))
                     text, chars = apply(enc, tree, r["text"], edits)
                     rows.append(_state(r["doc_id"], text, tree))
                     old.append(r["n_tokens"])
