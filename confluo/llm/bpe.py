@@ -1,7 +1,9 @@
 """Byte-level BPE: encoding by tree concatenation, decoding, and the cached encoder that other operators use.
 
 Edge cases: a null text is an empty one; an empty text has no ids. The special token's string in a text becomes its
-one id, as the tokenizers library does. Rows with equal or null ids stay rows of their own; other columns are ignored.
+one id, as the tokenizers library does. Rows with equal or null ids stay rows of their own; other columns are ignored. A very
+long text is encoded by many tasks and put together by one; an empty table gives no rows; ids must be whole numbers or
+text of one (others raise an error), or null.
 """
 
 from __future__ import annotations

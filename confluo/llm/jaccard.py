@@ -10,7 +10,8 @@ twice says (Chao's estimate) that the target recall of all pairs of classes is r
 
 Words are cut at the six ASCII white-space characters; a text of one to four words is one shingle. Edge cases: null
 and empty texts have no shingle and link with nothing; repeated rows and ids are documents of their own; an empty
-table gives no rows; columns of the input other than id and text are ignored.
+table gives no rows; columns of the input other than id and text are ignored; of a very long text all shingles are
+taken and met in one task.
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@ the target the descent starts again with more trees and longer lists, and at las
 the audit finds are added. Cosines that decide are taken in double precision.
 
 Edge cases: vectors that are null, empty, zero or hold null or non-finite components link with nothing; vectors of
-different lengths are never compared; repeated rows and ids count each; an empty table gives no rows.
+different lengths are never compared; repeated rows and ids count each; an empty table gives no rows; columns other
+than id and vector are not read.
 """
 
 from __future__ import annotations

@@ -1,7 +1,8 @@
 """Quality rules: a threshold table compiled into one projection of native Spark expressions.
 
 Edge cases: a null or empty text has no words, so every count is 0 and base_failed is true; very long texts take time
-in proportion to n log n words; repeated rows are judged each; columns of the input other than id and text are ignored.
+in proportion to n log n words; repeated rows are judged each; columns of the input other than id and text are ignored; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
