@@ -1,10 +1,11 @@
 """Chosen-path join: all pairs of documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
 Documents with equal sets form one class, which is one row from then on, so thousands of copies cost one. Each class
-has a sketch of minhashes, its sampled tokens. In every run, all classes start in one bucket and buckets are split on
-the token that the bucket's path chooses; buckets of one are dropped, those of up to LEAF classes (or that a split
-leaves mostly whole, which only groups of similar sets do) are compared by brute force, in blocks, so that no bucket
-meets in one task. A pair is compared where it first meets; its sketch must allow the threshold (five standard
+has a sketch of minhashes, its sampled tokens. In every run, all classes start in one bucket, split on one token; below,
+a bucket's path chooses each of CHOICES tokens with a chance such that a pair at the threshold shares one chosen token
+on average, and its classes go on under every chosen one. Buckets of one are dropped, those of up to LEAF classes (or
+that a split leaves mostly whole, which only groups of similar sets do) are compared by brute force, in blocks, so that
+no bucket meets in one task. A pair is compared in the first of the leaves that both are in, by run; its sketch must allow the threshold (five standard
 deviations below), and the shingles themselves then decide. Runs are repeated until the number of new links met once and
 twice says (Chao's estimate) that the target recall of all pairs of classes is reached; if it never is, that is an error.
 
@@ -28,8 +29,9 @@ from confluo.llm.common import components, scratch, ship, sorted_groups, words
 
 WORDS, THRESHOLD, TARGET_RECALL = 5, 0.8, 0.995
 #: Runs of one round, tokens that runs start with in turn, and tokens that one level below the first may choose from (a
-#: path knows its run, so later runs that start with the same token split in other ways).
-RUNS, FIRST, CHOICES, LEVELS = 16, 32, 8, 8
+#: path knows its run, so later runs that start with the same token split in other ways). Bits of a path below its run, so
+#: that paths of earlier runs come first.
+RUNS, FIRST, CHOICES, LEVELS, PATH_BITS = 16, 32, 8, 8, 52
 TOKENS = FIRST + CHOICES * LEVELS
 #: Rounds without the target recall that are an error.
 ERROR = 64
@@ -99,10 +101,16 @@ def _token(at) -> F.Column:
     return F.hex(F.substring(F.col("sig"), at * 4 + 1, F.lit(4)))
 
 
-def _leaves(reps: DataFrame, first_run: int, leaf: int) -> DataFrame:
-    """(h, run, path, n): the leaf bucket of each class in each run, where it has company."""
+def _path(run: F.Column, *parts: F.Column) -> F.Column:
+    """Hash of a path, never 0, that begins with its run."""
+    return F.shiftleft((run + 1).cast("long"), PATH_BITS).bitwiseOR(F.xxhash64(*parts).bitwiseAND(F.lit((1 << PATH_BITS) - 1)))
+
+
+def _leaves(reps: DataFrame, first_run: int, leaf: int, threshold: float) -> DataFrame:
+    """(h, run, path, n): the leaf buckets of each class in each run, where it has company."""
     runs = F.explode(F.array(*(F.lit(r) for r in range(first_run, first_run + RUNS)))).alias("run")
-    cur = reps.select("h", "sig", runs).select("h", "run", F.xxhash64("run", _token(F.pmod(F.col("run"), F.lit(FIRST)))).alias("path"), F.lit(1 << 60).alias("parent_n"))
+    cur = reps.select("h", "sig", runs).select("h", "run", _path(F.col("run"), F.col("run"), _token(F.pmod(F.col("run"), F.lit(FIRST)))).alias("path"), F.lit(1 << 60).alias("parent_n"))
+    chance = int(min(1.0, 1 / (threshold * CHOICES)) * 1000)
     found = None
     for level in range(1, LEVELS + 1):
         sizes = cur.groupBy("path").agg(F.count("*").alias("n")).where("n > 1")
@@ -113,31 +121,47 @@ def _leaves(reps: DataFrame, first_run: int, leaf: int) -> DataFrame:
         rest = sized.where(~whole)
         if rest.isEmpty():
             break
-        at = F.lit(FIRST + CHOICES * (level - 1)) + F.pmod(F.xxhash64(F.lit("token"), "path"), F.lit(CHOICES)).cast("int")
-        cur = rest.join(reps.select("h", "sig"), "h").select("h", "run", F.xxhash64("path", _token(at)).alias("path"), F.col("n").alias("parent_n"))
+        places = F.sequence(F.lit(FIRST + CHOICES * (level - 1)), F.lit(FIRST + CHOICES * level - 1))
+        chosen = F.explode(F.filter(places, lambda i: F.pmod(F.xxhash64(F.lit("token"), F.col("path"), i), F.lit(1000)) < chance)).alias("at")
+        cur = rest.select("h", "run", "path", "n", chosen).join(reps.select("h", "sig"), "h").select("h", "run", _path(F.col("run"), F.col("path"), F.col("at"), _token(F.col("at"))).alias("path"), F.col("n").alias("parent_n"))
     return found
 
 
-def _pairs(run: int, side: np.ndarray, sig: np.ndarray, met: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of a group that meet here first and whose sketches allow the threshold."""
+def _common(i: np.ndarray, js: np.ndarray) -> np.ndarray:
+    """Which of the leaves in rows js are in i, too; 0 stands for none."""
+    return np.isin(js, i[i != 0])
+
+
+def _pairs(path: int, side: np.ndarray, sig: np.ndarray, met: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a leaf of which it is the first that both are in, and whose sketches allow the threshold."""
     n, out_i, out_j = len(side), [], []
     for i in range(n):
         js = np.flatnonzero(side == 2) if side[i] == 1 else np.arange(i + 1, n) if side[i] == 0 else ()
         if len(js):
             js = js[(sig[js] == sig[i]).sum(1) >= least]
             if len(js):
-                same = (met[js] == met[i]) & (met[i] != 0)
-                js = js[same.argmax(1) == run]
+                js = js[np.where(_common(met[i], met[js]), met[js], np.iinfo(np.int64).max).min(1) == path]
                 out_i.append(np.full(len(js), i))
                 out_j.append(js)
     z = np.zeros(0, np.int64)
     return np.concatenate([*out_i, z]).astype(np.int64), np.concatenate([*out_j, z]).astype(np.int64)
 
 
-def _arrays(t: pa.Table, runs: int) -> tuple[np.ndarray, ...]:
+def _arrays(t: pa.Table) -> tuple[np.ndarray, ...]:
     sig = np.frombuffer(b"".join(t.column("low").to_pylist()), np.uint8).reshape(-1, TOKENS)
-    met = t.column("met").combine_chunks().flatten().to_numpy().reshape(-1, runs)
-    return t.column("run").to_numpy(), t.column("side").to_numpy(), sig, met
+    each = t.column("met").combine_chunks()
+    n = np.diff(each.offsets.to_numpy())
+    met = np.zeros((len(n), int(n.max(initial=1))), np.int64)
+    met[np.arange(met.shape[1])[None, :] < n[:, None]] = each.flatten().to_numpy()
+    return t.column("path").to_numpy(), t.column("side").to_numpy(), sig, met
+
+
+def _times(i: np.ndarray, j: np.ndarray, met: np.ndarray) -> np.ndarray:
+    """The number of runs in which each pair meets."""
+    out = np.zeros(len(i), np.int64)
+    for k, (a, b) in enumerate(zip(i, j, strict=True)):
+        out[k] = len(set((met[b][_common(met[a], met[b])] >> PATH_BITS).tolist()))
+    return out
 
 
 def _shared(i: np.ndarray, j: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
@@ -178,17 +202,17 @@ def _forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return np.array([find(x) for x in range(n)])
 
 
-def _compare(dealt: DataFrame, docs: DataFrame, reps: DataFrame, runs: int, threshold: float) -> DataFrame:
+def _compare(dealt: DataFrame, docs: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
     """(h, root, w, pairs, once, twice) for dealt classes with a link: w documents linked, links, those met in one and two runs."""
     least = max(1.0, (threshold - 5 * (threshold * (1 - threshold) / TOKENS) ** 0.5) * TOKENS)
     part = dealt.repartition("key").sortWithinPartitions("key")
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, cut in sorted_groups(batches, "key"):
-            run, side, sig, met = _arrays(t, runs)
+            path, side, sig, met = _arrays(t)
             use = np.zeros(t.num_rows, bool)
             for a, b in zip(cut, [*cut[1:], t.num_rows], strict=True):
-                i, j = _pairs(run[a], side[a:b], sig[a:b], met[a:b], least)
+                i, j = _pairs(path[a], side[a:b], sig[a:b], met[a:b], least)
                 use[a + i], use[a + j] = True, True
             yield from t.filter(pa.array(use)).to_batches()
 
@@ -206,12 +230,12 @@ def _compare(dealt: DataFrame, docs: DataFrame, reps: DataFrame, runs: int, thre
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, cut in sorted_groups(batches, "key"):
-            run, side, sig, met = _arrays(t, runs)
+            path, side, sig, met = _arrays(t)
             h, copies = t.column("h").to_numpy(), t.column("copies").to_numpy()
             raw = t.column("shingles").to_pylist()
             root, w, pairs, once, twice = h.copy(), np.zeros(len(h), np.int64), np.zeros(len(h), np.int64), np.zeros(len(h), np.int64), np.zeros(len(h), np.int64)
             for a, b in zip(cut, [*cut[1:], t.num_rows], strict=True):
-                i, j = _pairs(run[a], side[a:b], sig[a:b], met[a:b], least)
+                i, j = _pairs(path[a], side[a:b], sig[a:b], met[a:b], least)
                 if not len(i):
                     continue
                 sets = [np.frombuffer(x, np.uint64) for x in raw[a:b]]
@@ -222,7 +246,7 @@ def _compare(dealt: DataFrame, docs: DataFrame, reps: DataFrame, runs: int, thre
                 root[a:b] = h[a:b][_forest(b - a, i, j)]
                 np.add.at(w, a + i, copies[a + j])
                 np.add.at(w, a + j, copies[a + i])
-                times = ((met[a:b][i] == met[a:b][j]) & (met[a:b][i] != 0)).sum(1)
+                times = _times(i, j, met[a:b])
                 np.add.at(pairs, a + i, 1)
                 np.add.at(once, a + i, times == 1)
                 np.add.at(twice, a + i, times == 2)
@@ -247,22 +271,20 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
     low = F.unhex(F.concat(*(F.hex(F.substring("sig", 4 * i + 1, 1)) for i in range(TOKENS))))
     leaves, found, total = None, None, 0
     for k in range(ERROR):
-        new = _leaves(reps, k * RUNS, leaf)
+        new = _leaves(reps, k * RUNS, leaf, threshold)
         leaves = new if leaves is None else leaves.unionAll(new)
-        runs = RUNS * (k + 1)
-        by = leaves.groupBy("h").agg(F.map_from_entries(F.collect_list(F.struct("run", F.struct("path", "n")))).alias("at"))
-        met = F.transform(F.array(*(F.lit(r) for r in range(runs))), lambda r: F.coalesce(F.col("at")[r]["path"], F.lit(0).cast("bigint")))
-        here = F.explode(F.filter(F.map_entries("at"), lambda e: e["key"] >= k * RUNS)).alias("e")
-        rows = by.join(reps.select("h", "copies", "sig"), "h").select("h", "copies", low.alias("low"), met.alias("met"), here)
-        rows = rows.select("h", "copies", "low", "met", F.col("e.key").alias("run"), F.col("e.value.path").alias("path"), F.ceil(F.col("e.value.n") / block).cast("int").alias("nb"))
+        by = leaves.groupBy("h").agg(F.collect_list(F.struct("run", "path", "n")).alias("at"))
+        here = F.explode(F.filter("at", lambda e: e["run"] >= k * RUNS)).alias("e")
+        rows = by.join(reps.select("h", "copies", "sig"), "h").select("h", "copies", low.alias("low"), F.col("at.path").alias("met"), here)
+        rows = rows.select("h", "copies", "low", "met", "e.path", F.ceil(F.col("e.n") / block).cast("int").alias("nb"))
         mine = F.pmod(F.xxhash64(F.lit("block"), "h"), F.col("nb")).cast("int")
         rows = rows.withColumn("b", mine).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
         dealt = rows.select(
             F.when(F.col("nb") == 1, F.col("path")).otherwise(F.xxhash64("path", F.least("b", "o"), F.greatest("b", "o"))).alias("key"),
             F.when(F.col("b") == F.col("o"), 0).when(F.col("b") < F.col("o"), 1).otherwise(2).alias("side"),
-            "run", "h", "copies", "low", "met",
+            "path", "h", "copies", "low", "met",
         )
-        links = scratch(_compare(dealt, docs, reps, runs, threshold))
+        links = scratch(_compare(dealt, docs, reps, threshold))
         found = links if found is None else found.unionAll(links)
         n, once, twice = links.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("pairs", "once", "twice"))).first()
         total += n
