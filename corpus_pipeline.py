@@ -1,5 +1,12 @@
 """A training corpus from the documents table: reject toxic and poor documents, keep one of each group of near
-duplicates, pack what is left into sequences."""
+duplicates, pack what is left into sequences.
+
+Edge cases, by stage. Null and empty texts: not toxic (the model's bias alone, below one half), but poor, as they have no
+words, so none comes to the later stages; these would keep each of them and pack it as its end id alone. Very long texts
+are judged, compared and encoded whole, each by one task. Repeated rows: each is judged, one of a group stays; of ties
+the smallest id. Empty tables give empty results. Columns beyond those of documents, whatever their names, pass through
+all stages but the last, which returns its own. Null ids are ids of their own.
+"""
 
 from __future__ import annotations
 
