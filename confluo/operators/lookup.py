@@ -26,6 +26,12 @@ def ordered_fallback(df: DataFrame, row: str, keys: str, index: DataFrame, out:
     return df.join(best, F.col(row) == F.col("_row"), "left").select(*df.columns, F.coalesce("_value", F.lit(miss)).alias(out))
 
 
+def matched_counts(df: DataFrame, value: str, miss=None) -> DataFrame:
+    """(outcome, n): rows that a lookup found something for, and those it gave the value of a miss."""
+    missed = F.col(value).eqNullSafe(F.lit(miss))
+    return df.groupBy(F.when(missed, "unmatched").otherwise("matched").alias("outcome")).agg(F.count("*").alias("n"))
+
+
 def multi_key_union(df: DataFrame, row: str, keys: str, index: DataFrame) -> DataFrame:
     """(row, languages, english): languages of all keys found, up to the first that says True; the flag is True if one
     is, else False if one is, else unknown; a False with an English code among the languages is True."""

@@ -42,6 +42,14 @@ def quality_height(spark, d):
     return table(spark, d, "part").select("p_partkey", names.quality_height(n).alias("height"), names.not_24_7(n).alias("not_24_7"))
 
 
+_LABEL = "CASE p_partkey % 9 WHEN 0 THEN '1920 x 1080' WHEN 1 THEN p_size || '0p' WHEN 2 THEN ' HD ' WHEN 3 THEN 'FHD' WHEN 4 THEN '4k' WHEN 5 THEN 'sd' WHEN 6 THEN '640x480 720p' WHEN 7 THEN '' ELSE '720P+' END"
+
+
+@query("SELECT p_partkey, CASE p_partkey % 9 WHEN 0 THEN 1080 WHEN 1 THEN CASE WHEN p_size >= 10 THEN p_size * 10 END WHEN 2 THEN 720 WHEN 3 THEN 1080 WHEN 4 THEN 1080 WHEN 6 THEN 480 WHEN 8 THEN 720 END AS height FROM part")
+def label_height(spark, d):
+    return table(spark, d, "part").select("p_partkey", names.label_height(F.expr(_LABEL)).alias("height"))
+
+
 _LABELLED = "p_name || CASE p_size % 6 WHEN 0 THEN ' (UHD)' WHEN 1 THEN ' (FHD)' WHEN 2 THEN ' (hd)' WHEN 3 THEN ' (SD)' WHEN 4 THEN ' (4K)' ELSE '' END"
 
 

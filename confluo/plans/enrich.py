@@ -79,7 +79,15 @@ def ranked_lookup(spark, d):
     return lookup.ranked_lookup(c, a, "key", "place", [F.col("kind"), F.length("value"), F.col("value")], "value", "asset").select("c_custkey", "asset")
 
 
-@query("WITH i AS (SELECT s_nationkey::VARCHAR AS k, min(s_name) AS v FROM supplier WHERE s_nationkey % 3 = 0 GROUP BY 1) SELECT c_custkey, coalesce((SELECT v FROM i WHERE k = c_nationkey::VARCHAR), (SELECT v FROM i WHERE k = ((c_nationkey + 1) % 25)::VARCHAR), '') AS asset FROM customer")
+_FALLBACK = "WITH i AS (SELECT s_nationkey::VARCHAR AS k, min(s_name) AS v FROM supplier WHERE s_nationkey % 3 = 0 GROUP BY 1) SELECT c_custkey, coalesce((SELECT v FROM i WHERE k = c_nationkey::VARCHAR), (SELECT v FROM i WHERE k = ((c_nationkey + 1) % 25)::VARCHAR), '') AS asset FROM customer"
+
+
+@query(f"SELECT CASE WHEN asset = '' THEN 'unmatched' ELSE 'matched' END AS outcome, count(*) AS n FROM ({_FALLBACK}) GROUP BY 1")
+def fallback_counts(spark, d):
+    return lookup.matched_counts(ordered_fallback(spark, d), "asset", "")
+
+
+@query(_FALLBACK)
 def ordered_fallback(spark, d):
     i = table(spark, d, "supplier").where("s_nationkey % 3 = 0").groupBy(F.col("s_nationkey").cast("string").alias("key")).agg(F.min("s_name").alias("value"))
     c = table(spark, d, "customer").select("c_custkey", F.array(F.col("c_nationkey").cast("string"), ((F.col("c_nationkey") + 1) % 25).cast("string")).alias("keys"))
