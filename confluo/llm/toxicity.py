@@ -7,8 +7,8 @@ A word's features are its runs of 3 to 7 characters, the word's borders included
 glued into; a text's value of a feature is its number of occurrences for each word of the text, shrunk towards 0 in
 short texts. The model keeps the features whose means differ most between both samples, whichever way they differ.
 
-Fitting sees a bounded sample (`positives`, `unlabelled`, `most_words`: documented bounds, drawn by hash); scoring sees
-whole texts. Edge cases: null, empty and wordless texts score by the bias alone; very long texts are scored whole, one
+Fitting, in one task, sees a bounded sample (`positives`, `unlabelled`, `most_words`: documented bounds, drawn by hash);
+scoring sees whole texts. Edge cases: null, empty and wordless texts score by the bias alone; very long texts are scored whole, one
 word at a time; without any confirmed positive (or without any text) all scores are 0; any number of positives, one
 included, gives a model; rows that occur twice are scored twice and, their text being one, learned once; null labels
 confirm nothing; an empty table gives no rows; columns of docs named like an output are replaced.
@@ -34,6 +34,8 @@ POSITIVES, UNLABELLED, MOST_WORDS = 3000, 9000, 4096
 BITS, SHORTEST, LONGEST, CHUNK, CACHE, BLOCK = 20, 3, 7, 20_000, 200_000, 500_000
 #: A word counts for so much of its text at most, so that no text of one word outweighs all others.
 MOST_SHARE = 0.1
+#: Words that the length of a text is raised by in its shares.
+SMOOTH = 100.0
 _CUT = str.maketrans(dict.fromkeys(string.punctuation, " "))
 
 
@@ -120,7 +122,7 @@ def counted(text: str | None, most_words: int = MOST_WORDS) -> str:
     return " ".join(f"{w} {n}" for w, n in sorted(c.items()))
 
 
-def fit(positive: list[str], unlabelled: list[str], prior: float, most: int = 1024, smooth: float = 100.0, epochs: int = 150, rate: float = 0.02, shrink: float = 1e-3, sure: float = 4.0) -> PuModel | None:
+def fit(positive: list[str], unlabelled: list[str], prior: float, most: int = 1024, smooth: float = SMOOTH, epochs: int = 150, rate: float = 0.02, shrink: float = 1e-3, sure: float = 4.0) -> PuModel | None:
     """Train on texts as counted() gives them; most is the number of features kept, smooth the words that a
     text's length is raised by, shrink the weight of the squared weights, sure the distance at which a feature counts half."""
     if not positive or not unlabelled:
@@ -188,21 +190,24 @@ def fit(positive: list[str], unlabelled: list[str], prior: float, most: int = 10
     return PuModel(kept, w[:-1] * trust, float(w[-1]), smooth)
 
 
-def sample_words(docs: DataFrame, text_col: str, most: int) -> list[str]:
-    """Counted words of up to `most` distinct texts, those with the least hashes."""
+def sample_words(docs: DataFrame, text_col: str, most: int) -> DataFrame:
+    """(h, w): hash and counted words of up to `most` distinct texts, those with the least hashes."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([counted(t) for t in b.column(1).to_pylist()], pa.string())], ["h", "w"])
 
-    # copies of a text are one row before any reach the driver
+    # copies of a text are one row before any are counted
     texts = docs.where(F.col(text_col).isNotNull()).select(F.xxhash64(text_col).alias("h"), F.col(text_col).alias("t"))
-    drawn = texts.groupBy("h").agg(F.min("t").alias("t")).mapInArrow(cut, "h long, w string")
-    return [r.w for r in drawn.orderBy("h").limit(most).collect() if r.w]
+    return texts.groupBy("h").agg(F.min("t").alias("t")).mapInArrow(cut, "h long, w string").orderBy("h").limit(most)
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> PuModel | None:
-    """Fit on learning documents and their labels. The class prior is the share of positives among labelled rows."""
+    """Fit on learning documents and their labels. The class prior is the share of positives among labelled rows.
+
+    The sample, bounded by `positives`, `unlabelled` and `most_words`, meets in one task, which fits; the driver gets
+    the model's weights alone.
+    """
     ship(docs.sparkSession)
     lab = labels.where(F.col(label_col).isNotNull())
     n_lab, n_pos = lab.agg(F.count("*"), F.coalesce(F.sum((F.col(label_col) == 1).cast("long")), F.lit(0))).first()
@@ -215,7 +220,24 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     pos = docs.join(F.broadcast(ids), docs[id_col] == ids["_id"], "left_semi")
     n_docs = docs.count()
     unl = docs.where(draw(1.2 * unlabelled / max(1, n_docs), F.col(text_col)))
-    return fit(sample_words(pos, text_col, positives), sample_words(unl, text_col, unlabelled), prior)
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        have = list(batches)
+        if not have:
+            return
+        t = pa.Table.from_batches(have).sort_by([("kind", "ascending"), ("h", "ascending")]).to_pydict()
+        texts = {k: [w for kind, w in zip(t["kind"], t["w"], strict=True) if kind == k and w] for k in (0, 1)}
+        model = fit(texts[1], texts[0], prior)
+        if model is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([*model.kept.tolist(), -1], pa.int64()), pa.array([*model.weights.tolist(), model.bias])], ["feature", "weight"])
+
+    both = sample_words(pos, text_col, positives).withColumn("kind", F.lit(1)).unionByName(sample_words(unl, text_col, unlabelled).withColumn("kind", F.lit(0)))
+    got = both.repartition(1).mapInArrow(learn, "feature long, weight double").toArrow()
+    feature, weight = got.column("feature").to_numpy(), got.column("weight").to_numpy()
+    if not len(feature):
+        return None
+    on = feature >= 0
+    return PuModel(feature[on], weight[on], float(weight[~on][0]), SMOOTH)
 
 
 def score(docs: DataFrame, model: PuModel | None, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
