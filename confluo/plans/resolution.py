@@ -159,7 +159,9 @@ def _sentences(df, key: str, swap: bool):
     h, a = names.token_set(F.array_join(F.slice(w, 1, mid), " ")), names.token_set(F.array_join(F.slice(w, mid + 1, F.size(w)), " "))
     if swap:
         h, a = F.when(F.col("k") % 2 == 0, a).otherwise(h), F.when(F.col("k") % 2 == 0, h).otherwise(a)
-    s = s.select("k", (F.col("i") + 1).alias("o"), h.alias("home"), a.alias("away")).where("size(home) > 0 AND size(away) > 0")
+    # a filter after the projection would be pushed below it and take all sentences apart twice
+    both = F.filter(F.array(F.struct(h.alias("home"), a.alias("away"))), lambda x: (F.size(x["home"]) > 0) & (F.size(x["away"]) > 0))
+    s = s.select("k", (F.col("i") + 1).alias("o"), F.explode(both).alias("x")).select("k", "o", "x.home", "x.away")
     return s.groupBy("k", "home", "away").agg(F.min("o").alias("o"))
 
 
