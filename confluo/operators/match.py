@@ -54,7 +54,8 @@ def fuzzy_two_party(games: DataFrame, events: DataFrame, threshold: float = 0.6,
     """
     games, events = scratch(games), scratch(events)  # both are read several times
     each = lambda df: df.select("kind", F.explode(F.array_union("home", "away")).alias("w"))
-    freq = each(events).groupBy("kind", "w").agg(F.count("*").alias("f")).join(each(games).distinct(), ["kind", "w"], "left_semi")
+    # written, so that its size is known: the joins below see that it is the small side, if it is
+    freq = scratch(each(events).join(each(games).distinct(), ["kind", "w"], "left_semi").groupBy("kind", "w").agg(F.count("*").alias("f")))
 
     def ranked(df: DataFrame, key: str) -> DataFrame:
         """Tokens of both parties that both sides know, from rare to frequent, and the sizes of the parties."""
@@ -86,7 +87,8 @@ def fuzzy_two_party(games: DataFrame, events: DataFrame, threshold: float = 0.6,
             pairs = p if pairs is None else pairs.unionAll(p)
     g = games.select("game", F.col("home").alias("gh"), F.col("away").alias("ga"))
     e = events.select("event", "ord", F.col("home").alias("eh"), F.col("away").alias("ea"))
-    both = pairs.distinct().join(g, "game").join(e, "event")
+    # many events take little space in a file, which says nothing about their size in memory
+    both = pairs.distinct().join(g, "game").join(e.hint("merge"), "event")
     score = F.least(overlap(F.col("gh"), F.col("eh"), containment), overlap(F.col("ga"), F.col("ea"), containment))
     if swapped:
         score = F.greatest(score, F.least(overlap(F.col("gh"), F.col("ea"), containment), overlap(F.col("ga"), F.col("eh"), containment)))
