@@ -157,8 +157,9 @@ def _exact(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
     return both.select("a", "b", "va", "vb").mapInArrow(sure, "a long, b long")
 
 
-def _found(classes: DataFrame, n: int, threshold: float, k: int, trees: int, bucket: int, rounds: int, seed: int) -> DataFrame:
-    """(a, b) links that one descent finds, and further ones among saturated classes until no list is saturated."""
+def _found(classes: DataFrame, n: int, threshold: float, k: int, trees: int, bucket: int, rounds: int, seed: int) -> tuple[DataFrame, DataFrame | None]:
+    """(a, b) links that one descent finds, and further ones among saturated classes until no list is saturated; and the
+    components of all these links (node, component), where they are known."""
     some, links = classes.withColumn("comp", F.col("node")), None
     while True:
         graph = descend(some, n, k, trees, bucket, rounds, seed)
@@ -169,11 +170,11 @@ def _found(classes: DataFrame, n: int, threshold: float, k: int, trees: int, buc
         full = scratch(graph.groupBy("a").agg(F.count("*").alias("n"), F.min("sim").alias("least")).where((F.col("n") >= k) & (F.col("least") >= threshold - MARGIN)).select(F.col("a").alias("node")))
         n = full.count()
         if not n:
-            return links
+            return links, None
         comp = components(classes.select("node"), links).withColumnRenamed("component", "comp")
         some = scratch(classes.join(full, "node").join(comp, "node"))
         if some.select("comp").distinct().limit(2).count() < 2:
-            return links
+            return links, comp.withColumnRenamed("comp", "component")
         if new.isEmpty():  # lists are full of cosines just below the threshold
             k *= 2
         seed += 1000
@@ -294,19 +295,22 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
     truth, enough = _truth(classes, n, threshold)
     links, members, good = None, None, False
     for attempt in range(tries):
-        new = scratch(_found(classes, n, threshold, k << attempt, trees << attempt, bucket, rounds, attempt))
+        new, comp = _found(classes, n, threshold, k << attempt, trees << attempt, bucket, rounds, attempt)
         if not enough and members is not None:
             # too few links for the audit: this descent's links are the sample by which the earlier ones are judged
             total, known = _sides(new, members).agg(F.count("*"), F.coalesce(F.sum((F.col("ca") == F.col("cb")).cast("long")), F.lit(0))).first()
             good = known >= target * total
+        comp = comp if links is None else None
         links = new if links is None else links.unionAll(new)
-        members = scratch(components(classes.select("node"), links))
+        members = scratch(components(classes.select("node"), links) if comp is None else comp)
         reached = _reached(truth, members, target)
         good = reached and (enough or good)
         if good:
             break
     links = links.unionAll(truth)
-    members = scratch(components(classes.select("node"), links))
+    # links that the audit found inside components change none of them
+    if not _sides(truth, members).where("ca <> cb").isEmpty():
+        members = scratch(components(classes.select("node"), links))
     if not good:
         members = scratch(components(classes.select("node"), links.unionAll(_across(classes, members, threshold, 4 * block))))
     weights = _enlarge(members, classes, threshold, block)
