@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from confluo.llm import bpe, jaccard, langid, lm, merkle, neighbours, packing, quality, repeats, token_counts, toxicity, url_filter
+from confluo.llm import bpe, collocations, jaccard, langid, lm, merkle, neighbours, packing, quality, repeats, token_counts, toxicity, url_filter
 from confluo.llm.common import table
 
 
@@ -58,6 +58,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.line_ends_lost(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_language_id, op3_url_filters, op4_token_counts, op5_quality_rules, op6_embedding_near_dedup, op7_toxicity, op8_bpe_encoding, op9_lm_scoring, op10_ngram_jaccard_join, op11_suffix_array_dedup, op12_merkle_manifest)}
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
 
-ORACLE_SQL: dict[str, str] = {"op3_url_filters": url_filter.SQL, "op5_quality_rules": quality.SQL, "op12_merkle_manifest": merkle.SQL}
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_language_id, op3_url_filters, op4_token_counts, op5_quality_rules, op6_embedding_near_dedup, op7_toxicity, op8_bpe_encoding, op9_lm_scoring, op10_ngram_jaccard_join, op11_suffix_array_dedup, op12_merkle_manifest, op13_phrase_collocations)}
+
+ORACLE_SQL: dict[str, str] = {"op3_url_filters": url_filter.SQL, "op5_quality_rules": quality.SQL, "op12_merkle_manifest": merkle.SQL, "op13_phrase_collocations": collocations.SQL}
