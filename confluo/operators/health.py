@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from confluo.operators import carry
+
 DISABLE_AFTER = 6
 
 
@@ -37,11 +39,16 @@ def fold(checks: DataFrame, key: str, at: list[str], ok: str, state: DataFrame |
     return out.withColumn("status", status_of(F.col("failures"), disable_after)).withColumn("enabled", live | ephemeral if ephemeral is not None else live)
 
 
-def runs(checks: DataFrame, key: str, at: list[str], ok: str) -> DataFrame:
-    """Each check with the failures in a row up to it (gaps and islands)."""
-    w = Window.partitionBy(key).orderBy(*at)
-    island = checks.withColumn("_i", F.sum(F.col(ok).cast("int")).over(w))
-    return island.withColumn("failures", F.sum((~F.col(ok)).cast("int")).over(Window.partitionBy(key, "_i").orderBy(*at))).drop("_i")
+def runs(checks: DataFrame, key: str, at: list[str], ok: str, block: int = carry.BLOCK) -> DataFrame:
+    """Each check with the failures in a row up to it.
+
+    Failures so far less those at the last success, both carried from block to block, so that a candidate with a third of
+    all checks is scanned by many tasks. Checks of unknown outcome are neither.
+    """
+    rows = carry.blocks(checks, [key], at, block)
+    failed = carry.running(rows, [key], "_block", "_n", {"_failed": ("sum", (~F.col(ok)).cast("int"))})
+    last = carry.running(failed, [key], "_block", "_n", {"_until": ("last", F.when(F.col(ok), F.col("_failed")))})
+    return last.select(*checks.columns, (F.col("_failed") - F.coalesce("_until", F.lit(0))).alias("failures"))
 
 
 def upsert(state: DataFrame, batch: DataFrame, key: str, full_run: bool = True) -> DataFrame:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from confluo.functions import names
 from confluo.operators import lookup
 from confluo.plans.registry import query, table
-from confluo.scratch import folder
+from confluo.scratch import folder, scratch
 from confluo.sources import feeds, playlists
 
 _GROUP = "CASE WHEN p_size % 4 = 0 THEN '' ELSE p_type END"
@@ -140,3 +141,43 @@ def xml_names(spark, d):
     p = table(spark, d, "part").select(F.concat("p_brand", F.lit("."), F.col("p_partkey").cast("string")).alias("_id"), F.array(F.struct(F.concat("p_name", F.lit(" & <b>")).alias("_VALUE"), F.lit("en").alias("_lang"))).alias("display-name"))
     p.write.format("xml").option("rowTag", "channel").option("rootTag", "tv").option("compression", "gzip").save(path)
     return feeds.read_xml_names(spark, path).select("ext_id", F.col("names")[0]["name"].alias("name"), F.col("names")[0]["lang"].alias("lang"))
+
+
+@query(
+    """WITH l AS (SELECT l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_extendedprice) AS k FROM lineitem),
+    x AS (SELECT l_orderkey, l_linenumber, (l_orderkey * 8 + l_linenumber) * 1000 + k AS pos FROM l),
+    y AS (SELECT *, max(CASE WHEN l_linenumber = 1 THEN pos END) OVER w AS opened, arg_max(l_orderkey, CASE WHEN l_linenumber = 1 THEN pos END) OVER w AS title FROM x WINDOW w AS (ORDER BY pos ROWS UNBOUNDED PRECEDING)),
+    z AS (SELECT *, count(*) FILTER (l_linenumber = 3) OVER (PARTITION BY opened ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS urls FROM y WHERE opened IS NOT NULL)
+    SELECT title AS l_orderkey, opened + 1 AS line_no, coalesce(max('http://h/' || l_orderkey) FILTER (l_linenumber = 3), '') AS url,
+      coalesce(string_agg('#line ' || l_linenumber, '|' ORDER BY pos) FILTER (l_linenumber NOT IN (1, 3)), '') AS directives FROM z WHERE urls = 0 GROUP BY title, opened"""
+)
+def m3u_one_file(spark, d):
+    """All line items as lines of one playlist: first items open entries, third ones are addresses, others comments."""
+    key = F.struct("l_orderkey", "l_linenumber")
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    # items that share order and line number, a few at most, follow each other
+    turn = F.row_number().over(Window.partitionBy(key).orderBy("l_partkey", "l_suppkey", "l_extendedprice"))
+    order, no = F.col("l_orderkey").cast("string"), F.col("l_linenumber")
+    line = F.when(no == 1, F.concat(F.lit("#EXTINF:-1 x=\"1\","), order)).when(no == 3, F.concat(F.lit("http://h/"), order)).otherwise(F.concat(F.lit("#line "), no.cast("string")))
+    ln = li.select(F.lit("all").alias("file"), ((F.col("l_orderkey") * 8 + no) * 1000 + turn).cast("long").alias("pos"), line.alias("line"))
+    e, _, _ = playlists.scan_lines(scratch(ln), block=200_000_000)
+    return e.select(F.col("title").cast("long").alias("l_orderkey"), "line_no", "url", F.array_join("directives", "|").alias("directives"))
+
+
+@query(
+    """SELECT s_suppkey, n_name AS section, coalesce('group ' || max(CASE WHEN s_suppkey % 5 = 0 THEN s_suppkey END) OVER (PARTITION BY n_nationkey ORDER BY s_suppkey), '') AS subsection, s_name || ' (x)' AS name
+    FROM supplier JOIN nation ON n_nationkey = s_nationkey"""
+)
+def guide_sections(spark, d):
+    """Suppliers as one numbered guide: nations are sections, each fifth supplier opens a subsection."""
+    n = table(spark, d, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
+    s = table(spark, d, "supplier").join(n, "s_nationkey").withColumn("at", F.col("s_nationkey").cast("long") * 10_000_000_000 + F.col("s_suppkey") * 4)
+    key = F.col("s_suppkey").cast("string")
+    part = s.select("at", F.explode(F.array_compact(F.array(
+        F.when(F.col("s_suppkey") % 5 == 0, F.struct(F.lit(1).alias("k"), F.concat(key, F.lit(". #  Group   "), key, F.lit(" #")).alias("line"))),
+        F.struct(F.lit(2).alias("k"), F.concat(key, F.lit(".  "), F.col("s_name"), F.lit(" (x) ")).alias("line")), F.struct(F.lit(3).alias("k"), F.lit("a line of other text").alias("line")),
+    ))).alias("x"))
+    heads = s.groupBy("s_nationkey", "n_name").agg(F.count("*").alias("n")).select((F.col("s_nationkey").cast("long") * 10_000_000_000).alias("pos"), F.concat("n_name", F.lit(" ("), F.col("n").cast("string"), F.lit(" channels)")).alias("line"))
+    ln = heads.unionByName(part.select((F.col("at") + F.col("x.k")).alias("pos"), "x.line")).withColumn("file", F.lit("g"))
+    g = feeds.parse_guide(ln, block=1_000_000_000)
+    return g.select((F.expr("pos % 10000000000") / 4).cast("long").alias("s_suppkey"), "section", "subsection", "name")

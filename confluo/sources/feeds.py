@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
+from confluo.operators import carry
+
 XML_SCHEMA = "_id STRING, `display-name` ARRAY<STRUCT<_VALUE: STRING, _lang: STRING>>"
 
 
@@ -17,20 +19,26 @@ def read_xml_names(spark: SparkSession, path: str) -> DataFrame:
     return x.select(F.col("_id").alias("ext_id"), F.transform("display-name", lambda n: F.struct(n["_lang"].alias("lang"), n["_VALUE"].alias("name"))).alias("names")).where("ext_id IS NOT NULL")
 
 
-def forward_fill(df: DataFrame, group: list[str], order: str, opens: Column, value: Column, out: str) -> DataFrame:
-    """Add the value of the last row at or before each row, within its group, that opens a section."""
-    w = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(out, F.last(F.when(opens, value), ignorenulls=True).over(w))
+def forward_fill(df: DataFrame, group: list[str], order: str, opens: Column, value: Column, out: str, block: int = carry.BLOCK) -> DataFrame:
+    """Add the value of the last row at or before each row, within its group, that opens a section; a group of any size
+    is scanned by many tasks."""
+    rows = carry.blocks(df, group, [order], block)
+    return carry.running(rows, group, "_block", "_n", {out: ("last", F.when(opens, value))}).drop("_n", "_block")
+
 
+def parse_guide(lines: DataFrame, block: int = carry.BLOCK) -> DataFrame:
+    """(file, pos, section, subsection, name) of a numbered guide (file, pos, line), pos being dense within a file.
 
-def parse_guide(lines: DataFrame) -> DataFrame:
-    """(file, pos, section, subsection, name) of a numbered guide (file, pos, line)."""
+    A line `Name (12 channels)` opens a section, a numbered one between # marks a subsection, other numbered ones are
+    entries. What is open is carried from block to block of a file's lines.
+    """
     section = F.regexp_extract("line", r"^(.*\S)\s*\(\d+ channels\)\s*$", 1)
     numbered = F.regexp_extract("line", r"^\s*\d+\.\s+(.*\S)\s*$", 1)
     sub = F.lower(F.regexp_replace(F.regexp_replace(numbered, r"^#+\s*|\s*#+$", ""), r"\s+", " "))
     is_sub = F.startswith(numbered, F.lit("#"))
-    df = forward_fill(lines, ["file"], "pos", section != "", section, "section")
-    df = forward_fill(df, ["file"], "pos", (section != "") | is_sub, F.when(is_sub, sub).otherwise(""), "subsection")
+    opened = F.when(section != "", "").when(is_sub, sub)
+    df = lines.select("file", "pos", "line").withColumn("_block", F.expr(f"pos div {block}"))
+    df = carry.running(df, ["file"], "_block", "pos", {"section": ("last", F.when(section != "", section)), "subsection": ("last", opened)})
     return df.where((numbered != "") & ~is_sub & (section == "")).select("file", "pos", "section", "subsection", numbered.alias("name"))
 
 

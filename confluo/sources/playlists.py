@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from confluo.functions.names import trim_all
+from confluo.operators import carry
+from confluo.scratch import scratch
 
 _LINE = r'^#EXTINF:((?:\\.|"(?:\\.|[^"\\])*+"|[^\\",])*+),(.*)$'
 _ATTR = r'([A-Za-z0-9_-]+)="((?:\\.|[^"\\])*)"'
@@ -16,26 +18,46 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
 
 
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, pos, line) of text files that many tasks read together, whatever their size; pos counts a file's lines from 0.
+
+    Lines are written once with the byte range they came from and their place in it; a range's lines follow those of the
+    ranges before it in its file.
+    """
+    place = F.monotonically_increasing_id()
+    raw = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), place.alias("at"), F.col("value").alias("line"))
+    raw = scratch(raw.withColumn("line", trim_all("line")))
+    ranges = raw.groupBy("file", "start").agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("file").orderBy("start")) - F.col("n") - F.col("first")
+    # one row for each byte range that a task reads
+    return raw.join(F.broadcast(ranges.select("file", "start", before.alias("shift"))), ["file", "start"]).select("file", (F.col("at") + F.col("shift")).alias("pos"), "line")
+
+
 def lines(texts: DataFrame) -> DataFrame:
     """(file, pos, line) of texts (file, value)."""
     return texts.select("file", F.posexplode(F.split("value", r"\r\n|\n|\r")).alias("pos", "line")).withColumn("line", trim_all("line"))
 
 
-def scan(texts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(entries, headers, rejects) of texts (file, value).
+def scan(texts: DataFrame, block: int = carry.BLOCK) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(entries, headers, rejects) of texts (file, value)."""
+    return scan_lines(lines(texts), block)
+
+
+def scan_lines(ln: DataFrame, block: int = carry.BLOCK) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(entries, headers, rejects) of lines (file, pos, line).
 
     An #EXTINF line opens an entry, other # lines attach to the open entry or to the header, the next bare line is the
     address and closes it; an entry without address still counts; an address with no open entry is dropped. An #EXTINF
-    line without a comma outside quotes becomes a reject. A file's lines are one window, so split huge files before.
+    line without a comma outside quotes becomes a reject. Which entry a line belongs to, and whether its address has
+    come, is carried from block to block of a file's lines, so one huge file is scanned by many tasks. A file's loose
+    comments are one value, its header.
     """
-    w = Window.partitionBy("file").orderBy("pos")
-    ln = lines(texts).where("line <> ''")
     opens, bare = F.startswith("line", F.lit("#EXTINF:")), ~F.startswith("line", F.lit("#"))
-    ln = ln.withColumn("kind", F.when(opens, "open").when(bare, "url").otherwise("note")).withColumn("grp", F.sum(opens.cast("int")).over(w))
-    inside = Window.partitionBy("file", "grp").orderBy("pos")
-    ln = ln.withColumn("urls", F.coalesce(F.sum((F.col("kind") == "url").cast("int")).over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    live = ln.where((F.col("grp") > 0) & (F.col("urls") == 0))
-    entry = live.groupBy("file", "grp").agg(
+    ln = ln.where("line <> ''").select("file", "pos", "line", F.when(opens, "open").when(bare, "url").otherwise("note").alias("kind"), F.expr(f"pos div {block}").alias("_block"))
+    entry_at, closes = F.when(F.col("kind") == "open", F.col("pos")), F.when(F.col("kind") != "note", F.col("kind"))
+    ln = carry.running(ln, ["file"], "_block", "pos", {"grp": ("last", entry_at), "was": ("before", closes)})
+    inside = (F.col("kind") == "open") | F.coalesce(F.col("was") == "open", F.lit(False))
+    entry = ln.where(inside).groupBy("file", "grp").agg(
         F.min("pos").alias("pos"), F.max(F.when(F.col("kind") == "open", F.col("line"))).alias("raw"), F.coalesce(F.max(F.when(F.col("kind") == "url", F.col("line"))), F.lit("")).alias("url"),
         F.transform(F.array_sort(F.collect_list(F.when(F.col("kind") == "note", F.struct("pos", "line")))), lambda x: x["line"]).alias("directives"),
     )
@@ -44,7 +66,7 @@ def scan(texts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     entries = entry.where(good).select(
         "file", (F.col("pos") + 1).alias("line_no"), F.coalesce(F.nullif(F.regexp_extract(meta, r"^(\S+)", 1), F.lit("")), F.lit("-1")).alias("duration"), attributes(meta).alias("attrs"), trim_all(F.regexp_extract("raw", f"(?s){_LINE}", 2)).alias("title"), "url", "directives"
     )
-    loose = ln.where((F.col("kind") == "note") & ((F.col("grp") == 0) | (F.col("urls") > 0)))
+    loose = ln.where((F.col("kind") == "note") & ~inside)
     headers = loose.groupBy("file").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "line"))), lambda x: x["line"]), "\n").alias("header"))
     return entries, headers, entry.where(~good).select("file", (F.col("pos") + 1).alias("line_no"), F.col("raw").alias("line"))
 
