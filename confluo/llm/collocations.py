@@ -38,7 +38,7 @@ from confluo.operators.order import number
 LEAST, LONGEST, TOP, COVER = 10, 3, 2000, 50
 #: Ids of the first class; cells of a tile that may be counted densely, and cells for each pair that then are too many;
 #: distinct addresses of a part, and of rows that one task merges; bytes of text in a batch.
-TILE, DENSE, SPARSE, SHARE, MERGE, BATCH_BYTES = 1024, 1 << 22, 16, 6_000_000, 24_000_000, 16_000_000
+TILE, DENSE, SPARSE, SHARE, MERGE, BATCH_BYTES = 1024, 1 << 22, 16, 6_000_000, 24_000_000, 32_000_000
 #: Ends a piece; no UTF-8 text holds this byte.
 _END = b"\xff"
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else 32 if c == 9 else 255 if c in b".,;:!?\n\v\f\r" else c for c in range(256))
@@ -72,6 +72,14 @@ def tiled(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ci * 64 + cj, (i - first_of(ci)) * width_of(cj) + j - first_of(cj)
 
 
+def _tiled(i: np.ndarray, j: np.ndarray, step: int = 500_000) -> tuple[np.ndarray, np.ndarray]:
+    """tiled() of many pairs, with few temporary arrays at once."""
+    tile, address = np.empty(len(i), np.int16), np.empty(len(i), np.int64)
+    for at in range(0, len(i), step):
+        tile[at : at + step], address[at : at + step] = tiled(i[at : at + step], j[at : at + step])
+    return tile, address
+
+
 def untiled(tile: int, address: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     ci, cj = np.array(tile // 64), np.array(tile % 64)
     return first_of(ci) + address // width_of(cj), first_of(cj) + address % width_of(cj)
@@ -109,7 +117,7 @@ def part_of(address: np.ndarray, n: int) -> np.ndarray:
 
 def count_pairs(i: np.ndarray, j: np.ndarray, occ: tuple[np.ndarray, np.ndarray], share: int) -> Iterator[tuple[int, int, int, bytes]]:
     """Tile, part, number and packed counts of the distinct pairs of a batch."""
-    tile, address = tiled(i, j)
+    tile, address = _tiled(i, j)
     order = np.argsort(tile, kind="stable")
     tile, address = tile[order], address[order]
     first = np.flatnonzero(np.r_[True, tile[1:] != tile[:-1]][: len(tile)])
@@ -255,7 +263,7 @@ def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", lea
         w = of[c]
         on = np.flatnonzero((w[:-1] >= 0) & (w[1:] >= 0))
         occ = _occ(t)
-        return _held(batch, lang, [(IDS, 0, len(w), _squeeze(w.tobytes() + w.tobytes())), *count_pairs(w[on], w[on + 1], occ, share)])
+        return _held(batch, lang, [(IDS, 0, len(w), _squeeze(w.tobytes())), *count_pairs(w[on], w[on + 1], occ, share)])
 
     found = words.join(ranked.select("lang", "word", "id"), ["lang", "word"]).select(F.col("batch").alias("batch"), F.col("lang").alias("lang"), "place", "id")  # columns of their own, unlike those of texts
     texts = sent.where("data IS NOT NULL").select("batch", "lang", "data").join(shape, "lang", "left").withColumn("occ", F.col("word_occ"))
@@ -269,12 +277,13 @@ def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", lea
         named = pairs.join(start, ["lang", "i"]).join(last, ["lang", "j"])
         out.append(scratch(named.select("lang", F.lit(size).alias("size"), F.concat_ws(" ", "start", "word").alias("phrase"), "f", "id")))
         if size < longest:
-            state = _longer(state, pairs, _shape(pairs, "occ"), shape, size, share, merge)
+            state = _longer(state, pairs, _shape(pairs, "occ"), shape, size, size + 1 < longest, share, merge)
     return reduce(DataFrame.unionByName, (d.drop("id") for d in out)), counted.groupBy("lang").agg(F.sum("f").alias("n"))
 
 
-def _longer(state: DataFrame, pairs: DataFrame, occ: DataFrame, word_occ: DataFrame, size: int, share: int, merge: int) -> DataFrame:
-    """The batches' rows for phrases of size + 1 words, from those for phrases of `size` words and the ids of the frequent."""
+def _longer(state: DataFrame, pairs: DataFrame, occ: DataFrame, word_occ: DataFrame, size: int, more: bool, share: int, merge: int) -> DataFrame:
+    """The batches' rows for phrases of size + 1 words, from those for phrases of `size` words and the ids of the frequent;
+    with ids for phrases longer than that if there are more to come."""
 
     def ids(t: pa.Table, known: pa.Table) -> pa.Table:
         if not t.num_rows or not known.num_rows:
@@ -294,11 +303,12 @@ def _longer(state: DataFrame, pairs: DataFrame, occ: DataFrame, word_occ: DataFr
         if not t.num_rows:
             return _held(0, "", [])
         batch, lang = _one(t, ["batch", "lang"])
-        start, w = np.frombuffer(_restore(t.column("data")[0].as_py()), np.int64).reshape(2, -1)
-        # start[p]: the id of the phrase of size - 1 words at p; its pair is the word after it
+        held = np.frombuffer(_restore(t.column("data")[0].as_py()), np.int64)
+        # start[p]: the id of the phrase of size - 1 words at p, of words themselves at first; its pair is the word after it
+        start, w = (held, held) if size == 2 else held.reshape(2, -1)
         n = max(0, len(w) - size + 1)
         on = np.flatnonzero((start[:n] >= 0) & (w[size - 1 :] >= 0) & (start[1 : n + 1] >= 0 if size > 2 else True))
-        tile, address = tiled(start[on], w[on + size - 1])
+        tile, address = _tiled(start[on], w[on + size - 1])
         got, by = np.full(len(w), -1, np.int64), defaultdict(list)
         for k, data in zip(answers.column("tile").to_pylist(), answers.column("data").to_pylist(), strict=True):
             by[k].append(unpack(data))
@@ -313,7 +323,8 @@ def _longer(state: DataFrame, pairs: DataFrame, occ: DataFrame, word_occ: DataFr
                     got[on[mine[hit]]] = id_[at[hit]]
         n = max(0, len(w) - size)
         on = np.flatnonzero((got[:n] >= 0) & (got[1 : n + 1] >= 0))
-        return _held(batch, lang, [(IDS, 0, len(w), _squeeze(got.tobytes() + w.tobytes())), *count_pairs(got[on], w[on + size], _occ(t), share)])
+        ids = [(IDS, 0, len(w), _squeeze(got.tobytes() + w.tobytes()))] if more else []
+        return _held(batch, lang, [*ids, *count_pairs(got[on], w[on + size], _occ(t), share)])
 
     asks = state.where(F.col("tile") != IDS)
     answers = _given(asks, pairs.select(*_KEYS, "i", "j", "id"), _KEYS, merge, ids, _PART)
