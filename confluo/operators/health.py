@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from confluo.operators import carry
+from confluo.operators import buckets, carry
+from confluo.scratch import scratch
 
 DISABLE_AFTER = 6
 
@@ -59,3 +61,19 @@ def upsert(state: DataFrame, batch: DataFrame, key: str, full_run: bool = True)
     new = F.coalesce("b._in", F.lit(False))
     present = F.when(new, True).otherwise(F.lit(False) if full_run else F.col("s.present"))
     return j.select(F.coalesce(f"b.{key}", f"s.{key}").alias(key), *(F.when(new, F.col(f"b.{c}")).otherwise(F.col(f"s.{c}")).alias(c) for c in cols), present.alias("present"))
+
+
+def upsert_into(path: str, schema: StructType, batch: DataFrame, key: str, full_run: bool = True, n_buckets: int = 64) -> int:
+    """upsert() into a state kept by the hash of its key; returns the number of buckets rewritten, others stay as they are.
+
+    schema: of the state's rows (key, values, present). On a full run, buckets also change that hold a row which was
+    present and is not in the batch; to find them, only keys and marks of the state are read.
+    """
+    spark = batch.sparkSession
+    b = scratch(batch.withColumn(buckets.BUCKET, buckets.bucket_of(key, n_buckets)))
+    only = set(buckets.touched(b))
+    if full_run:
+        only |= set(buckets.touched(buckets.read(spark, path, schema).where("present").join(b.select(key), key, "left_anti")))
+    new = upsert(buckets.read(spark, path, schema, only).drop(buckets.BUCKET), b.drop(buckets.BUCKET), key, full_run)
+    buckets.overwrite(new.withColumn(buckets.BUCKET, buckets.bucket_of(key, n_buckets)), path)
+    return len(only)

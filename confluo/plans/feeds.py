@@ -9,7 +9,7 @@ from confluo.functions import names
 from confluo.operators import lookup
 from confluo.plans.registry import query, table
 from confluo.scratch import folder, scratch
-from confluo.sources import feeds, playlists
+from confluo.sources import feeds, playlists, publication
 
 _GROUP = "CASE WHEN p_size % 4 = 0 THEN '' ELSE p_type END"
 
@@ -181,3 +181,32 @@ def guide_sections(spark, d):
     ln = heads.unionByName(part.select((F.col("at") + F.col("x.k")).alias("pos"), "x.line")).withColumn("file", F.lit("g"))
     g = feeds.parse_guide(ln, block=1_000_000_000)
     return g.select((F.expr("pos % 10000000000") / 4).cast("long").alias("s_suppkey"), "section", "subsection", "name")
+
+
+@query("SELECT p_partkey, p_name AS title, 'http://h/' || p_partkey AS url, (SELECT count(*) FROM part) AS rows_seen, (SELECT count(*) FROM part WHERE p_size < 25) AS small_seen, true AS refused FROM part")
+def publish_guarded(spark, d):
+    """Parts published as a playlist, then a truncated run of them that the guards refuse: what is read is the former."""
+    root, p = folder(spark), table(spark, d, "part")
+    text = playlists.render(_attrs(), F.col("p_name"), F.concat(F.lit("http://h/"), F.col("p_partkey").cast("string")))
+    lines = lambda df: playlists.arrange(df, [F.col("p_type"), F.col("p_partkey")], text)
+    metrics = {"rows": F.count("p_partkey"), "small": F.count_if(F.col("p_size") < 25)}
+    _, seen = publication.publish(lines(p), root, ["value"], metrics)
+    try:
+        publication.publish(lines(p.where("p_partkey % 9 = 0")), root, ["value"], metrics, {k: lambda m, k=k: 2 * m[k] >= seen[k] for k in seen})
+        refused = False
+    except publication.Refused as x:
+        refused = sorted(x.failed) == sorted(seen)
+    e, _, _ = playlists.scan_lines(playlists.read_lines(spark, publication.current(spark, root)))
+    return e.select(playlists.get(F.col("attrs"), "tvg-id").cast("long").alias("p_partkey"), "title", "url", F.lit(seen["rows"]).alias("rows_seen"), F.lit(seen["small"]).alias("small_seen"), F.lit(refused).alias("refused"))
+
+
+@query("SELECT p_brand AS brand, p_type AS kind, count(*) AS n, string_agg(p_name || ' \"' || p_size || '\"', '|' ORDER BY p_partkey) AS items FROM part GROUP BY ALL")
+def json_catalog_round_trip(spark, d):
+    """A nested catalog, brands of kinds of parts, published as one JSON text over several files and read back."""
+    root, item = folder(spark), F.struct("p_partkey", F.concat("p_name", F.lit(' "'), F.col("p_size").cast("string"), F.lit('"')).alias("name"))
+    kinds = table(spark, d, "part").groupBy("p_brand", "p_type").agg(F.array_sort(F.collect_list(item)).alias("items"))
+    brands = kinds.groupBy("p_brand").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("p_type", "items")))).alias("kinds"))
+    at, _ = publication.publish(feeds.json_map(brands, F.col("p_brand"), F.col("kinds")), root, ["value"])
+    back = feeds.read_json_map(spark, at, "map<string, array<struct<p_partkey: bigint, name: string>>>")
+    each = back.select(F.col("key").alias("brand"), F.explode("value").alias("kind", "items"))
+    return each.select("brand", "kind", F.size("items").cast("long").alias("n"), F.array_join("items.name", "|").alias("items"))

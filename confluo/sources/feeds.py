@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
 from confluo.operators import carry
+from confluo.operators.order import number
 
 XML_SCHEMA = "_id STRING, `display-name` ARRAY<STRUCT<_VALUE: STRING, _lang: STRING>>"
 
@@ -48,6 +49,33 @@ def explode_map(df: DataFrame, text: str, value: DataType | str, keep: list[str]
     return df.select(*keep, F.explode(F.from_json(text, f"map<string,{kind}>")).alias("key", "value"))
 
 
+def json_map(df: DataFrame, key: Column, value: Column, partitions: int | None = None) -> DataFrame:
+    """df with value: its rows as lines of one JSON object, by key; lines but the first begin with a comma.
+
+    The first line opens the object and the last closes it, so the files written from it, one after the other by name, are
+    one JSON text, however many tasks write it. Keys that are null or occur again make no object: they raise an error.
+    """
+    twice = F.when(F.lag("_k").over(Window.partitionBy("_k").orderBy("_k")).isNotNull(), F.raise_error(F.concat(F.lit("key occurs twice: "), F.col("_k"))))
+    rows = df.select("*", F.coalesce(key.cast("string"), F.raise_error(F.lit("null key")).cast("string")).alias("_k"), F.to_json(value).alias("_v"))
+    rows = rows.withColumn("_k", F.coalesce(twice.cast("string"), F.col("_k")))
+    placed = number(rows, [F.col("_k")], "_n", partitions)
+    # a key as JSON: the text of a one-element array without its brackets
+    quoted = F.regexp_replace(F.to_json(F.array("_k")), r"^\[|\]$", "")
+    line = F.concat(F.when(F.col("_n") > 1, ",").otherwise(""), quoted, F.lit(":"), F.col("_v"))
+    ends = df.sparkSession.createDataFrame([(0, "{"), (None, "}")], "_n long, value string")
+    more = ends.select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema), F.coalesce("_n", F.lit((1 << 63) - 1)).alias("_n"), "value")
+    out = more.unionByName(placed.select(*df.columns, "_n", line.alias("value")))
+    return out.repartitionByRange(*([partitions] if partitions else []), "_n").sortWithinPartitions("_n").drop("_n")
+
+
+def read_json_map(spark: SparkSession, path: str, value: DataType | str) -> DataFrame:
+    """(key, value) of what json_map() wrote: each line is parsed by itself, by as many tasks as read the files."""
+    kind = value if isinstance(value, str) else value.simpleString()
+    body = spark.read.text(path).where(~F.col("value").isin("{", "}"))
+    one = F.concat(F.lit("{"), F.regexp_replace("value", "^,", ""), F.lit("}"))
+    return body.select(F.explode(F.from_json(one, f"map<string,{kind}>")).alias("key", "value"))
+
+
 def asset_rows(tree: DataFrame, path: str, folders: DataFrame, base_url: str) -> DataFrame:
     """(path, name, country, kind, url) of image files; the first part of the path says country and kind."""
     image = F.col(path).rlike(r"(?i)\.(png|svg|jpe?g|webp)$")

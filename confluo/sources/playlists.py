@@ -110,14 +110,18 @@ def guide_header(header: Column, address: str) -> Column:
     return F.when(F.contains(header, F.lit("url-tvg=")), F.regexp_replace(header, 'url-tvg="[^"]*"', own.replace("\\", "\\\\").replace("$", "\\$"))).otherwise(F.concat(header, F.lit(f" {own}")))
 
 
-def write(df: DataFrame, path: str, order: list[Column], text: Column, one_file: bool = False, header: str = "#EXTM3U") -> None:
-    """Write the header and rendered entries in order; atomic, as Spark commits the folder at once.
+def arrange(df: DataFrame, order: list[Column], text: Column, one_file: bool = False, header: str = "#EXTM3U") -> DataFrame:
+    """df with value, the text of each row, in order over the partitions; the first row is the header, null but for its text.
 
-    The files, one after the other by name, are one playlist; only the first has the header.
+    Written as they stand, the files, one after the other by name, are one playlist; only the first has the header.
     """
     keys = ["_h", *(f"_o{i}" for i in range(len(order)))]
-    out = df.select(F.lit(1).alias("_h"), *(c.alias(k) for c, k in zip(order, keys[1:], strict=True)), text.alias("value"))
-    first = df.sparkSession.range(1).select(F.lit(0).alias("_h"), *(F.lit(None).cast(out.schema[k].dataType).alias(k) for k in keys[1:]), F.lit(header).alias("value"))
+    out = df.select("*", F.lit(1).alias("_h"), *(c.alias(k) for c, k in zip(order, keys[1:], strict=True)), text.alias("value"))
+    first = df.sparkSession.range(1).select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema), F.lit(0).alias("_h"), *(F.lit(None).cast(out.schema[k].dataType).alias(k) for k in keys[1:]), F.lit(header).alias("value"))
     out = first.unionByName(out)
-    out = (out.coalesce(1) if one_file else out.repartitionByRange(*keys)).sortWithinPartitions(*keys)
-    out.select("value").write.mode("overwrite").text(path)
+    return (out.coalesce(1) if one_file else out.repartitionByRange(*keys)).sortWithinPartitions(*keys).drop(*keys)
+
+
+def write(df: DataFrame, path: str, order: list[Column], text: Column, one_file: bool = False, header: str = "#EXTM3U") -> None:
+    """Write the header and rendered entries in order to a new folder; publication.publish() replaces a playlist that is read."""
+    arrange(df, order, text, one_file, header).select("value").write.text(path)

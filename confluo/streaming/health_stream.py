@@ -5,36 +5,97 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from confluo.operators.health import DISABLE_AFTER, status_of
 
+#: The state of a candidate, as the state data source reads it back.
+STATE = "health"
+_STATE = "failures int, at long, place long, success long, silent boolean"
 
-def fold_stream(checks: DataFrame, key: str, at: str, order: str, ok: str) -> DataFrame:
-    """Update-mode stream of each candidate's state (failures, last_check) as checks arrive.
 
-    State is (failures, last time, last order); checks not later than the state's are dropped, which also makes
-    replays harmless.
+class _Fold(StatefulProcessor):
+    """(failures, time and place of the last check, time of the last success) by candidate; times in microseconds.
+
+    Checks not later than the state's last are dropped, which also makes replays harmless. A candidate without check for
+    `quiet` microseconds of event time is reported as silent by a timer, until it is checked again.
     """
-    kind = checks.schema[key].dataType.simpleString()
 
-    def step(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        failures, last, place = state.get if state.exists else (0, -1, -1)
-        rows = pd.concat([b for b in batches if len(b)]).sort_values(["_at", "_ord"])
-        for t, o, good in zip(rows["_at"], rows["_ord"], rows["_ok"], strict=True):
-            if (t, o) > (last, place):
-                failures, last, place = 0 if good else failures + 1, int(t), int(o)
-        state.update((failures, last, place))
-        yield pd.DataFrame({key: [k[0]], "failures": [failures], "last_check": [pd.Timestamp(last, unit="us")]})
-
-    src = checks.select(F.col(key), F.unix_micros(F.col(at).cast("timestamp")).alias("_at"), F.col(order).cast("long").alias("_ord"), F.col(ok).alias("_ok"))
-    out = src.groupBy(key).applyInPandasWithState(step, f"{key} {kind}, failures int, last_check timestamp", "failures int, last long, place long", "update", GroupStateTimeout.NoTimeout)
+    def __init__(self, key: str, quiet: int | None):
+        self.key, self.quiet = key, quiet
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState(STATE, _STATE)
+
+    def _keep(self, failures: int, at: int, place: int, success: int | None, silent: bool) -> None:
+        self.state.update((failures, at, place, success, silent))
+        if self.quiet is not None:
+            for t in list(self.handle.listTimers()):
+                self.handle.deleteTimer(t)
+            if not silent:
+                self.handle.registerTimer(max(0, (at + self.quiet) // 1000))
+
+    def _row(self, k: tuple, failures: int, at: int, success: int | None, silent: bool) -> pd.DataFrame:
+        time = lambda us: pd.Series([pd.NaT if us is None else pd.Timestamp(us, unit="us")], dtype="datetime64[us]")
+        return pd.DataFrame({self.key: [k[0]], "failures": [failures], "last_check": time(at), "last_success": time(success), "silent": [silent]})
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N803  Spark's name
+        old = self.state.get() if self.state.exists() else None
+        failures, last, place, success = (old[0], old[1], old[2], old[3]) if old else (0, None, None, None)
+        # what one micro-batch has for a candidate
+        new = pd.concat([b for b in rows if len(b)])
+        new.columns = [self.key, "_time", "_at", "_ord", "_ok"]  # Spark doesn't always keep the names
+        new = new.sort_values(["_at", "_ord"])
+        for t, o, good in zip(new["_at"].tolist(), new["_ord"].tolist(), new["_ok"].tolist(), strict=True):
+            if last is None or (t, o) > (last, place):
+                failures, last, place = 0 if good else failures + 1, t, o
+                success = t if good else success
+        self._keep(failures, last, place, success, False)
+        yield self._row(key, failures, last, success, False)
+
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N803  Spark's names
+        failures, last, place, success, _ = self.state.get()
+        self._keep(failures, last, place, success, True)
+        yield self._row(key, failures, last, success, True)
+
+    def handleInitialState(self, key: tuple, initialState: pd.DataFrame, timerValues) -> None:  # noqa: N803  Spark's names
+        _, failures, at, place, success = initialState.iloc[0].tolist()
+        self._keep(int(failures), int(at), int(place), None if pd.isna(success) else int(success), False)
+
+    def close(self) -> None:
+        pass
+
+
+def fold_stream(checks: DataFrame, key: str, at: str, order: str, ok: str, state: DataFrame | None = None, quiet: str | None = None, late: str = "0 seconds") -> DataFrame:
+    """Update-mode stream of each candidate's state as checks arrive: failures, last_check, last_success, silent, status, enabled.
+
+    state: where the stream goes on from, a batch's result: key, failures, last_check, last_success and `order`, the place of
+    the last check among those of its time. quiet: an interval of event time after which a candidate without checks is
+    reported as silent; checks may be `late` by so much for that. State is kept in RocksDB, so it may outgrow memory.
+    """
+    spark = checks.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    us = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    src = checks.select(F.col(key), F.col(at).cast("timestamp").alias("_time"), us(at).alias("_at"), F.col(order).cast("long").alias("_ord"), F.col(ok).alias("_ok"))
+    if quiet is not None:
+        src = src.withWatermark("_time", late)
+    kind = checks.schema[key].dataType.simpleString()
+    initial = None if state is None else state.select(F.col(key), "failures", us("last_check").alias("_at"), F.col(order).cast("long").alias("_ord"), us("last_success").alias("_success")).groupBy(key)
+    wait = None if quiet is None else int(pd.Timedelta(quiet).value // 1000)
+    out = src.groupBy(key).transformWithStateInPandas(_Fold(key, wait), f"{key} {kind}, failures int, last_check timestamp, last_success timestamp, silent boolean", "Update", "None" if quiet is None else "EventTime", initial)
     return out.withColumn("status", status_of(F.col("failures"))).withColumn("enabled", F.col("failures") < DISABLE_AFTER)
 
 
+def stored(spark: SparkSession, checkpoint: str, key: str) -> DataFrame:
+    """What a stream's state holds now, read from its checkpoint: key, failures, last_check, last_success, silent."""
+    s = spark.read.format("statestore").option("stateVarName", STATE).load(checkpoint)
+    time = lambda c: F.timestamp_micros(F.col(f"value.{c}"))
+    return s.select(F.col(f"key.{key}").alias(key), "value.failures", time("at").alias("last_check"), time("success").alias("last_success"), "value.silent")
+
+
 def on_snapshots(stream: DataFrame, rebuild: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     """Call the batch job for each arrived snapshot batch."""
     return stream.writeStream.foreachBatch(rebuild).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
