@@ -36,6 +36,8 @@ from confluo.llm.lm import _restore, _squeeze, pack, total, unpack
 from confluo.operators.order import number
 
 LEAST, LONGEST, TOP, COVER = 10, 3, 2000, 50
+#: Shares of a language's phrases whose first are found side by side.
+TOP_SHARES = 32
 #: Ids of the first class; cells of a tile that may be counted densely, and cells for each pair that then are too many;
 #: distinct addresses of a part, and of rows that one task merges; bytes of text in a batch.
 TILE, DENSE, SPARSE, SHARE, MERGE, BATCH_BYTES = 1024, 1 << 22, 16, 6_000_000, 24_000_000, 32_000_000
@@ -354,8 +356,10 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     inside = inside.select("lang", "f", F.explode(F.expr("transform(sequence(1, size - m + 1), i -> array_join(slice(w, i, m), ' '))")).alias("phrase"))
     over = inside.groupBy("lang", "phrase").agg(F.max("f").alias("over"))
     kept = best.join(over, ["lang", "phrase"], "left").where(F.col("over").isNull() | (100 * F.col("over") < cover * F.col("a")))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    first = kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    # the first of each share of a language's phrases, then the first of those: no task sees more than shares * top
+    order = lambda *by: Window.partitionBy("lang", *by).orderBy(F.desc("score"), F.desc("a"), "phrase")
+    some_of = kept.withColumn("_s", F.pmod(F.xxhash64("phrase"), F.lit(TOP_SHARES))).withColumn("_r", F.row_number().over(order("_s"))).where(F.col("_r") <= top)
+    first = some_of.withColumn("rank", F.row_number().over(order())).where(F.col("rank") <= top)
     return first.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
