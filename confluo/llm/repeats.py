@@ -40,7 +40,7 @@ from confluo.llm.common import scratch, ship
 from confluo.llm.lm import batched
 
 #: Bytes of a repeated string; suffixes in a block of each pass; bytes of text in a batch, and of those looked at at once.
-THRESHOLD, WIDTHS, BATCH_BYTES, SLICE_BYTES = 200, (128, 8, 1), 16_000_000, 4_000_000
+THRESHOLD, WIDTHS, BATCH_BYTES, SLICE_BYTES = 200, (128, 8, 1), 8_000_000, 2_000_000
 #: What a row of a batch holds.
 TEXT, BLOCKS, SPANS, DONE = 0, 1, 2, 3
 _GRAM = 8
