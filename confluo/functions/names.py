@@ -67,6 +67,18 @@ def slug(ascii_name: str | Column, default: str = "unknown-channel") -> Column:
     return F.when(s == "", default).otherwise(s)
 
 
+def plain_slug(ascii_name: str | Column, signs: dict[str, str] | None = None) -> Column:
+    """A slug that keeps quality words; signs are spelled out first. As it is, the form of a category's name."""
+    text = F.coalesce(col(ascii_name), F.lit(""))
+    for sign, word in (signs or {}).items():
+        text = F.replace(text, F.lit(sign), F.lit(word))
+    return F.regexp_replace(F.regexp_replace(F.lower(text), "[^a-z0-9]+", "-"), "^-+|-+$", "")
+
+
+#: How feeds spell signs in their ids; one joins `&` to the words beside it, one spells `+` too.
+JOINED, SPELLED = {"&": "and"}, {"&": " and ", "+": " plus "}
+
+
 def quality_height(c: str | Column) -> Column:
     """Largest advertised height; bare words count as 720 or 1080; null if nothing is advertised."""
     c = F.coalesce(col(c), F.lit(""))

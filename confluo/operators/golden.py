@@ -2,36 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _first_by_key(pairs: Column) -> Column:
-    """Values of an ordered array of (key, value) structs, the first of each key."""
-    start = F.struct(F.array().cast("array<string>").alias("seen"), F.array().cast("array<string>").alias("out"))
-    step = lambda a, x: F.when(F.array_contains(a["seen"], x["key"]) | (x["key"] == ""), a).otherwise(F.struct(F.array_append(a["seen"], x["key"]).alias("seen"), F.array_append(a["out"], x["value"]).alias("out")))
-    return F.aggregate(pairs, start, step, lambda a: a["out"])
-
-
 def golden_record(items: DataFrame, entity: str = "entity_id", most_aliases: int = 40, default_category: str = "general") -> DataFrame:
     """One row per entity from its observations.
 
     items: entity, trust, name, plain, key, url, height, not_24_7, country, category, source, ref. The first by
     (trust, lower name, url) gives the name; heights take the largest, not_24_7 any; aliases keep order, one a key;
     categories go by frequency, ties to the one seen first; references are a map of sorted sets by source. Names and
-    categories are reduced to one row each before they are collected, so what an entity collects is its distinct values.
+    categories are reduced to one row each before they are collected, so what an entity collects is its distinct values; of
+    aliases only the first most_aliases are ranked (by each task first) and collected, however many an entity has.
     """
     order = F.struct("trust", F.lower("name").alias("l"), "url")
     base = items.groupBy(entity).agg(
         F.min_by("plain", order).alias("name"), F.max("height").alias("quality_height"), F.bool_or("not_24_7").alias("not_24_7"),
         F.array_sort(F.collect_set(F.when(F.col("country") != "", F.col("country")))).alias("countries"), F.array_sort(F.collect_set("source")).alias("sources"),
     )
-    alias = items.groupBy(entity, "key").agg(F.min(F.struct(order.alias("o"), F.col("name").alias("value"))).alias("x"))
-    alias = alias.groupBy(entity).agg(F.array_sort(F.collect_list(F.struct("x.o", F.col("key"), F.col("x.value").alias("value")))).alias("x")).select(entity, F.slice(_first_by_key("x"), 1, most_aliases).alias("aliases"))
+    alias = items.where(~F.col("key").eqNullSafe("")).groupBy(entity, "key").agg(F.min(F.struct(order.alias("o"), F.col("name").alias("value"))).alias("x"))
+    place = F.row_number().over(Window.partitionBy(entity).orderBy("x.o", "key"))
+    alias = alias.withColumn("place", place).where(F.col("place") <= most_aliases)
+    alias = alias.groupBy(entity).agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "x.value"))), lambda a: a["value"]).alias("aliases"))
     cats = items.groupBy(entity, "category").agg(F.count("*").alias("n"), F.min(order).alias("o"))
     cats = cats.groupBy(entity).agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "o", F.coalesce("category", F.lit(default_category)).alias("c")))).alias("x")).select(entity, F.transform("x", lambda c: c["c"]).alias("categories"))
     refs = items.groupBy(entity, "source").agg(F.array_sort(F.collect_set("ref")).alias("r")).groupBy(entity).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("source", "r")))).alias("source_refs"))
-    return base.join(alias, entity).join(cats, entity).join(refs, entity)
+    out = base.join(alias, entity, "left").join(cats, entity).join(refs, entity)
+    return out.withColumn("aliases", F.coalesce("aliases", F.array().cast("array<string>")))
 
 
 def consolidate(records: DataFrame, entity: str = "entity_id", slug: str = "slug") -> DataFrame:

@@ -48,16 +48,20 @@ def multi_key_union(df: DataFrame, row: str, keys: str, index: DataFrame) -> Dat
 def alias_join(df: DataFrame, key: Column, name: Column, aliases: DataFrame, default: str, out: str) -> DataFrame:
     """Add the slug of an alias (alias, slug); without one, names in brackets are entertainment, others the default.
 
-    aliases is joined as it is: Spark broadcasts it only if it is small.
+    An alias that occurs more than once counts once, with its least slug, so no row is multiplied. Spark broadcasts the
+    aliases only if they are small.
     """
     bracket = F.startswith(F.ltrim(name), F.lit("["))
-    j = df.withColumn("_key", key).join(aliases.select(F.col("alias").alias("_key"), F.col("slug").alias("_slug")), "_key", "left")
+    one = aliases.groupBy(F.col("alias").alias("_key")).agg(F.min("slug").alias("_slug"))
+    j = df.withColumn("_key", key).join(one, "_key", "left")
     return j.select(*df.columns, F.coalesce("_slug", F.when(bracket, "entertainment").otherwise(default)).alias(out))
 
 
 def override(df: DataFrame, key: str, overrides: DataFrame, matches: DataFrame, out: str) -> DataFrame:
-    """Override, else match, else nothing (a former value is cleared). Both tables: key, value."""
-    o, m = overrides.select(F.col("key").alias("_k1"), F.col("value").alias("_o")), matches.select(F.col("key").alias("_k2"), F.col("value").alias("_m"))
+    """Override, else match, else nothing (a former value is cleared). Both tables: key, value; of a key that occurs more
+    than once the least value counts, so no row is multiplied."""
+    o = overrides.groupBy(F.col("key").alias("_k1")).agg(F.min("value").alias("_o"))
+    m = matches.groupBy(F.col("key").alias("_k2")).agg(F.min("value").alias("_m"))
     j = df.drop(out).join(o, F.col(key) == F.col("_k1"), "left").join(m, F.col(key) == F.col("_k2"), "left")
     return j.withColumn(out, F.coalesce("_o", "_m")).drop("_k1", "_o", "_k2", "_m")
 

@@ -85,10 +85,11 @@ def fuzzy_two_party(games: DataFrame, events: DataFrame, threshold: float = 0.6,
             near = lambda z: F.least(f"game_{z}", f"event_{z}") >= threshold * F.greatest(f"game_{z}", f"event_{z}") - 1e-9
             p = both(g, "game", "home", "away").join(both(e, "event", left, right), ["kind", "w", "v"]).where(near("x") & near("y")).select("game", "event")
             pairs = p if pairs is None else pairs.unionAll(p)
-    g = games.select("game", F.col("home").alias("gh"), F.col("away").alias("ga"))
-    e = events.select("event", "ord", F.col("home").alias("eh"), F.col("away").alias("ea"))
-    # many events take little space in a file, which says nothing about their size in memory
-    both = pairs.distinct().join(g, "game").join(e.hint("merge"), "event")
+    # written, so that Spark knows how few they are, and of both sides only what is in a pair goes on
+    pairs = scratch(pairs.distinct())
+    g = games.join(pairs.select("game").distinct(), "game", "left_semi").select("game", F.col("home").alias("gh"), F.col("away").alias("ga"))
+    e = scratch(events.join(pairs.select("event").distinct(), "event", "left_semi").select("event", "ord", F.col("home").alias("eh"), F.col("away").alias("ea")))
+    both = pairs.join(g, "game").join(e, "event")
     score = F.least(overlap(F.col("gh"), F.col("eh"), containment), overlap(F.col("ga"), F.col("ea"), containment))
     if swapped:
         score = F.greatest(score, F.least(overlap(F.col("gh"), F.col("ea"), containment), overlap(F.col("ga"), F.col("eh"), containment)))

@@ -26,6 +26,27 @@ def number(df: DataFrame, order: list[Column], out: str = "number", partitions:
     return at.join(F.broadcast(before), "_p").withColumn(out, (F.col("_r") + F.col("_before") + 1).cast("long")).drop("_p", "_r", "_before")
 
 
+def folded(name: Column) -> Column:
+    """A name for comparison without case: lower case, with the sharp s written out."""
+    return F.replace(F.lower(F.coalesce(name, F.lit(""))), F.lit("ß"), F.lit("ss"))
+
+
+def lineup(records: DataFrame, leagues: list[str], default_category: str = "general", out: str = "number") -> DataFrame:
+    """Number records as they are published: by folded name, then those whose first category is a live league.
+
+    records: entity_id, name, categories (array), live_league, live_suborder, league_group, event_start, event_hint,
+    live_order. Live ones go by league in the given order (others after all), block, group, start (unknown ones last), hint
+    (the same), guide order, folded name; ties go to the id.
+    """
+    known = F.array(*map(F.lit, leagues))
+    live = F.array_contains(known, F.coalesce(F.try_element_at("categories", F.lit(1)), F.lit(default_category)))
+    place = F.array_position(known, F.coalesce("live_league", F.lit("")))
+    # unknown times sort after all that begin with digits or letters
+    late = lambda c, sign: F.coalesce(F.nullif(F.col(c).cast("string"), F.lit("")), F.lit(sign))
+    block = [F.when(place > 0, place).otherwise(len(leagues) + 1), F.coalesce("live_suborder", F.lit(0)), F.coalesce("league_group", F.lit("")), late("event_start", "~~~"), late("event_hint", "~~"), F.coalesce("live_order", F.lit(0))]
+    return number(records, [live, *(F.when(live, k) for k in block), folded(F.coalesce("name", "entity_id")), F.col("entity_id")], out)
+
+
 def _in_groups(df: DataFrame, group: Column, order: str) -> DataFrame:
     """Add _turn (from 1), the place within the group, and _low and _size, the group's least order and number of rows.
 

@@ -27,6 +27,18 @@ def slug(spark, d):
     return names.with_ascii(docs, "name", "a").select("doc_id", names.slug("a").alias("slug"))
 
 
+_PLAIN = lambda x: f"trim(regexp_replace(lower({x}), '[^a-z0-9]+', '-', 'g'), '-')"
+_SIGNS = f"regexp_replace({_ASCII(_FIRST)}, '(o|t)', '\\1&+', 'g')"
+
+
+@query(f"""SELECT doc_id, {_PLAIN(f"replace({_SIGNS}, '&', 'and')")} AS joined, {_PLAIN(f"replace(replace({_SIGNS}, '&', ' and '), '+', ' plus ')")} AS spelled, {_PLAIN(_SIGNS)} AS category FROM documents""")
+def slug_variants(spark, d):
+    """Ids of names with signs, as feeds with spelling of their own make them, and as categories are named."""
+    docs = table(spark, d, "documents").select("doc_id", F.regexp_extract("text", r"^[^\n.]*", 0).alias("name"))
+    x = F.regexp_replace("a", "(o|t)", "$1&+")
+    return names.with_ascii(docs, "name", "a").select("doc_id", names.plain_slug(x, names.JOINED).alias("joined"), names.plain_slug(x, names.SPELLED).alias("spelled"), names.plain_slug(x).alias("category"))
+
+
 @query(f"SELECT p_partkey, {_STRIP(NOISY)} AS plain FROM part")
 def strip_quality(spark, d):
     return table(spark, d, "part").select("p_partkey", names.strip_quality(F.expr(NOISY)).alias("plain"))

@@ -210,3 +210,15 @@ def json_catalog_round_trip(spark, d):
     back = feeds.read_json_map(spark, at, "map<string, array<struct<p_partkey: bigint, name: string>>>")
     each = back.select(F.col("key").alias("brand"), F.explode("value").alias("kind", "items"))
     return each.select("brand", "kind", F.size("items").cast("long").alias("n"), F.array_join("items.name", "|").alias("items"))
+
+
+@query("SELECT event_id, event_type AS kind, '2024-01-10' AS day, date_trunc('minute', ts) AS start, 'E ' || event_id || ' \"x\"' AS title, value FROM events WHERE ts::DATE = DATE '2024-01-10'")
+def event_cache(spark, d):
+    """Events as caches by day and kind, a text for each hour of day, of which one day is kept; some texts are no JSON."""
+    e = table(spark, d, "events").select("event_id", "event_type", "value", F.col("ts").cast("timestamp").alias("t"))
+    one = F.struct(F.col("event_id").alias("id"), F.date_format("t", "yyyy-MM-dd").alias("dateEvent"), F.date_format("t", "HH:mm:ss").alias("strTime"), F.concat(F.lit("E "), F.col("event_id").cast("string"), F.lit(' "x"')).alias("strEvent"), F.col("value").alias("v"))
+    lists = e.groupBy(F.hour("t").alias("h"), F.concat(F.date_format("t", "yyyy-MM-dd"), F.lit("|"), F.col("event_type")).alias("k")).agg(F.collect_list(one).alias("l"))
+    texts = lists.groupBy("h").agg(F.to_json(F.struct(F.map_from_entries(F.collect_list(F.struct("k", "l"))).alias("days"))).alias("text"))
+    texts = texts.unionByName(spark.createDataFrame([(24, "no json"), (25, '{"days": 3}'), (26, None), (27, '{"days": {"x|y": null}}')], "h int, text string"))
+    found = feeds.on_day(feeds.day_cache(texts, "text", ["h"]), "2024-01-10", "dateEvent", "strTime", {"event_id": ("id", "bigint"), "title": ("strEvent", "string"), "value": ("v", "double")})
+    return found.select("event_id", "kind", "day", F.col("start").cast("timestamp_ntz").alias("start"), "title", "value")

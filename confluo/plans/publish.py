@@ -15,6 +15,27 @@ def publish_order(spark, d):
     return order.number(o, [F.col("o_orderstatus") == "P", F.col("o_orderstatus"), F.col("o_orderdate"), F.col("o_orderkey")]).select("o_orderkey", "number")
 
 
+_LIVE = """SELECT p_partkey, p_partkey::VARCHAR AS id, p_name AS name, p_size % 4 AS q, CASE p_size % 4 WHEN 0 THEN 'nfl' WHEN 1 THEN 'soccer' WHEN 2 THEN 'golf' END AS league,
+    CASE WHEN p_size % 3 > 0 THEN p_size % 3 END AS sub, CASE WHEN p_partkey % 2 = 0 THEN p_brand END AS grp, CASE WHEN p_partkey % 5 > 0 THEN '2024-01-' || lpad((p_partkey % 28 + 1)::VARCHAR, 2, '0') END AS start,
+    CASE WHEN p_partkey % 3 = 0 THEN 'h' || p_partkey % 4 END AS hint, p_partkey % 6 AS ord, p_partkey % 3 < 2 AS live FROM part"""
+
+
+@query(
+    f"""SELECT p_partkey, row_number() OVER (ORDER BY live, CASE WHEN live THEN CASE league WHEN 'nfl' THEN 1 WHEN 'soccer' THEN 3 ELSE 4 END END, CASE WHEN live THEN coalesce(sub, 0) END, CASE WHEN live THEN coalesce(grp, '') END,
+    CASE WHEN live THEN coalesce(start, '~~~') END, CASE WHEN live THEN coalesce(hint, '~~') END, CASE WHEN live THEN ord END, lower(name), id) AS number FROM ({_LIVE})"""
+)
+def publish_lineup(spark, d):
+    """Parts as a line-up: two thirds in live leagues, with leagues, blocks, groups, starts and hints that may be missing."""
+    k, z = F.col("p_partkey"), F.col("p_size")
+    league = F.when(z % 4 == 0, "nfl").when(z % 4 == 1, "soccer").when(z % 4 == 2, "golf")
+    first = F.when(k % 3 == 0, F.array(F.lit("nba"), F.lit("x"))).when(k % 3 == 1, F.array(F.lit("nfl"))).when(k % 2 == 0, F.array(F.lit("x"), F.lit("nfl"))).otherwise(F.array().cast("array<string>"))
+    r = table(spark, d, "part").select(
+        "p_partkey", k.cast("string").alias("entity_id"), F.col("p_name").alias("name"), first.alias("categories"), league.alias("live_league"), F.when(z % 3 > 0, z % 3).alias("live_suborder"), F.when(k % 2 == 0, F.col("p_brand")).alias("league_group"),
+        F.when(k % 5 > 0, F.concat(F.lit("2024-01-"), F.lpad((k % 28 + 1).cast("string"), 2, "0"))).alias("event_start"), F.when(k % 3 == 0, F.concat(F.lit("h"), (k % 4).cast("string"))).alias("event_hint"), (k % 6).alias("live_order"),
+    )
+    return order.lineup(r, ["nfl", "nba", "soccer"]).select("p_partkey", "number")
+
+
 @query("SELECT p_partkey, row_number() OVER (ORDER BY p_type, lower(p_name), p_partkey) AS number FROM part")
 def sort_renumber(spark, d):
     return order.number(table(spark, d, "part").select("p_partkey", "p_type", "p_name"), [F.col("p_type"), F.lower("p_name"), F.col("p_partkey")]).select("p_partkey", "number")

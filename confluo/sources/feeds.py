@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
+from confluo.functions.names import event_start, trim_all
 from confluo.operators import carry
 from confluo.operators.order import number
 
@@ -30,17 +31,20 @@ def forward_fill(df: DataFrame, group: list[str], order: str, opens: Column, val
 def parse_guide(lines: DataFrame, block: int = carry.BLOCK) -> DataFrame:
     """(file, pos, section, subsection, name) of a numbered guide (file, pos, line), pos being dense within a file.
 
-    A line `Name (12 channels)` opens a section, a numbered one between # marks a subsection, other numbered ones are
-    entries. What is open is carried from block to block of a file's lines.
+    A line `Name (12 channels)` that begins with no digit opens a section, without signs before the name; a numbered one
+    that begins with # opens a subsection; other numbered ones are entries, dropped before the first section. What is open
+    is carried from block to block of a file's lines.
     """
-    section = F.regexp_extract("line", r"^(.*\S)\s*\(\d+ channels\)\s*$", 1)
-    numbered = F.regexp_extract("line", r"^\s*\d+\.\s+(.*\S)\s*$", 1)
-    sub = F.lower(F.regexp_replace(F.regexp_replace(numbered, r"^#+\s*|\s*#+$", ""), r"\s+", " "))
-    is_sub = F.startswith(numbered, F.lit("#"))
-    opened = F.when(section != "", "").when(is_sub, sub)
+    line = trim_all("line")
+    section = trim_all(F.regexp_replace(F.regexp_extract(line, r"^([^0-9].*?)?\((\d+) channels\)$", 1), r"(?U)^[^\w]+", ""))
+    opens = line.rlike(r"^([^0-9].*?)?\(\d+ channels\)$")
+    entry = ~opens & F.col("line").rlike(r"^\s*\d+\.")
+    numbered = trim_all(F.regexp_extract("line", r"^\s*\d+\.\s*(.*)$", 1))
+    is_sub = entry & F.startswith(numbered, F.lit("#"))
+    sub = F.lower(F.regexp_replace(trim_all(F.regexp_replace(numbered, r"^#+\s*|\s*#+$", "")), r"\s+", " "))
     df = lines.select("file", "pos", "line").withColumn("_block", F.expr(f"pos div {block}"))
-    df = carry.running(df, ["file"], "_block", "pos", {"section": ("last", F.when(section != "", section)), "subsection": ("last", opened)})
-    return df.where((numbered != "") & ~is_sub & (section == "")).select("file", "pos", "section", "subsection", numbered.alias("name"))
+    df = carry.running(df, ["file"], "_block", "pos", {"section": ("last", F.when(opens, section)), "subsection": ("last", F.when(opens, "").when(is_sub, sub))})
+    return df.where(entry & ~is_sub & F.col("section").isNotNull()).select("file", "pos", "section", "subsection", numbered.alias("name"))
 
 
 def explode_map(df: DataFrame, text: str, value: DataType | str, keep: list[str]) -> DataFrame:
@@ -49,6 +53,28 @@ def explode_map(df: DataFrame, text: str, value: DataType | str, keep: list[str]
     return df.select(*keep, F.explode(F.from_json(text, f"map<string,{kind}>")).alias("key", "value"))
 
 
+def day_cache(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
+    """(…, day, kind, event) of caches {"days": {"day|kind": [event, …]}}; event is a VARIANT, whatever fields it has.
+
+    A text that is no JSON, or has no such days, gives no rows.
+    """
+    tvf = df.sparkSession.tvf
+    days = df.select(*keep, F.try_parse_json(text).alias("_v")).select(*keep, F.try_variant_get("_v", "$.days", "variant").alias("_days"))
+    by_key = days.lateralJoin(tvf.variant_explode(F.col("_days").outer())).select(*keep, F.col("key").alias("_key"), F.col("value").alias("_list"))
+    each = by_key.lateralJoin(tvf.variant_explode(F.col("_list").outer())).select(*keep, "_key", F.col("value").alias("event"))
+    return each.select(*keep, F.substring_index("_key", "|", 1).alias("day"), F.substring_index("_key", "|", -1).alias("kind"), "event")
+
+
+def on_day(cache: DataFrame, day: str, date: str, clock: str, fields: dict[str, tuple[str, str]]) -> DataFrame:
+    """Events of a cache that take place on a day, by their own date (its first ten characters), with start, the UTC time
+    of date and clock, and fields by name, each (path, type)."""
+    get = lambda path, kind: F.try_variant_get("event", f"$.{path}", kind)
+    own = F.substring(F.trim(F.coalesce(get(date, "string"), F.lit(""))), 1, 10)
+    names = {k: get(*v).alias(k) for k, v in fields.items()}
+    rest = [c for c in cache.columns if c != "event"]
+    return cache.where(own == day).select(*rest, event_start(own, get(clock, "string")).alias("start"), *names.values())
+
+
 def json_map(df: DataFrame, key: Column, value: Column, partitions: int | None = None) -> DataFrame:
     """df with value: its rows as lines of one JSON object, by key; lines but the first begin with a comma.
 
