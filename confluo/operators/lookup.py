@@ -6,19 +6,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def ranked_lookup(df: DataFrame, assets: DataFrame, key: str, country: str, rank: list[Column], value: str, out: str) -> DataFrame:
-    """Add the value of the best asset: of the row's country if it has one (never another's), else of any country.
-
-    assets: key, country, value and what rank refers to; both tables of winners have one row a key.
-    """
+def asset_index(assets: DataFrame, rank: list[Column], value: str) -> tuple[DataFrame, DataFrame]:
+    """The best asset by key and country (_k1, _c1, _own), and by key alone (_k2, _any): one row a key each."""
     win = F.min_by(F.col(value), F.struct(*(r.alias(f"r{i}") for i, r in enumerate(rank))))
     own = assets.where(F.col("country") != "").groupBy("key", "country").agg(win.alias("_own")).select(F.col("key").alias("_k1"), F.col("country").alias("_c1"), "_own")
-    anywhere = assets.groupBy("key").agg(win.alias("_any")).select(F.col("key").alias("_k2"), "_any")
+    return own, assets.groupBy("key").agg(win.alias("_any")).select(F.col("key").alias("_k2"), "_any")
+
+
+def from_index(df: DataFrame, index: tuple[DataFrame, DataFrame], key: str, country: str, out: str) -> DataFrame:
+    """Add the value of the best asset of asset_index(): of the row's country if it has one (never another's), else of any."""
+    own, anywhere = index
     c = F.coalesce(F.col(country), F.lit(""))
     j = df.join(own, (F.col(key) == F.col("_k1")) & (F.upper(c) == F.col("_c1")), "left").join(anywhere, F.col(key) == F.col("_k2"), "left")
     return j.select(*df.columns, F.coalesce(F.when(c != "", F.col("_own")).otherwise(F.col("_any")), F.lit("")).alias(out))
 
 
+def ranked_lookup(df: DataFrame, assets: DataFrame, key: str, country: str, rank: list[Column], value: str, out: str) -> DataFrame:
+    """from_index() over an index made for this once. assets: key, country, value and what rank refers to."""
+    return from_index(df, asset_index(assets, rank, value), key, country, out)
+
+
 def ordered_fallback(df: DataFrame, row: str, keys: str, index: DataFrame, out: str, miss=None) -> DataFrame:
     """Add the value of the first of a row's keys that the index (key, value; one row a key) knows."""
     each = df.select(F.col(row).alias("_row"), F.posexplode(keys).alias("pos", "key"))
@@ -71,11 +78,20 @@ def worklist(df: DataFrame, assets: DataFrame, key: str) -> DataFrame:
     return df.join(assets.select(F.col("key").alias(key)), key, "left_anti")
 
 
+def sources_index(entries: DataFrame, key: str, source: str, ref: str) -> DataFrame:
+    """Each key's sources and references, one row a key."""
+    return entries.groupBy(key).agg(F.array_sort(F.collect_set(source)).alias("sources"), F.array_sort(F.collect_set(ref)).alias("refs"))
+
+
 def allow_list(guide: DataFrame, entries: DataFrame, key: str, source: str, ref: str) -> DataFrame:
     """All guide rows with sources and references of matching entries; those without stay, disabled as no-source."""
-    found = entries.groupBy(key).agg(F.array_sort(F.collect_set(source)).alias("sources"), F.array_sort(F.collect_set(ref)).alias("refs"))
-    j = guide.join(found, key, "left")
-    empty = lambda c: F.coalesce(c, F.array().cast(entries.select(F.collect_set(source if c == "sources" else ref)).schema[0].dataType))
+    return with_sources(guide, sources_index(entries, key, source, ref), key)
+
+
+def with_sources(guide: DataFrame, index: DataFrame, key: str) -> DataFrame:
+    """allow_list() over a sources_index()."""
+    j = guide.join(index, key, "left")
+    empty = lambda c: F.coalesce(c, F.array().cast(index.schema[c].dataType))
     return j.select(*guide.columns, empty("sources").alias("sources"), empty("refs").alias("refs"), F.col("sources").isNotNull().alias("enabled"), F.when(F.col("sources").isNull(), "no-source").otherwise("").alias("excluded_by"))
 
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from confluo.functions import names
-from confluo.operators import lookup, report, survive
-from confluo.plans.registry import query, table
+from confluo.operators import lookup, report, stored, survive
+from confluo.plans.registry import ORACLE_SQL, query, table
 
 _RANKS = "CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END"
 
@@ -74,9 +74,23 @@ _ASSET = "SELECT s_nationkey % 7 AS key, CASE WHEN s_suppkey % 3 = 0 THEN '' ELS
 
 @query(f"WITH a AS ({_ASSET}), c AS (SELECT c_custkey, c_nationkey % 7 AS key, CASE WHEN c_custkey % 4 = 0 THEN '' ELSE 'n' || c_custkey % 4 END AS country FROM customer) SELECT c_custkey, coalesce(CASE WHEN country <> '' THEN (SELECT arg_min(value, (kind, length(value), value)) FROM a WHERE a.key = c.key AND a.country = upper(c.country)) ELSE (SELECT arg_min(value, (kind, length(value), value)) FROM a WHERE a.key = c.key) END, '') AS asset FROM c")
 def ranked_lookup(spark, d):
+    a, c, rank = _assets(spark, d)
+    return lookup.ranked_lookup(c, a, "key", "place", rank, "value", "asset").select("c_custkey", "asset")
+
+
+def _assets(spark, d):
     a = table(spark, d, "supplier").select((F.col("s_nationkey") % 7).alias("key"), F.when(F.col("s_suppkey") % 3 == 0, "").otherwise(F.concat(F.lit("N"), (F.col("s_nationkey") % 4).cast("string"))).alias("country"), F.col("s_name").alias("value"), (F.col("s_suppkey") % 2).alias("kind"))
     c = table(spark, d, "customer").select("c_custkey", (F.col("c_nationkey") % 7).alias("key"), F.when(F.col("c_custkey") % 4 == 0, "").otherwise(F.concat(F.lit("n"), (F.col("c_custkey") % 4).cast("string"))).alias("place"))
-    return lookup.ranked_lookup(c, a, "key", "place", [F.col("kind"), F.length("value"), F.col("value")], "value", "asset").select("c_custkey", "asset")
+    return a, c, [F.col("kind"), F.length("value"), F.col("value")]
+
+
+@query(ORACLE_SQL["ranked_lookup"])
+def ranked_lookup_stored(spark, d):
+    """The same rows from an index in buckets, as repeated lookups use it."""
+    a, c, rank = _assets(spark, d)
+    own, anywhere = lookup.asset_index(a, rank, "value")
+    index = stored.keep(own, ["_k1", "_c1"], 8), stored.keep(anywhere, ["_k2"], 8)
+    return lookup.from_index(c, index, "key", "place", "asset").select("c_custkey", "asset")
 
 
 _FALLBACK = "WITH i AS (SELECT s_nationkey::VARCHAR AS k, min(s_name) AS v FROM supplier WHERE s_nationkey % 3 = 0 GROUP BY 1) SELECT c_custkey, coalesce((SELECT v FROM i WHERE k = c_nationkey::VARCHAR), (SELECT v FROM i WHERE k = ((c_nationkey + 1) % 25)::VARCHAR), '') AS asset FROM customer"
@@ -94,6 +108,18 @@ def ordered_fallback(spark, d):
     return lookup.ordered_fallback(c, "c_custkey", "keys", i, "asset", "").select("c_custkey", "asset")
 
 
+@query("SELECT c_custkey, asset, doc_id, sources FROM (" + _FALLBACK + ") JOIN (SELECT doc_id, string_agg(DISTINCT lang, ',' ORDER BY lang) AS sources FROM (SELECT a.doc_id, b.lang FROM documents a JOIN documents b USING (source)) GROUP BY doc_id) ON doc_id = c_custkey")
+def fallback_and_languages_stored(spark, d):
+    """Two lookups from indexes in buckets: the first known key's value, and all languages of a document's source."""
+    i = table(spark, d, "supplier").where("s_nationkey % 3 = 0").groupBy(F.col("s_nationkey").cast("string").alias("key")).agg(F.min("s_name").alias("value"))
+    c = table(spark, d, "customer").select("c_custkey", F.array(F.col("c_nationkey").cast("string"), ((F.col("c_nationkey") + 1) % 25).cast("string")).alias("keys"))
+    docs = table(spark, d, "documents")
+    langs = docs.groupBy(F.col("source").alias("key")).agg(F.collect_set("lang").alias("languages")).withColumn("english", F.lit(None).cast("boolean"))
+    first = lookup.ordered_fallback(c, "c_custkey", "keys", stored.keep(i, ["key"], 8), "asset", "").select("c_custkey", "asset")
+    every = lookup.multi_key_union(docs.select("doc_id", F.array("source").alias("keys")), "doc_id", "keys", stored.keep(langs, ["key"], 8))
+    return first.join(every.select("doc_id", F.array_join("languages", ",").alias("sources")), F.col("c_custkey") == F.col("doc_id")).select("c_custkey", "asset", "doc_id", "sources")
+
+
 @query(
     """WITH i AS (SELECT source AS k, list_sort(list(DISTINCT lang)) AS l, CASE substr(source, 4)::INT % 3 WHEN 0 THEN true WHEN 1 THEN false END AS e FROM documents GROUP BY source),
     d AS (SELECT doc_id, source AS k1, 'src' || (doc_id % 23) AS k2 FROM documents)

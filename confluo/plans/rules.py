@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from confluo.operators import patterns
 from confluo.operators import rules as R
 from confluo.plans.registry import query, table
 
@@ -103,3 +104,29 @@ def retention(spark, d):
     li = table(spark, d, "lineitem").withColumnRenamed("l_partkey", "p_partkey")
     out = R.retained(table(spark, d, "part"), li.where("l_quantity >= 49"), li.where("l_discount = 0 AND l_quantity < 3"), "p_partkey", F.col("p_partkey") % 100 == 0, F.col("p_size") == 1)
     return out.select("p_partkey", "p_name")
+
+
+_NAME = "p_name || ' ' || p_size || ' ' || p_brand || ' ' || lower(p_type)"
+_NOUN = "split_part(p_name, ' ', 2)"
+
+
+@query(
+    f"""WITH p AS (SELECT *, p_partkey % 3 AS form FROM part), a AS (SELECT p_name, p_size, min(p_partkey) AS k FROM p WHERE form = 0 GROUP BY ALL), b AS (SELECT p_size, p_brand, min(p_partkey) AS k FROM p WHERE form = 1 GROUP BY ALL),
+    c AS (SELECT {_NOUN} AS noun, lower(p_type) AS kind, min(p_partkey) AS k FROM p WHERE form = 2 GROUP BY ALL)
+    SELECT p_partkey, 'rule ' || coalesce(least(a.k, b.k, c.k, CASE WHEN p_size = 7 THEN 10 END), -1) AS label FROM p LEFT JOIN a USING (p_name, p_size) LEFT JOIN b USING (p_size, p_brand) LEFT JOIN c ON c.noun = {_NOUN} AND c.kind = lower(p_type)"""
+)
+def pattern_table(spark, d):
+    """A pattern for each part, of three forms, and one without a word of its own, over the names of all parts."""
+    p, k = table(spark, d, "part"), F.col("p_partkey")
+    word = lambda i: F.split("p_name", " ")[i]
+    size = F.col("p_size").cast("string")
+    text = (
+        F.when(k % 3 == 0, F.concat(F.lit(r"\b"), word(0), F.lit(r"\s+"), word(1), F.lit(r" "), size, F.lit(r"\b")))
+        .when(k % 3 == 1, F.concat(F.lit(r"\b"), size, F.lit(r"\s+(?:Brand|x)[#]"), F.substring("p_brand", 7, 9), F.lit(r"\b")))
+        .otherwise(F.concat(F.lit(r"\b"), word(1), F.lit(r"\b.*\b"), F.upper("p_type"), F.lit("$")))
+    )
+    rules = p.select(k.alias("place"), text.alias("pattern"), F.concat(F.lit("rule "), k.cast("string")).alias("label"))
+    loose = spark.createDataFrame([(10, r" (7|x7) [A-Z]+#", "rule 10")], "place long, pattern string, label string")
+    rules = rules.where("place <> 10").unionByName(loose).unionByName(rules.where("place = 10").withColumn("place", F.lit(10).cast("long")))
+    names = p.select("p_partkey", F.concat_ws(" ", "p_name", size, "p_brand", F.lower("p_type")).alias("name"))
+    return patterns.first_match(names, "p_partkey", "name", rules).select("p_partkey", F.coalesce("label", F.lit("rule -1")).alias("label"))
