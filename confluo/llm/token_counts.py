@@ -18,6 +18,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -106,30 +107,40 @@ def usable(edits: list[tuple[int, int, str]], size: int) -> list[tuple[int, int,
 
 def apply(enc: Encoder, tree: Tree, text: str, edits: list[tuple[int, int, str]]) -> tuple[str, int]:
     """Apply edits (start, end, replacement) to the tree; the new text and the characters encoded again."""
+    edits = usable(edits, len(text))
+    parts, at = [], 0
+    for start, end, new in edits:
+        parts += [text[at:start], new]
+        at = end
+    done = "".join([*parts, text[at:]])
     shift, again = 0, 0
-    done = text
-    for start, end, new in usable(edits, len(text)):
+    for start, end, new in edits:
         s, e = start + shift, end + shift
-        done = done[:s] + new + done[e:]
         first, lo = tree.leaf_at(s)
         stop, hi = tree.leaf_at(max(s, e - 1))
         hi += tree.chars(stop)
-        grown = len(new) - (end - start)
-        # borders must stay places between a non-space character and a space
-        while lo > 0 and not (done[lo - 1 : lo].strip() and done[lo : lo + 1] == " "):
+        # once this edit is applied, the text is the new one up to edge, and from there the old one, moved by shift
+        edge, shift = s + len(new), shift + len(new) - (end - start)
+        hi += edge - e
+        size = len(text) + shift
+
+        def sure(p: int, edge: int = edge, shift: int = shift) -> bool:
+            """Whether a non-space character stands before a space at p."""
+            before, here = (done[q : q + 1] if q < edge else text[q - shift : q - shift + 1] for q in (p - 1, p))
+            return bool(before.strip()) and here == " "
+
+        while lo > 0 and not sure(lo):
             first -= 1
             lo -= tree.chars(first)
-        size = len(done)
-        while hi + grown < size and not (done[hi + grown - 1 : hi + grown].strip() and done[hi + grown : hi + grown + 1] == " "):
+        while hi < size and not sure(hi):
             stop += 1
             hi += tree.chars(stop)
-        region = done[lo : hi + grown]
+        region = done[lo:edge] + text[edge - shift : hi - shift]
         tree.put(first, len(enc.encode(region)) // 4, len(region))
         for leaf in range(first + 1, stop + 1):
             if tree.chars(leaf):
                 tree.put(leaf, 0, 0)
         again += len(region)
-        shift += grown
     return done, again
 
 
@@ -196,9 +207,7 @@ def redactions(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Add edits that put [phone] and [mail] in place of phone numbers and mail addresses."""
     ship(docs.sparkSession)
 
-    def run(t: Iterator) -> Iterator:
-        import pandas as pd
-
+    def run(t: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in t:
             out = []
             for x in s:
@@ -210,7 +219,7 @@ def redactions(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 out.append([{"start": a, "end": b, "new": n} for a, b, n in e])
             yield pd.Series(out)
 
-    find = F.pandas_udf(run, "array<struct<start:int,end:int,new:string>>", functionType=F.PandasUDFType.SCALAR_ITER)
+    find = F.pandas_udf(run, "array<struct<start:int,end:int,new:string>>")
     return docs.withColumn("edits", find(F.col(text_col)))
 
 
