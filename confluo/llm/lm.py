@@ -1,17 +1,19 @@
 """Language-model scoring: context-tree weighting over bytes, beside a unigram baseline over words.
 
-The text's bytes and one end byte 0 are predicted from the `depth` bytes before them (2 to 6; 0 before the start). Each byte is
+The text's bytes and one end byte 0 are predicted from the `depth` bytes before them (3 to 6; 0 before the start). Each byte is
 eight binary decisions; every decision node has a context tree over the preceding bytes, whose nodes hold
 Krichevsky-Trofimov estimates and are weighted over all depths (Willems, Shtarkov and Tjalkens 1995). The trees are
 learned from all training texts and then frozen; a text's score is the log10 probability it gets.
 
 Everything that grows with the corpus stays in tables. One pass over the documents cuts them into batches of about
 `batch_bytes` and writes, for each batch, its texts, and its distinct words and (context, byte) grams with counts: one
-compressed row for each of `parts` groups of words by their hash, and of as many groups of grams by their two nearest
-context bytes. A group's rows are summed (in shares of at most about `share` entries, then together), its trees are
-weighted, and each batch gets its words and grams back with their sums or values; then batches score their texts. So
-memory grows with the distinct words or grams of a group, for which `parts` is to be chosen (512 do for some 100 GB),
-not with the rows that ask for them. Only nodes of depth 0 and 1 (at most 257 * 255) come to the driver.
+compressed row for each of `parts` groups of words by their hash, and of as many groups of grams by their three nearest
+context bytes, so that even the commonest pair of bytes is dealt to SPLIT groups. A group's rows are summed (in shares of
+at most about `share` entries, then together), its trees are weighted down to depth 3, what lies above is added up over
+groups: depth 2 as a table, of which a group gets its own pairs' nodes (65,536 * 255 nodes at most, over all groups), and
+depth 1 and 0 (at most 257 * 255 nodes) on the driver. Each batch gets its words and grams back with their sums or values;
+then batches score their texts. So memory grows with the distinct words or grams of a group, for which `parts` is to be
+chosen (512 do for some 100 GB), not with the rows that ask for them.
 
 Edge cases: a null text is an empty one: its only word token is the end, its only byte the end byte; a very long text is
 a batch of its own. Without training texts all counts are 0 and grams get the weighted estimates of empty nodes (1/256 a
@@ -28,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from confluo.llm import common
@@ -39,6 +41,8 @@ DEPTH = 3
 #: Bytes of text in a batch, and of those whose grams are cut at once; groups of grams, and of words; entries that one
 #: task sums or answers.
 BATCH_BYTES, SLICE_BYTES, PARTS, SHARE = 32_000_000, 1_000_000, 512, 20_000_000
+#: Groups that grams which share their two nearest bytes are dealt to, by their third.
+SPLIT = 16
 #: Stands for the end token; no word holds a space.
 END = " "
 
@@ -166,15 +170,15 @@ def _bits(codes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Trees:
-    """Trees over grams (in order, with counts) of which all that share their two nearest bytes are here.
+    """Trees over grams (in order, with counts) of which all that share their three nearest bytes are here.
 
-    levels: of each depth from the deepest to 2, the distinct (context, byte), their counts, and the place in this level
+    levels: of each depth from the deepest to 3, the distinct (context, byte), their counts, and the place in this level
     of each gram one level deeper. As a decision's node follows the byte's order, the grams of a node stand together.
     """
 
     def __init__(self, codes: np.ndarray, n: np.ndarray, depth: int):
         self.levels = [(codes, n.astype(float), np.arange(len(codes)))]
-        for _ in range(depth - 1, 1, -1):
+        for _ in range(depth - 1, 2, -1):
             c, n, _ = self.levels[-1]
             short = c >> 16 << 8 | c & 255
             u, inv = np.unique(short, return_inverse=True)
@@ -200,18 +204,18 @@ class Trees:
             yield place, key[first], n0, n1, w, stay
 
     def up(self) -> pa.Table:
-        """Sums over the nodes of depth 2, by nearest byte and decision node."""
+        """Sums over the nodes of depth 3, by the two nearest bytes and decision node."""
         out = []
         for k in range(8):
             *_, (_, key, n0, n1, w, _) = self.nodes(k)
             u, inv = np.unique(key >> 16 << 8 | key & 255, return_inverse=True)
             out.append([u >> 8, u & 255, *(np.bincount(inv, x, len(u)) for x in (n0, n1, w))])
-        return pa.table([np.concatenate(c) for c in zip(*out, strict=True)], ["c1", "node", "n0", "n1", "w"])
+        return pa.table([np.concatenate(c) for c in zip(*out, strict=True)], ["pair", "node", "n0", "n1", "w"])
 
-    def values(self, top: dict[str, np.ndarray], depth: int) -> np.ndarray:
+    def values(self, top: dict[str, np.ndarray], two: dict[str, np.ndarray], depth: int) -> np.ndarray:
         """log10 of the frozen tree's probability of each gram's byte after its context."""
         codes = self.levels[0][0]
-        c1, out = codes >> 8 * depth & 255, np.zeros(len(codes))
+        c1, pair, out = codes >> 8 * depth & 255, codes >> 8 * (depth - 1) << 8, np.zeros(len(codes))
         for k in range(8):
             node, bit = _bits(codes, k)
             p, at = 0.0, slice(None)
@@ -219,11 +223,36 @@ class Trees:
                 at = inv[at]
                 x = place[at]
                 p = stay[x] * kt_next(n0[x], n1[x], bit) + (1 - stay[x]) * p
+            n0, n1, stay = look_up_two(two, pair | node)
+            p = stay * kt_next(n0, n1, bit) + (1 - stay) * p
             p = top["stay1"][c1, node] * kt_next(top["n0"][c1, node], top["n1"][c1, node], bit) + (1 - top["stay1"][c1, node]) * p
             out += np.log10(top["stay0"][node] * kt_next(top["r0"][node], top["r1"][node], bit) + (1 - top["stay0"][node]) * p)
         return out
 
 
+def pairs(t: pa.Table) -> pa.Table:
+    """Nodes of depth 2 from sums over depth 3: pair, node, n0, n1, w and stay."""
+    n0, n1, below = (t.column(c).to_numpy() for c in ("n0", "n1", "w"))
+    w, stay = weigh(kt_block(n0, n1), below)
+    return pa.table([t.column("pair"), t.column("node"), t.column("n0"), t.column("n1"), pa.array(w), pa.array(stay)], ["pair", "node", "n0", "n1", "w", "stay"])
+
+
+def in_order(t: pa.Table) -> dict[str, np.ndarray]:
+    """Nodes of depth 2 by their key."""
+    key = t.column("pair").to_numpy() << 8 | t.column("node").to_numpy()
+    order = np.argsort(key)
+    return {"key": key[order]} | {c: t.column(c).to_numpy()[order] for c in ("n0", "n1", "stay")}
+
+
+def look_up_two(two: dict[str, np.ndarray], key: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Counts and shares that stay of nodes of depth 2; those that training never saw are empty and keep one half."""
+    if not len(two["key"]):
+        return 0.0 * key, 0.0 * key, 0.5 + 0.0 * key
+    at = np.minimum(np.searchsorted(two["key"], key), len(two["key"]) - 1)
+    on = two["key"][at] == key
+    return np.where(on, two["n0"][at], 0.0), np.where(on, two["n1"][at], 0.0), np.where(on, two["stay"][at], 0.5)
+
+
 def shallow(c1: np.ndarray, node: np.ndarray, n0: np.ndarray, n1: np.ndarray, w: np.ndarray) -> dict[str, np.ndarray]:
     """Dense nodes of depth 1 (by nearest byte and decision) and depth 0, from sums over depth 2."""
     a = {k: np.zeros((256, 256)) for k in ("n0", "n1", "below")}
@@ -261,8 +290,18 @@ def _rows(batch: str, part: list[int], n: list[int], data: list[bytes]) -> pa.Re
 
 
 def part_of(codes: np.ndarray, depth: int, parts: int) -> np.ndarray:
-    """Group of each code, by its two nearest bytes."""
-    return (codes >> 8 * (depth - 1)) * 40503 % 65537 % parts
+    """Group of each code, by its three nearest bytes; the two nearest alone say which run of `split_of` groups it is in."""
+    split = split_of(parts)
+    return (codes >> 8 * (depth - 1)) * 40503 % 65537 % (parts // split) * split + (codes >> 8 * (depth - 2) & 255) * 167 % 257 % split
+
+
+def split_of(parts: int) -> int:
+    return min(SPLIT, parts)
+
+
+def run_of(pair: Column, parts: int) -> Column:
+    """The run of groups that grams with these two nearest bytes are in."""
+    return pair * 40503 % 65537 % (parts // split_of(parts))
 
 
 def gather(t: pa.Table, depth: int, parts: int) -> Iterator[pa.RecordBatch]:
@@ -326,8 +365,8 @@ def score(docs: DataFrame, train, id_col: str = "doc_id", text_col: str = "text"
 
     doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes and bits_per_byte.
     """
-    if not 2 <= depth <= 6:  # a code is at most seven bytes of a long
-        raise ValueError("depth must be 2 to 6")
+    if not 3 <= depth <= 6:  # a code is at most seven bytes of a long
+        raise ValueError("depth must be 3 to 6")
     ship(docs.sparkSession)
     src = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
 
@@ -364,23 +403,40 @@ def score(docs: DataFrame, train, id_col: str = "doc_id", text_col: str = "text"
                 if (c > 0).any():
                     yield from Trees(u[c > 0], c[c > 0], depth).up().to_batches()
 
-    rows = sums.where(F.col("part") < parts).select("data").mapInArrow(up, "c1 long, node long, n0 double, n1 double, w double").groupBy("c1", "node").agg(*(F.sum(c).alias(c) for c in ("n0", "n1", "w"))).toArrow()
+    nodes = "pair long, node long, n0 double, n1 double, w double"
+    three = sums.where(F.col("part") < parts).select("data").mapInArrow(up, nodes).groupBy("pair", "node").agg(*(F.sum(c).alias(c) for c in ("n0", "n1", "w")))
+    two = scratch(three.mapInArrow(lambda batches: (x for b in batches for x in pairs(pa.Table.from_batches([b])).to_batches()), nodes + ", stay double"))
+    rows = two.groupBy(F.shiftright("pair", 8).alias("c1"), "node").agg(*(F.sum(c).alias(c) for c in ("n0", "n1", "w"))).toArrow()
     top = shallow(*(rows.column(c).to_numpy() for c in ("c1", "node", "n0", "n1", "w")))
 
+    def bundle(t: pa.Table) -> pa.Table:
+        """The nodes of depth 2 that a run of groups needs, as one value."""
+        with pa.BufferOutputStream() as out:
+            with pa.ipc.new_stream(out, t.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+                w.write_table(t)
+            return pa.table({"run": [t.column("run")[0].as_py()], "two": pa.array([out.getvalue().to_pybytes()], pa.binary())})
+
+    runs = two.select(run_of(F.col("pair"), parts).alias("run"), "pair", "node", "n0", "n1", "stay").groupBy("run").applyInArrow(bundle, "run long, two binary")
+    none = {c: np.zeros(0, np.int64 if c == "key" else float) for c in ("key", "n0", "n1", "stay")}
+
     def answer(t: pa.Table, s: pa.Table) -> pa.Table:
         if not t.num_rows or not s.num_rows:
             return _FIELDS.empty_table()
         data, n, ask, m = s.column("data")[0].as_py(), s.column("n")[0].as_py(), t.column("data").to_pylist(), t.column("n").to_pylist()
         if t.column("part")[0].as_py() < parts:
             u, c = unpack(data)
-            values = short(Trees(u, c, depth).values(top, depth))
+            held = s.column("two")[0].as_py()
+            near = in_order(pa.ipc.open_stream(held).read_all()) if held else none
+            values = short(Trees(u, c, depth).values(top, near, depth))
             out = [pack(c, values[np.searchsorted(u, c)]) for c, _ in map(unpack, ask)]
         else:
             count = dict(zip(*unpack_words(data, n), strict=True))
             out = [pack_words(ws, [count[w] for w in ws]) for ws, _ in map(unpack_words, ask, m)]
         return pa.table([t.column("batch"), t.column("part"), t.column("n"), pa.array(out, pa.binary())], schema=_FIELDS)
 
-    known = sums.join(F.broadcast(dealt), "part").select("part", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), "n", "data")
+    run = F.when(F.col("part") < parts, F.expr(f"part div {split_of(parts)}"))
+    known = scratch(sums.withColumn("run", run).join(runs, "run", "left"))
+    known = known.join(F.broadcast(dealt), "part").select("part", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), "n", "data", "two")
     values = asked.select("part", "share", "batch", "n", "data").groupBy("part", "share").cogroup(known.groupBy("part", "share")).applyInArrow(answer, _SENT)
     scale = np.log10(tokens + 1.0 * (distinct + 1))
 

@@ -7,6 +7,8 @@ from collections import Counter
 from functools import cache
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 
 from confluo.llm import lm
@@ -87,16 +89,28 @@ def test_probabilities_sum_to_one():
     n = np.arange(1, len(codes) + 1)
     groups = lm.part_of(codes, 3, 64)
     up = [lm.Trees(codes[groups == p], n[groups == p], 3).up() for p in np.unique(groups)]
-    top = lm.shallow(*(np.concatenate([t.column(c).to_numpy() for t in up]) for c in ("c1", "node", "n0", "n1", "w")))
+    three = pd.concat([t.to_pandas() for t in up]).groupby(["pair", "node"], as_index=False).sum()
+    two = lm.pairs(pa.Table.from_pandas(three, preserve_index=False))
+    top = lm.shallow(two.column("pair").to_numpy() >> 8, *(two.column(c).to_numpy() for c in ("node", "n0", "n1", "w")))
     ctx = int(codes[5] >> 8)
     every = np.array([ctx << 8 | b for b in range(256)], np.int64)
     have = dict(zip(codes.tolist(), n.tolist(), strict=True))
     same = codes[codes >> 16 == ctx >> 8]
     all_codes = np.union1d(every, same)
-    v = lm.Trees(all_codes, np.array([have.get(int(c), 0) for c in all_codes]), 3).values(top, 3)
+    v = lm.Trees(all_codes, np.array([have.get(int(c), 0) for c in all_codes]), 3).values(top, lm.in_order(two), 3)
     assert sum(10 ** v[np.isin(all_codes, every)]) == pytest.approx(1)
 
 
+def test_a_common_pair_of_bytes_is_dealt_out():
+    codes = np.unique(lm.grams([f"re{a}{b} {b}re " for a in "abcdefghijklmnop" for b in "qrstuvwxyz "], 6)[0])
+    near = codes >> 40 == ord("e") << 8 | ord("r")
+    part, third = lm.part_of(codes, 6, 512), codes >> 32 & 255
+    assert near.sum() > 20 and len(set(part[near].tolist())) > 2 and len(set((part[near] // lm.SPLIT).tolist())) == 1
+    for k in np.unique(codes >> 32).tolist():  # grams that share three bytes stay together
+        assert len(set(part[codes >> 32 == k].tolist())) == 1
+    assert part.max() < 512 and lm.part_of(codes, 6, 5).max() < 5 and len(set(third[near].tolist())) > 2
+
+
 def test_packing():
     r = np.random.default_rng(1)
     for n in (1, 2, 1000):
