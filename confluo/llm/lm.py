@@ -326,12 +326,17 @@ def gather(t: pa.Table, depth: int, parts: int) -> Iterator[pa.RecordBatch]:
                 codes, counts = ([x] for x in total(codes, counts))
     u, n = total(codes, counts)
     del codes, counts
-    part = part_of(u, depth, parts)
+    part = np.empty(len(u), np.int32)
+    for at in range(0, len(u), 500_000):  # few temporary arrays at once
+        part[at : at + 500_000] = part_of(u[at : at + 500_000], depth, parts)
     order = np.argsort(part, kind="stable")
-    u, n, part = u[order], n[order], part[order]
+    u = u[order]
+    n = n[order]
+    part = part[order]
+    del order
     first = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
     yield _rows(batch, part[first].tolist(), np.diff(first, append=len(u)).tolist(), [pack(u[a:b], n[a:b]) for a, b in zip(first, [*first[1:], len(u)], strict=True)])
-    del u, n, part, order
+    del u, n, part
     learn[END] += int(train.sum())
     groups: list[list[str]] = [[] for _ in range(parts)]
     for ws in (learn, other - learn.keys()):
@@ -422,10 +427,11 @@ def score(docs: DataFrame, train, id_col: str = "doc_id", text_col: str = "text"
     def answer(t: pa.Table, s: pa.Table) -> pa.Table:
         if not t.num_rows or not s.num_rows:
             return _FIELDS.empty_table()
-        data, n, ask, m = s.column("data")[0].as_py(), s.column("n")[0].as_py(), t.column("data").to_pylist(), t.column("n").to_pylist()
+        data, n = next((d, n) for d, n in zip(s.column("data").to_pylist(), s.column("n").to_pylist(), strict=True) if d)
+        ask, m = t.column("data").to_pylist(), t.column("n").to_pylist()
         if t.column("part")[0].as_py() < parts:
             u, c = unpack(data)
-            held = s.column("two")[0].as_py()
+            held = next((x for x in s.column("two").to_pylist() if x), None)
             near = in_order(pa.ipc.open_stream(held).read_all()) if held else none
             values = short(Trees(u, c, depth).values(top, near, depth))
             out = [pack(c, values[np.searchsorted(u, c)]) for c, _ in map(unpack, ask)]
@@ -434,8 +440,10 @@ def score(docs: DataFrame, train, id_col: str = "doc_id", text_col: str = "text"
             out = [pack_words(ws, [count[w] for w in ws]) for ws, _ in map(unpack_words, ask, m)]
         return pa.table([t.column("batch"), t.column("part"), t.column("n"), pa.array(out, pa.binary())], schema=_FIELDS)
 
-    run = F.when(F.col("part") < parts, F.expr(f"part div {split_of(parts)}"))
-    known = scratch(sums.withColumn("run", run).join(runs, "run", "left"))
+    # beside a group's sums, its run's nodes of depth 2
+    run = (F.col("run") * split_of(parts)).cast("int")
+    each = runs.select(F.explode(F.sequence(run, run + split_of(parts) - 1)).alias("part"), F.lit(0).cast("long").alias("n"), F.lit(None).cast("binary").alias("data"), "two")
+    known = sums.select("part", "n", "data", F.lit(None).cast("binary").alias("two")).unionByName(each)
     known = known.join(F.broadcast(dealt), "part").select("part", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), "n", "data", "two")
     values = asked.select("part", "share", "batch", "n", "data").groupBy("part", "share").cogroup(known.groupBy("part", "share")).applyInArrow(answer, _SENT)
     scale = np.log10(tokens + 1.0 * (distinct + 1))
