@@ -80,6 +80,16 @@ def total(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
     return c[first], np.add.reduceat(n[order], first) if len(c) else n
 
 
+def merged(codes: list[np.ndarray], counts: list[np.ndarray], pieces: int = 12) -> tuple[np.ndarray, np.ndarray]:
+    """total() of arrays that are each in order, by ranges of codes one after the other, so that few temporary arrays are held."""
+    longest = max(codes, key=len, default=np.zeros(0, np.int64))
+    if len(longest) < 100_000:
+        return total(codes, counts)
+    cuts = [np.r_[0, np.searchsorted(c, longest[np.arange(1, pieces) * len(longest) // pieces]), len(c)] for c in codes]
+    out = [total([c[k[i] : k[i + 1]] for c, k in zip(codes, cuts, strict=True)], [n[k[i] : k[i + 1]] for n, k in zip(counts, cuts, strict=True)]) for i in range(pieces)]
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
 def _squeeze(data: bytes) -> bytes:
     return len(data).to_bytes(8, "little") + pa.Codec("zstd").compress(data, asbytes=True)
 
@@ -323,8 +333,8 @@ def gather(t: pa.Table, depth: int, parts: int) -> Iterator[pa.RecordBatch]:
             codes.append(u)
             counts.append(n if on else 0 * n)
             if len(codes) >= 6:
-                codes, counts = ([x] for x in total(codes, counts))
-    u, n = total(codes, counts)
+                codes, counts = ([x] for x in merged(codes, counts))
+    u, n = merged(codes, counts)
     del codes, counts
     part = np.empty(len(u), np.int32)
     for at in range(0, len(u), 500_000):  # few temporary arrays at once
@@ -388,7 +398,7 @@ def score(docs: DataFrame, train, id_col: str = "doc_id", text_col: str = "text"
     def add(t: pa.Table) -> pa.Table:
         part, rows = t.column("part")[0].as_py(), list(zip(t.column("data").to_pylist(), t.column("n").to_pylist(), strict=True))
         if part < parts:
-            u, n = total(*map(list, zip(*(unpack(d) for d, _ in rows), strict=True)))
+            u, n = merged(*map(list, zip(*(unpack(d) for d, _ in rows), strict=True)))
             return pa.table({"part": pa.array([part], pa.int32()), "n": [len(u)], "tokens": [0], "known": [0], "data": [pack(u, n)]})
         c: dict[str, int] = {}
         for d, n in rows:

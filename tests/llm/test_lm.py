@@ -111,6 +111,15 @@ def test_a_common_pair_of_bytes_is_dealt_out():
     assert part.max() < 512 and lm.part_of(codes, 6, 5).max() < 5 and len(set(third[near].tolist())) > 2
 
 
+def test_merging_by_ranges():
+    r = np.random.default_rng(2)
+    each = [np.unique(r.integers(0, 1 << 22, n)) for n in (150_000, 9, 300_000, 0)]
+    counts = [r.integers(0, 5, len(c)) for c in each]
+    for a, b in zip(lm.merged(each, counts), lm.total(each, counts), strict=True):
+        assert (a == b).all()
+    assert len(lm.merged([], [])[0]) == 0
+
+
 def test_packing():
     r = np.random.default_rng(1)
     for n in (1, 2, 1000):
