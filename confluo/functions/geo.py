@@ -21,28 +21,25 @@ CODES = (
 ).split()
 #: Names by which sources call countries.
 NAMES = {
-    name: code
-    for code, name in (
-        x.strip().split(" ", 1)
-        for x in """
-        AF afghanistan | AL albania | DZ algeria | AR argentina | AU australia | AT austria | AZ azerbaijan | BD bangladesh | BY belarus |
-        BE belgium | BO bolivia | BA bosnia | BR brazil | BG bulgaria | BF burkina faso | KH cambodia | CM cameroon | CA canada | CL chile |
-        CN china | CO colombia | CG congo | CR costa rica | HR croatia | CU cuba | CY cyprus | CZ czech republic | CZ czechia | DK denmark |
-        EC ecuador | EG egypt | SV el salvador | EE estonia | ET ethiopia | FI finland | FR france | GE georgia | DE germany | GH ghana |
-        GR greece | GT guatemala | HN honduras | HK hong kong | HU hungary | IS iceland | IN india | ID indonesia | IR iran | IQ iraq |
-        IE ireland | IL israel | IT italy | CI ivory coast | JM jamaica | JP japan | JO jordan | KZ kazakhstan | KE kenya | KW kuwait |
-        LV latvia | LB lebanon | LY libya | LT lithuania | LU luxembourg | MY malaysia | MV maldives | ML mali | MT malta | MX mexico |
-        MD moldova | MN mongolia | ME montenegro | MA morocco | MZ mozambique | MM myanmar | MM burma | NP nepal | NL netherlands |
-        NL holland | NZ new zealand | NG nigeria | MK north macedonia | MK macedonia | NO norway | OM oman | PK pakistan | PA panama |
-        PY paraguay | PE peru | PH philippines | PL poland | PT portugal | QA qatar | RO romania | RU russia | RU russian federation |
-        RW rwanda | SA saudi arabia | SN senegal | RS serbia | SL sierra leone | SG singapore | SK slovakia | SI slovenia | SO somalia |
-        ZA south africa | KR south korea | KR korea | ES spain | LK sri lanka | SD sudan | SE sweden | CH switzerland | TW taiwan |
-        TZ tanzania | TH thailand | TN tunisia | TR turkey | TR turkiye | UG uganda | UA ukraine | AE united arab emirates |
-        GB united kingdom | GB great britain | GB britain | GB england | GB scotland | GB wales | GB uk | US united states |
-        US united states of america | US usa | UY uruguay | UZ uzbekistan | VE venezuela | VN vietnam | VN viet nam | ZM zambia | ZW zimbabwe
-        """.split("|")
-    )
-}
+    "afghanistan": "AF", "albania": "AL", "algeria": "DZ", "argentina": "AR", "australia": "AU", "austria": "AT", "azerbaijan": "AZ",
+    "bangladesh": "BD", "belarus": "BY", "belgium": "BE", "bolivia": "BO", "bosnia": "BA", "brazil": "BR", "bulgaria": "BG", "burkina faso": "BF",
+    "cambodia": "KH", "cameroon": "CM", "canada": "CA", "chile": "CL", "china": "CN", "colombia": "CO", "congo": "CG", "costa rica": "CR",
+    "croatia": "HR", "cuba": "CU", "cyprus": "CY", "czech republic": "CZ", "czechia": "CZ", "denmark": "DK", "ecuador": "EC", "egypt": "EG",
+    "el salvador": "SV", "estonia": "EE", "ethiopia": "ET", "finland": "FI", "france": "FR", "georgia": "GE", "germany": "DE", "ghana": "GH",
+    "greece": "GR", "guatemala": "GT", "honduras": "HN", "hong kong": "HK", "hungary": "HU", "iceland": "IS", "india": "IN", "indonesia": "ID",
+    "iran": "IR", "iraq": "IQ", "ireland": "IE", "israel": "IL", "italy": "IT", "ivory coast": "CI", "jamaica": "JM", "japan": "JP", "jordan": "JO",
+    "kazakhstan": "KZ", "kenya": "KE", "kuwait": "KW", "latvia": "LV", "lebanon": "LB", "libya": "LY", "lithuania": "LT", "luxembourg": "LU",
+    "malaysia": "MY", "maldives": "MV", "mali": "ML", "malta": "MT", "mexico": "MX", "moldova": "MD", "mongolia": "MN", "montenegro": "ME",
+    "morocco": "MA", "mozambique": "MZ", "myanmar": "MM", "burma": "MM", "nepal": "NP", "netherlands": "NL", "holland": "NL", "new zealand": "NZ",
+    "nigeria": "NG", "north macedonia": "MK", "macedonia": "MK", "norway": "NO", "oman": "OM", "pakistan": "PK", "panama": "PA", "paraguay": "PY",
+    "peru": "PE", "philippines": "PH", "poland": "PL", "portugal": "PT", "qatar": "QA", "romania": "RO", "russia": "RU", "russian federation": "RU",
+    "rwanda": "RW", "saudi arabia": "SA", "senegal": "SN", "serbia": "RS", "sierra leone": "SL", "singapore": "SG", "slovakia": "SK",
+    "slovenia": "SI", "somalia": "SO", "south africa": "ZA", "south korea": "KR", "korea": "KR", "spain": "ES", "sri lanka": "LK", "sudan": "SD",
+    "sweden": "SE", "switzerland": "CH", "taiwan": "TW", "tanzania": "TZ", "thailand": "TH", "tunisia": "TN", "turkey": "TR", "turkiye": "TR",
+    "uganda": "UG", "ukraine": "UA", "united arab emirates": "AE", "united kingdom": "GB", "great britain": "GB", "britain": "GB", "england": "GB",
+    "scotland": "GB", "wales": "GB", "uk": "GB", "united states": "US", "united states of america": "US", "usa": "US", "uruguay": "UY",
+    "uzbekistan": "UZ", "venezuela": "VE", "vietnam": "VN", "viet nam": "VN", "zambia": "ZM", "zimbabwe": "ZW",
+}
 #: Latin letters with accents, and what is left of them in compatibility decomposition.
 _LETTERS = {chr(c): unicodedata.normalize("NFKD", chr(c)).encode("ascii", "ignore").decode() for c in range(0xC0, 0x250)}
 _ACCENTED = {c: plain for c, plain in _LETTERS.items() if len(plain) == 1}

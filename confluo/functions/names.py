@@ -160,7 +160,7 @@ def ext_usable(c: str | Column) -> Column:
 def token_set(c: str | Column) -> Column:
     """Words of a name with more than two letters, without club suffixes unless nothing else is left; sorted."""
     text = F.trim(F.regexp_replace(F.lower(F.coalesce(col(c), F.lit(""))), "[^a-z0-9]+", " "))
-    words = F.array_sort(F.array_distinct(F.filter(F.split(text, " "), lambda w: F.length(w) > 2)))
+    words = F.sort_array(F.array_distinct(F.filter(F.split(text, " "), lambda w: F.length(w) > 2)))
     # a lambda's variable is computed once; written out, the words would be taken apart anew at each mention
     rest = lambda ws: F.transform(F.array(F.filter(ws, lambda w: ~w.isin(CLUB_SUFFIXES))), lambda r: F.when(F.size(r) > 0, r).otherwise(ws))[0]
     return F.transform(F.array(words), rest)[0]

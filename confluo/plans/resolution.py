@@ -154,9 +154,10 @@ def _fuzzy_sql(swap: bool) -> str:
 
 def _sentences(df, key: str, swap: bool):
     s = df.select(F.col(key).alias("k"), F.posexplode(F.filter(F.split(F.regexp_replace("text", r"\n", "."), r"\."), lambda x: F.length(F.trim(x)) > 20)).alias("i", "s"))
-    w = F.split(F.trim("s"), " ")
-    mid = F.floor(F.size(w) / 2).cast("int")
-    h, a = names.token_set(F.array_join(F.slice(w, 1, mid), " ")), names.token_set(F.array_join(F.slice(w, mid + 1, F.size(w)), " "))
+    # words as a column of their own: written out, a sentence would be cut anew at each mention
+    s = s.withColumn("w", F.split(F.trim("s"), " ")).withColumn("n", F.size("w"))
+    mid = F.floor(F.col("n") / 2).cast("int")
+    h, a = names.token_set(F.array_join(F.slice("w", 1, mid), " ")), names.token_set(F.array_join(F.slice("w", mid + 1, F.col("n")), " "))
     if swap:
         h, a = F.when(F.col("k") % 2 == 0, a).otherwise(h), F.when(F.col("k") % 2 == 0, h).otherwise(a)
     # a filter after the projection would be pushed below it and take all sentences apart twice

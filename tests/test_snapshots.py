@@ -42,7 +42,7 @@ def test_withdrawn_candidates_fall_to_the_next(spark):
 def test_random_snapshots_equal_a_batch_and_a_failed_batch_can_run_again(spark, monkeypatch):
     rng = random.Random(5)
     store, rank, lists = snapshots.Store(folder(spark), SCHEMA, n_buckets=8), [F.col("rank"), F.col("source"), F.col("id")], {}
-    for version in range(1, 6):
+    for version in range(1, 5):
         rows = []
         for source in rng.sample(["a", "b", "c/d", "e=1"], 2):
             lists[source] = [(f"e{rng.randrange(30)}", source, version, i, rng.randrange(5)) for i in range(rng.randrange(1, 25))]
