@@ -16,57 +16,61 @@ STATE = "health"
 _STATE = "failures int, at long, place long, success long, silent boolean"
 
 
-class _Fold(StatefulProcessor):
-    """(failures, time and place of the last check, time of the last success) by candidate; times in microseconds.
-
-    Checks not later than the state's last are dropped, which also makes replays harmless. A candidate without check for
-    `quiet` microseconds of event time is reported as silent by a timer, until it is checked again.
-    """
-
-    def __init__(self, key: str, quiet: int | None):
-        self.key, self.quiet = key, quiet
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState(STATE, _STATE)
-
-    def _keep(self, failures: int, at: int, place: int, success: int | None, silent: bool) -> None:
-        self.state.update((failures, at, place, success, silent))
-        if self.quiet is not None:
-            for t in list(self.handle.listTimers()):
-                self.handle.deleteTimer(t)
-            if not silent:
-                self.handle.registerTimer(max(0, (at + self.quiet) // 1000))
-
-    def _row(self, k: tuple, failures: int, at: int, success: int | None, silent: bool) -> pd.DataFrame:
-        time = lambda us: pd.Series([pd.NaT if us is None else pd.Timestamp(us, unit="us")], dtype="datetime64[us]")
-        return pd.DataFrame({self.key: [k[0]], "failures": [failures], "last_check": time(at), "last_success": time(success), "silent": [silent]})
-
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N803  Spark's name
-        old = self.state.get() if self.state.exists() else None
-        failures, last, place, success = (old[0], old[1], old[2], old[3]) if old else (0, None, None, None)
-        # what one micro-batch has for a candidate
-        new = pd.concat([b for b in rows if len(b)])
-        new.columns = [self.key, "_time", "_at", "_ord", "_ok"]  # Spark doesn't always keep the names
-        new = new.sort_values(["_at", "_ord"])
-        for t, o, good in zip(new["_at"].tolist(), new["_ord"].tolist(), new["_ok"].tolist(), strict=True):
-            if last is None or (t, o) > (last, place):
-                failures, last, place = 0 if good else failures + 1, t, o
-                success = t if good else success
-        self._keep(failures, last, place, success, False)
-        yield self._row(key, failures, last, success, False)
-
-    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N803  Spark's names
-        failures, last, place, success, _ = self.state.get()
-        self._keep(failures, last, place, success, True)
-        yield self._row(key, failures, last, success, True)
-
-    def handleInitialState(self, key: tuple, initialState: pd.DataFrame, timerValues) -> None:  # noqa: N803  Spark's names
-        _, failures, at, place, success = initialState.iloc[0].tolist()
-        self._keep(int(failures), int(at), int(place), None if pd.isna(success) else int(success), False)
-
-    def close(self) -> None:
-        pass
+def _fold(key: str, quiet: int | None) -> StatefulProcessor:
+    # a class of its own here goes to workers by value: they need not have this package
+    class _Fold(StatefulProcessor):
+        """(failures, time and place of the last check, time of the last success) by candidate; times in microseconds.
+
+        Checks not later than the state's last are dropped, which also makes replays harmless. A candidate without check for
+        `quiet` microseconds of event time is reported as silent by a timer, until it is checked again.
+        """
+
+        def __init__(self, key: str, quiet: int | None):
+            self.key, self.quiet = key, quiet
+
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.handle = handle
+            self.state = handle.getValueState(STATE, _STATE)
+
+        def _keep(self, failures: int, at: int, place: int, success: int | None, silent: bool) -> None:
+            self.state.update((failures, at, place, success, silent))
+            if self.quiet is not None:
+                for t in list(self.handle.listTimers()):
+                    self.handle.deleteTimer(t)
+                if not silent:
+                    self.handle.registerTimer(max(0, (at + self.quiet) // 1000))
+
+        def _row(self, k: tuple, failures: int, at: int, success: int | None, silent: bool) -> pd.DataFrame:
+            time = lambda us: pd.Series([pd.NaT if us is None else pd.Timestamp(us, unit="us")], dtype="datetime64[us]")
+            return pd.DataFrame({self.key: [k[0]], "failures": [failures], "last_check": time(at), "last_success": time(success), "silent": [silent]})
+
+        def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N803  Spark's name
+            old = self.state.get() if self.state.exists() else None
+            failures, last, place, success = (old[0], old[1], old[2], old[3]) if old else (0, None, None, None)
+            # what one micro-batch has for a candidate
+            new = pd.concat([b for b in rows if len(b)])
+            new.columns = [self.key, "_time", "_at", "_ord", "_ok"]  # Spark doesn't always keep the names
+            new = new.sort_values(["_at", "_ord"])
+            for t, o, good in zip(new["_at"].tolist(), new["_ord"].tolist(), new["_ok"].tolist(), strict=True):
+                if last is None or (t, o) > (last, place):
+                    failures, last, place = 0 if good else failures + 1, t, o
+                    success = t if good else success
+            self._keep(failures, last, place, success, False)
+            yield self._row(key, failures, last, success, False)
+
+        def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N803  Spark's names
+            failures, last, place, success, _ = self.state.get()
+            self._keep(failures, last, place, success, True)
+            yield self._row(key, failures, last, success, True)
+
+        def handleInitialState(self, key: tuple, initialState: pd.DataFrame, timerValues) -> None:  # noqa: N803  Spark's names
+            _, failures, at, place, success = initialState.iloc[0].tolist()
+            self._keep(int(failures), int(at), int(place), None if pd.isna(success) else int(success), False)
+
+        def close(self) -> None:
+            pass
+
+    return _Fold(key, quiet)
 
 
 def fold_stream(checks: DataFrame, key: str, at: str, order: str, ok: str, state: DataFrame | None = None, quiet: str | None = None, late: str = "0 seconds") -> DataFrame:
@@ -85,7 +89,7 @@ def fold_stream(checks: DataFrame, key: str, at: str, order: str, ok: str, state
     kind = checks.schema[key].dataType.simpleString()
     initial = None if state is None else state.select(F.col(key), "failures", us("last_check").alias("_at"), F.col(order).cast("long").alias("_ord"), us("last_success").alias("_success")).groupBy(key)
     wait = None if quiet is None else int(pd.Timedelta(quiet).value // 1000)
-    out = src.groupBy(key).transformWithStateInPandas(_Fold(key, wait), f"{key} {kind}, failures int, last_check timestamp, last_success timestamp, silent boolean", "Update", "None" if quiet is None else "EventTime", initial)
+    out = src.groupBy(key).transformWithStateInPandas(_fold(key, wait), f"{key} {kind}, failures int, last_check timestamp, last_success timestamp, silent boolean", "Update", "None" if quiet is None else "EventTime", initial)
     return out.withColumn("status", status_of(F.col("failures"))).withColumn("enabled", F.col("failures") < DISABLE_AFTER)
 
 
