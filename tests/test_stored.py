@@ -78,3 +78,24 @@ def test_pattern_table_equals_a_chain(spark):
     with pytest.raises(ValueError):
         patterns.first_match(df, "id", "name", many)
     assert patterns.first_match(df, "id", "name", many.limit(0)).where("label IS NOT NULL").isEmpty()
+
+
+def test_copies_of_patterns_and_names_are_not_met_anew(spark):
+    """The rows that meet patterns don't grow when names and patterns are repeated, and all a pattern's rare words are asked for."""
+    from confluo.scratch import scratch
+
+    def run(times):
+        words = [f"w{i}" for i in range(40)]
+        texts = [(rf"\bcommon {a} {b}\b", f"the common {a} {b} x") for a in words for b in words[:10]]
+        rules = spark.createDataFrame([(len(texts) * t + i, p, f"{t}") for t in range(times) for i, (p, _) in enumerate(texts)], "place int, pattern string, label string")
+        df = spark.createDataFrame([(len(texts) * t + i, n) for t in range(times) for i, (_, n) in enumerate(texts)], "id int, name string")
+        tried = []
+        met, patterns._met = patterns._met, lambda names, known: tried.append((names.count(), known.count(), scratch(met(names, known)).count())) or met(names, known)
+        try:
+            got = patterns.first_match(df, "id", "name", rules).collect()
+        finally:
+            patterns._met = met
+        assert len(got) == len(texts) * times and {r.label for r in got} == {"0"}
+        return tried[0]
+
+    assert run(1) == run(3) == (400, 400, 400)
