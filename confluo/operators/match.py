@@ -42,56 +42,45 @@ def overlap(a: Column, b: Column, containment: bool = False) -> Column:
     return score
 
 
+def _ranked(party: str | Column) -> Column:
+    """A party's tokens from rare to frequent. Any order that all sets share is exact; longer words are rarer, and need no count."""
+    return F.transform(F.sort_array(F.transform(party, lambda w: F.struct((-F.length(w)).alias("n"), w.alias("w")))), lambda x: x["w"])
+
+
+def _probes(df: DataFrame, party: str, word: str, threshold: float, containment: bool) -> DataFrame:
+    """One row for each token of a party by which it may meet another: word, whether it is in the prefix (word_p) and, for
+    containment, whether it is the rarest (word_r); without containment only tokens of the prefix."""
+    n = F.size(party)
+    prefix = n - F.ceil(F.lit(threshold) * n - 1e-9).cast("int") + 1
+    ranked = _ranked(party)
+    each = df.select("*", F.posexplode(ranked if containment else F.slice(ranked, 1, prefix)).alias("_i", word))
+    return each.select("*", (F.col("_i") < prefix).alias(f"{word}_p"), (F.lit(containment) & (F.col("_i") == 0)).alias(f"{word}_r")).drop("_i")
+
+
 def fuzzy_two_party(games: DataFrame, events: DataFrame, threshold: float = 0.6, swapped: bool = False, containment: bool = False) -> DataFrame:
     """The best event of each game: both parties' token sets must overlap by the threshold (the smaller score counts).
 
     games: game, kind, home, away (token arrays). events: event, ord, kind, home, away. Ties go to the lowest ord.
-    Nothing is crossed: with tokens ordered from rare to frequent, two sets that overlap enough share a token among the
-    first n - ceil(t * n) + 1 of each. A candidate shares such a token in both parties, so tokens are met in pairs and a
-    frequent one alone brings nothing together; tokens that only one side knows count but are never shuffled further.
-    For the containment score a set may also hold the other, whose rarest token is then looked for in all of it; as
-    either may hold in either party, one party's token is the key there.
+    Nothing is crossed: with tokens in one order, two sets that overlap enough share a token among the first
+    n - ceil(t * n) + 1 of each. A candidate shares such a token in both parties, so tokens are met in pairs and a frequent
+    one alone brings nothing together. For the containment score a set may also hold the other, whose first token is then
+    looked for in all of it; either may hold in either party. Candidates are scored where they meet: events are read once,
+    none is written or shuffled while the games' probes are small enough for Spark to send them round.
     """
-    games, events = scratch(games), scratch(events)  # both are read several times
-    each = lambda df: df.select("kind", F.explode(F.array_union("home", "away")).alias("w"))
-    # written, so that its size is known: the joins below see that it is the small side, if it is
-    freq = scratch(each(events).join(each(games).distinct(), ["kind", "w"], "left_semi").groupBy("kind", "w").agg(F.count("*").alias("f")))
-
-    def ranked(df: DataFrame, key: str) -> DataFrame:
-        """Tokens of both parties that both sides know, from rare to frequent, and the sizes of the parties."""
-        mark = lambda part: F.transform(part, lambda x: F.struct(F.lit(part).alias("part"), x.alias("w")))
-        known = df.select(key, "kind", F.size("home").alias("home_n"), F.size("away").alias("away_n"), F.explode(F.concat(mark("home"), mark("away"))).alias("x"))
-        known = known.select("*", "x.*").drop("x").join(freq, ["kind", "w"])
-        of = lambda part: F.array_sort(F.collect_list(F.when(F.col("part") == part, F.struct("f", "w")))).alias(part)
-        return known.groupBy(key, "kind", "home_n", "away_n").agg(of("home"), of("away"))
-
-    def probe(part: str, role: str) -> Column:
-        """Tokens of a party to meet others by; the unknown ones, being the rarest, have used up their places."""
-        need = F.size(part) - F.ceil(F.lit(threshold) * F.col(f"{part}_n") - 1e-9) + 1
-        size = {"prefix": F.greatest(F.lit(0), need), "rarest": F.lit(1), "all": F.size(part)}[role]
-        return F.explode(F.transform(F.slice(part, 1, size.cast("int")), lambda x: x["w"]))
-
-    g, e = ranked(games, "game"), ranked(events, "event")
-    if containment:
-        g, e = scratch(g), scratch(e)
-    pairs = None
-    for left, right in [("home", "away")] + ([("away", "home")] if swapped else []):
-        if containment:
-            for a, b in (("prefix", "prefix"), ("rarest", "all"), ("all", "rarest")):
-                p = g.select("game", "kind", probe("home", a).alias("w")).join(e.select("event", "kind", probe(left, b).alias("w")), ["kind", "w"]).select("game", "event")
-                pairs = p if pairs is None else pairs.unionAll(p)
-        else:
-            both = lambda df, key, x, y: df.withColumn("w", probe(x, "prefix")).select(key, "kind", "w", F.col(f"{x}_n").alias(f"{key}_x"), F.col(f"{y}_n").alias(f"{key}_y"), probe(y, "prefix").alias("v"))
-            near = lambda z: F.least(f"game_{z}", f"event_{z}") >= threshold * F.greatest(f"game_{z}", f"event_{z}") - 1e-9
-            p = both(g, "game", "home", "away").join(both(e, "event", left, right), ["kind", "w", "v"]).where(near("x") & near("y")).select("game", "event")
-            pairs = p if pairs is None else pairs.unionAll(p)
-    # written, so that Spark knows how few they are, and of both sides only what is in a pair goes on
-    pairs = scratch(pairs.distinct())
-    g = games.join(pairs.select("game").distinct(), "game", "left_semi").select("game", F.col("home").alias("gh"), F.col("away").alias("ga"))
-    e = scratch(events.join(pairs.select("event").distinct(), "event", "left_semi").select("event", "ord", F.col("home").alias("eh"), F.col("away").alias("ea")))
-    both = pairs.join(g, "game").join(e, "event")
-    score = F.least(overlap(F.col("gh"), F.col("eh"), containment), overlap(F.col("ga"), F.col("ea"), containment))
+    games = games.select("game", "kind", F.col("home").alias("gh"), F.col("away").alias("ga"))
     if swapped:
-        score = F.greatest(score, F.least(overlap(F.col("gh"), F.col("ea"), containment), overlap(F.col("ga"), F.col("eh"), containment)))
-    scored = both.withColumn("score", score).where(F.col("score") >= threshold)
+        games = games.unionByName(games.select("game", "kind", F.col("ga").alias("gh"), F.col("gh").alias("ga")))
+    # written, so that Spark knows how small they are
+    games = scratch(games.withColumn("side", F.monotonically_increasing_id()))
+    g = scratch(_probes(_probes(games, "gh", "w", threshold, containment), "ga", "v", threshold, containment).select("side", "kind", *(f"{x}{y}" for x in "wv" for y in ("", "_p", "_r"))))
+    known = scratch(g.groupBy("kind", "w").agg(F.max("w_p").alias("any_p"), F.max("w_r").alias("any_r")))
+    meet = lambda x: (F.col(f"g_{x}_p") & F.col(f"{x}_p")) | F.col(f"g_{x}_r") | F.col(f"{x}_r")
+    # of an event's first party only tokens go on that some game has and may be met by
+    e = _probes(events, "home", "w", threshold, containment).join(known, ["kind", "w"]).where((F.col("any_p") & F.col("w_p")) | F.col("any_r") | F.col("w_r")).drop("any_p", "any_r")
+    e = _probes(e, "away", "v", threshold, containment)
+    marks = [F.col(f"{x}_{y}").alias(f"g_{x}_{y}") for x in "wv" for y in "pr"]
+    met = e.join(g.select("side", "kind", "w", "v", *marks), ["kind", "w", "v"]).where(meet("w") & meet("v"))
+    both = met.join(games.select("side", "game", "gh", "ga"), "side")
+    score = F.least(overlap(F.col("gh"), F.col("home"), containment), overlap(F.col("ga"), F.col("away"), containment))
+    scored = both.select("game", "event", "ord", score.alias("score")).where(F.col("score") >= threshold)
     return scored.groupBy("game").agg(F.min_by(F.struct("event", "score"), F.struct((-F.col("score")).alias("s"), "ord")).alias("m")).select("game", "m.event", "m.score")

@@ -162,12 +162,12 @@ def _sentences(df, key: str, swap: bool):
         h, a = F.when(F.col("k") % 2 == 0, a).otherwise(h), F.when(F.col("k") % 2 == 0, h).otherwise(a)
     # a filter after the projection would be pushed below it and take all sentences apart twice
     both = F.filter(F.array(F.struct(h.alias("home"), a.alias("away"))), lambda x: (F.size(x["home"]) > 0) & (F.size(x["away"]) > 0))
-    s = s.select("k", (F.col("i") + 1).alias("o"), F.explode(both).alias("x")).select("k", "o", "x.home", "x.away")
-    return s.groupBy("k", "home", "away").agg(F.min("o").alias("o"))
+    return s.select("k", (F.col("i") + 1).alias("o"), F.explode(both).alias("x")).select("k", "o", "x.home", "x.away")
 
 
 def _fuzzy(spark, d, swap):
-    games = _sentences(table(spark, d, "benchmark"), "item_id", swap).select(F.struct("k", "o").alias("game"), F.lit("s").alias("kind"), "home", "away")
+    # a sentence repeated in an item is one game; repeated in a document it ties with itself, and the first wins
+    games = _sentences(table(spark, d, "benchmark"), "item_id", swap).groupBy("k", "home", "away").agg(F.min("o").alias("o")).select(F.struct("k", "o").alias("game"), F.lit("s").alias("kind"), "home", "away")
     events = _sentences(table(spark, d, "documents"), "doc_id", False).select(F.struct("k", "o").alias("event"), F.struct("k", "o").alias("ord"), F.lit("s").alias("kind"), "home", "away")
     return match.fuzzy_two_party(games, events, 0.6, swapped=swap, containment=swap)
 
