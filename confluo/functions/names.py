@@ -174,8 +174,13 @@ SCRIPTS = (
 ).split()
 
 
+#: The lowest character of any of these scripts (Bopomofo's); what lies below is told from them by one comparison.
+FIRST_OTHER = 0x2EA
+
+
 def non_latin(c: str | Column) -> Column:
-    return F.coalesce(col(c), F.lit("")).rlike("[" + "".join(rf"\p{{Is{x}}}" for x in SCRIPTS) + "]")
+    scripts = "".join(rf"\p{{Is{x}}}" for x in SCRIPTS)
+    return F.coalesce(col(c), F.lit("")).rlike(rf"[\x{{{FIRST_OTHER:X}}}-\x{{10FFFF}}&&[{scripts}]]")
 
 
 def url_host(c: str | Column) -> Column:

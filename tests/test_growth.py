@@ -1,9 +1,12 @@
 """What a step writes and moves must not grow faster than its input; results must stay those of a plain version."""
 
 import random
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
+from confluo.functions import names
 from confluo.operators import match
 
 
@@ -48,3 +51,22 @@ def test_fuzzy_match_writes_no_events(spark, monkeypatch, swapped, containment,
             want[k] = best
     assert len(want) > 10
     assert {k: (round(s, 9), p) for k, (s, p) in got.items()} == {k: (round(s, 9), p) for k, (s, p) in want.items()}
+
+
+def test_script_flag_is_exact_and_cheap_on_latin_text(spark):
+    every = spark.range(0x110000).where("id NOT BETWEEN 55296 AND 57343").select("id", F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32").alias("c"))
+    plain = F.col("c").rlike("[" + "".join(rf"\p{{Is{x}}}" for x in names.SCRIPTS) + "]")
+    assert every.where(names.non_latin("c") != plain).isEmpty()
+    assert every.where(names.non_latin("c")).agg(F.min("id")).first()[0] == names.FIRST_OTHER
+    text = spark.range(400).select(F.repeat(F.lit("über Straße and señor "), 1000).alias("t")).coalesce(1).cache()
+    assert text.count() == 400
+
+    def seconds(c):
+        took = []
+        for _ in range(3):
+            began = time.perf_counter()
+            assert text.where(c).isEmpty()
+            took.append(time.perf_counter() - began)
+        return min(took)
+
+    assert seconds(names.non_latin("t")) < 4 * seconds(F.col("t").rlike(r"[\x{400}-\x{10FFFF}]")) + 0.2
