@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from confluo.scratch import scratch
+
 # Quality words and patterns of the source data.
 QUALITY_ANY = r"\s*\((?:FHD|UHD|HD|SD|4K|HEVC|[1-9][0-9]{2,3}[pi])\)"
 QUALITY_TAIL = r"(?:\s+(?:FHD|UHD|HD|SD|4K|HEVC))+\s*$"
@@ -42,13 +44,21 @@ def with_ascii(df: DataFrame, source: str, target: str) -> DataFrame:
     return df.join(other, F.col(source) == F.col("_key"), "left").withColumn(target, F.coalesce("_fold", source)).drop("_key", "_fold")
 
 
+def of_distinct(df: DataFrame, source: str, **derived: Column) -> DataFrame:
+    """Add columns derived from source alone, each worked out once for each distinct value; values are written, so that
+    Spark sees how few they are. Names are repeated by many sources, and taking one apart costs far more than a join."""
+    values = scratch(df.select(F.col(source).alias("_of")).distinct().select("_of", *(c.alias(n) for n, c in derived.items())))
+    return df.join(values, F.col(source).eqNullSafe(F.col("_of")), "left").drop("_of")
+
+
 def strip_quality(c: str | Column) -> Column:
     """A name without advertised quality: bracketed anywhere, bare words at the end."""
     whole = trim_all(F.coalesce(col(c), F.lit("")))
     text = trim_all(F.regexp_replace(F.coalesce(col(c), F.lit("")), f"(?iU){QUALITY_ANY}", ""))
     text = trim_all(F.regexp_replace(text, f"(?iU){QUALITY_TAIL}", ""))
     text = F.regexp_replace(text, r"(?U)\s{2,}", " ")
-    return F.when(text == "", whole).otherwise(text)
+    # a lambda's variable is computed once; named twice, the text would be taken apart twice, and so on outwards
+    return F.transform(F.array(text), lambda t: F.when(t == "", whole).otherwise(t))[0]
 
 
 def _key(ascii_name: str | Column, gap: str) -> Column:
@@ -63,8 +73,7 @@ def name_key(ascii_name: str | Column) -> Column:
 
 
 def slug(ascii_name: str | Column, default: str = "unknown-channel") -> Column:
-    s = _key(ascii_name, "-")
-    return F.when(s == "", default).otherwise(s)
+    return F.transform(F.array(_key(ascii_name, "-")), lambda s: F.when(s == "", default).otherwise(s))[0]
 
 
 def plain_slug(ascii_name: str | Column, signs: dict[str, str] | None = None) -> Column:

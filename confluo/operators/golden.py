@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from confluo.scratch import scratch
+
 
 def golden_record(items: DataFrame, entity: str = "entity_id", most_aliases: int = 40, default_category: str = "general") -> DataFrame:
     """One row per entity from its observations.
@@ -60,14 +62,17 @@ def variant_fold(records: DataFrame, entity: str, name: str, key: str, base: str
     """(entity, winner) of region variants whose unqualified name is a published record in its own right.
 
     The winner is unqualified if possible, then has a country, then has the lowest id; each key has two best rows, so
-    that a record is not its own winner.
+    that a record is not its own winner. Records are written once, with what they are ranked by: their names are taken
+    apart once.
     """
     rank = F.struct((F.col(base) != F.col(name)).alias("a"), (F.size(countries) == 0).alias("b"), F.col(entity).alias("c"))
-    best = records.groupBy(F.col(key).alias("_k")).agg(F.min(rank).alias("first"), F.count("*").alias("n"))
-    others = records.select(F.col(entity), F.col(base_key).alias("_k"), (F.col(base) != F.col(name)).alias("v")).where("v").join(best, "_k")
+    r = scratch(records.select(entity, F.col(key).alias("_key"), F.col(base_key).alias("_k"), rank.alias("r")))
+    first = r.groupBy("_key").agg(F.min("r").alias("first"))
+    rest = r.join(first, "_key").where("r <> first").groupBy("_key").agg(F.min("r").alias("second"))
+    # one row a key: written, so that Spark sees how few they are
+    best = scratch(first.join(rest, "_key", "left").select(F.col("_key").alias("_k"), "first", "second"))
+    j = r.where("r.a").join(best, "_k")
     own = F.col("first.c") == F.col(entity)
-    second = records.select(F.col(key).alias("_k2"), rank.alias("r")).join(best.select(F.col("_k").alias("_k2"), "first"), "_k2").where("r <> first").groupBy("_k2").agg(F.min("r").alias("second"))
-    j = others.join(second, F.col("_k") == F.col("_k2"), "left")
     return j.select(entity, F.when(own, F.col("second.c")).otherwise(F.col("first.c")).alias("winner")).where("winner IS NOT NULL")
 
 

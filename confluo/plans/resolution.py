@@ -246,9 +246,9 @@ _VAR = "p_name || ' ' || p_size || CASE p_partkey % 4 WHEN 0 THEN ' CA' WHEN 1 T
     SELECT a.id AS p_partkey, (arg_min(b.id, (b.v, b.nc, b.id))) AS winner FROM r a JOIN r b ON b.key = a.bkey AND b.id <> a.id WHERE a.v GROUP BY a.id"""
 )
 def variant_fold(spark, d):
-    n = F.expr(_VAR)
-    base = geo.region_base(n, ["Arabia"])
-    r = table(spark, d, "part").select(F.col("p_partkey"), n.alias("name"), names.name_key(n).alias("key"), base.alias("base"), names.name_key(base).alias("base_key"), F.when(F.col("p_partkey") % 5 == 0, F.array().cast("array<string>")).otherwise(F.array(F.lit("US"))).alias("countries"))
+    base = geo.region_base("_of", ["Arabia"])
+    r = table(spark, d, "part").select("p_partkey", F.expr(_VAR).alias("name"), F.when(F.col("p_partkey") % 5 == 0, F.array().cast("array<string>")).otherwise(F.array(F.lit("US"))).alias("countries"))
+    r = names.of_distinct(r, "name", key=names.name_key("_of"), base=base, base_key=names.name_key(base))
     return golden.variant_fold(r, "p_partkey", "name", "key", "base", "base_key", "countries")
 
 

@@ -70,3 +70,34 @@ def test_script_flag_is_exact_and_cheap_on_latin_text(spark):
         return min(took)
 
     assert seconds(names.non_latin("t")) < 4 * seconds(F.col("t").rlike(r"[\x{400}-\x{10FFFF}]")) + 0.2
+
+
+def _distinct_only(spark, tmp_path, monkeypatch, query, times=4):
+    """The distinct values that a query takes apart, over parts and over parts repeated with shifted keys."""
+    from confluo.functions import names as n
+    from confluo.plans import registry
+
+    seen, keep = [], n.scratch
+
+    def counted(df):
+        out = keep(df)
+        seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(n, "scratch", counted)
+    part = spark.read.parquet("/root/testdata/sf0.001/part.parquet")
+    top = part.agg(F.max("p_partkey")).first()[0] + 1
+    for i, k in enumerate((1, times)):
+        d = f"{tmp_path}/{i}"
+        # a multiple of what the queries divide keys by
+        part.crossJoin(spark.range(k).withColumnRenamed("id", "_i")).select((F.col("p_partkey") + F.col("_i") * (top + -top % 660)).cast("long").alias("p_partkey"), *part.columns[1:]).write.parquet(f"{d}/part.parquet")
+        registry.QUERIES[query](spark, d).write.format("noop").mode("overwrite").save()
+    return seen
+
+
+@pytest.mark.parametrize("query", ["variant_fold", "conditional_id", "consolidate", "resolve_cascade"])
+def test_names_are_taken_apart_once_each(spark, tmp_path, monkeypatch, query):
+    import confluo.catalogue  # noqa: F401  registers the queries
+
+    seen = _distinct_only(spark, tmp_path, monkeypatch, query)
+    assert seen and seen[: len(seen) // 2] == seen[len(seen) // 2 :]
