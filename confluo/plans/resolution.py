@@ -74,7 +74,8 @@ def key_index(spark, d):
 @query(f"SELECT p_partkey, slug || CASE WHEN (many OR man) AND place <> '' THEN '-' || lower(place) ELSE '' END AS entity_id FROM (SELECT p_partkey, slug, place, min(place) OVER w <> max(place) OVER w AS many, slug IN (SELECT {KEY_SQL('p_name', '-')} FROM part WHERE p_partkey < 4) AS man FROM (SELECT p_partkey, {KEY_SQL('p_name', '-')} || '-' || p_size AS slug, {_PLACE} AS place FROM part) WINDOW w AS (PARTITION BY slug))")
 def conditional_id(spark, d):
     p = table(spark, d, "part")
-    items = p.select("p_partkey", F.concat(names.slug("p_name"), F.lit("-"), F.col("p_size").cast("string")).alias("slug"), F.expr(_PLACE).alias("country"))
+    named = names.of_distinct(p, "p_name", slug=names.slug("_of"))
+    items = named.select("p_partkey", F.concat("slug", F.lit("-"), F.col("p_size").cast("string")).alias("slug"), F.expr(_PLACE).alias("country"))
     manual = p.where("p_partkey < 4").select(names.slug("p_name").alias("entity_id"))
     return resolve.conditional_id(items, manual=manual).select("p_partkey", "entity_id")
 
