@@ -22,8 +22,10 @@ def entities(spark, d):
 
 
 def entries(parts):
-    n = F.expr(NOISY)
-    return parts.select(F.col("p_partkey").alias("entry_key"), F.col("p_brand").alias("source"), F.array(names.name_key(F.concat(F.lit("zz "), n)), names.name_key(n)).alias("keys"), F.expr(_ENTRY_PLACE).alias("country"), names.slug(n).alias("slug"))
+    e = parts.select(F.col("p_partkey").alias("entry_key"), F.col("p_brand").alias("source"), F.expr(_ENTRY_PLACE).alias("country"), F.expr(NOISY).alias("name"))
+    n = F.col("_of")
+    e = names.of_distinct(e, "name", keys=F.array(names.name_key(F.concat(F.lit("zz "), n)), names.name_key(n)), slug=names.slug(n))
+    return e.select("entry_key", "source", "keys", "country", "slug")
 
 
 def aliases(spark, d):
