@@ -228,7 +228,7 @@ _UNITED = lambda c: f"(SELECT slug, string_agg(v, '|' ORDER BY rn, pos) AS {c} F
     JOIN {_UNITED("aliases")} USING (slug) LEFT JOIN {_UNITED("countries")} USING (slug) JOIN {_UNITED("categories")} USING (slug) JOIN {_UNITED("sources")} USING (slug)"""
 )
 def consolidate(spark, d):
-    p, s, n = table(spark, d, "part"), names.slug("p_name"), F.expr(NOISY)
+    p, s, n = names.of_distinct(table(spark, d, "part"), "p_name", slug=names.slug("_of")), F.col("slug"), F.expr(NOISY)
     least = p.groupBy("p_name").agg(F.min("p_partkey").alias("least"))
     own = F.when((F.col("p_partkey") % 2 == 0) & (F.col("p_partkey") == F.col("least")), s).otherwise(F.concat(F.lit("r"), F.col("p_partkey").cast("string")))
     place = F.expr(_PLACE)
