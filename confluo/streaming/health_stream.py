@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -26,7 +28,7 @@ def _fold(key: str, quiet: int | None) -> StatefulProcessor:
         """
 
         def __init__(self, key: str, quiet: int | None):
-            self.key, self.quiet = key, quiet
+            self.key, self.quiet, self.first = key, quiet, None
 
         def init(self, handle: StatefulProcessorHandle) -> None:
             self.handle = handle
@@ -40,32 +42,43 @@ def _fold(key: str, quiet: int | None) -> StatefulProcessor:
                 if not silent:
                     self.handle.registerTimer(max(0, (at + self.quiet) // 1000))
 
-        def _row(self, k: tuple, failures: int, at: int, success: int | None, silent: bool) -> pd.DataFrame:
-            time = lambda us: pd.Series([pd.NaT if us is None else pd.Timestamp(us, unit="us")], dtype="datetime64[us]")
-            return pd.DataFrame({self.key: [k[0]], "failures": [failures], "last_check": time(at), "last_success": time(success), "silent": [silent]})
-
-        def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N803  Spark's name
-            old = self.state.get() if self.state.exists() else None
-            failures, last, place, success = (old[0], old[1], old[2], old[3]) if old else (0, None, None, None)
-            # what one micro-batch has for a candidate
-            new = pd.concat([b for b in rows if len(b)])
-            new.columns = [self.key, "_time", "_at", "_ord", "_ok"]  # Spark doesn't always keep the names
-            new = new.sort_values(["_at", "_ord"])
-            for t, o, good in zip(new["_at"].tolist(), new["_ord"].tolist(), new["_ok"].tolist(), strict=True):
-                if last is None or (t, o) > (last, place):
-                    failures, last, place = 0 if good else failures + 1, t, o
-                    success = t if good else success
-            self._keep(failures, last, place, success, False)
-            yield self._row(key, failures, last, success, False)
-
-        def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N803  Spark's names
+        def _row(self, k: tuple, failures: int, at: int, success: int | None, silent: bool) -> Row:
+            return Row(**{self.key: k[0], "failures": failures, "_at": at, "_success": success, "silent": silent})
+
+        def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N803  Spark's name
+            # a candidate's initial state comes just before its first rows, and need not be asked for again
+            old, self.first = self.first[1] if self.first and self.first[0] == key else self.state.get(), None
+            failures, success = (old[0], old[3]) if old else (0, None)
+            last = (old[1], old[2]) if old else None
+            # what one micro-batch has for a candidate, in any order: failures count that are later than its last success
+            good, top, failed, room = None, last, [], 1000
+            for r in rows:
+                when = (r[-3], r[-2])
+                if last is not None and when <= last or good is not None and when <= good:
+                    continue
+                top = when if top is None or when > top else top
+                if not r[-1]:
+                    failed.append(when)
+                    continue
+                good = when
+                if len(failed) > room:
+                    failed = [w for w in failed if w > good]
+                    room = max(1000, 2 * len(failed))
+            if good is not None:
+                failures, success = 0, good[0]
+            failures += len({w for w in failed if good is None or w > good})
+            self._keep(failures, *top, success, False)
+            yield self._row(key, failures, top[0], success, False)
+
+        def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N803  Spark's names
             failures, last, place, success, _ = self.state.get()
             self._keep(failures, last, place, success, True)
             yield self._row(key, failures, last, success, True)
 
-        def handleInitialState(self, key: tuple, initialState: pd.DataFrame, timerValues) -> None:  # noqa: N803  Spark's names
-            _, failures, at, place, success = initialState.iloc[0].tolist()
-            self._keep(int(failures), int(at), int(place), None if pd.isna(success) else int(success), False)
+        def handleInitialState(self, key: tuple, initialState: Row, timerValues) -> None:  # noqa: N803  Spark's names
+            failures, at, place, success = initialState[-4:]
+            self._keep(failures, at, place, success, False)
+            self.first = key, (failures, at, place, success, False)
 
         def close(self) -> None:
             pass
@@ -73,23 +86,47 @@ def _fold(key: str, quiet: int | None) -> StatefulProcessor:
     return _Fold(key, quiet)
 
 
+def _since_success(key: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    # a function of its own here goes to workers by value, as the state function does
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of each batch's checks, those from a candidate's last success there on; earlier ones change no state."""
+        for b in batches:
+            who = b.column(key).dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+            ok = b.column("_ok").fill_null(False).to_numpy(zero_copy_only=False)
+            by = np.lexsort((ok, b.column("_ord").to_numpy(), b.column("_at").to_numpy(), who))
+            rank = np.empty(len(by), np.int64)
+            rank[by] = np.arange(len(by))
+            last = np.full(len(by), -1)
+            np.maximum.at(last, who[ok], rank[ok])
+            yield b.filter(pa.array(rank >= last[who]))
+
+    return keep
+
+
 def fold_stream(checks: DataFrame, key: str, at: str, order: str, ok: str, state: DataFrame | None = None, quiet: str | None = None, late: str = "0 seconds") -> DataFrame:
     """Update-mode stream of each candidate's state as checks arrive: failures, last_check, last_success, silent, status, enabled.
 
     state: where the stream goes on from, a batch's result: key, failures, last_check, last_success and `order`, the place of
     the last check among those of its time. quiet: an interval of event time after which a candidate without checks is
-    reported as silent; checks may be `late` by so much for that. State is kept in RocksDB, so it may outgrow memory.
+    reported as silent; checks may be `late` by so much for that. State is kept in RocksDB, so it may outgrow memory. Checks
+    without a time are left out.
     """
     spark = checks.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     us = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
-    src = checks.select(F.col(key), F.col(at).cast("timestamp").alias("_time"), us(at).alias("_at"), F.col(order).cast("long").alias("_ord"), F.col(ok).alias("_ok"))
+    place = lambda c: F.coalesce(F.col(c).cast("long"), F.lit(-(2**63)))  # noqa: E731  none comes first, as in the fold
+    # rows are taken apart in Python value by value, so only a stream with timers has a column of time
+    time = [] if quiet is None else [F.col(at).cast("timestamp").alias("_time")]
+    src = checks.where(F.col(at).isNotNull()).select(F.col(key), *time, us(at).alias("_at"), place(order).alias("_ord"), F.col(ok).alias("_ok"))
+    src = src.mapInArrow(_since_success(key), src.schema)
     if quiet is not None:
         src = src.withWatermark("_time", late)
     kind = checks.schema[key].dataType.simpleString()
-    initial = None if state is None else state.select(F.col(key), "failures", us("last_check").alias("_at"), F.col(order).cast("long").alias("_ord"), us("last_success").alias("_success")).groupBy(key)
+    initial = None if state is None else state.select(F.col(key), "failures", us("last_check").alias("_at"), place(order).alias("_ord"), us("last_success").alias("_success")).groupBy(key)
     wait = None if quiet is None else int(pd.Timedelta(quiet).value // 1000)
-    out = src.groupBy(key).transformWithStateInPandas(_fold(key, wait), f"{key} {kind}, failures int, last_check timestamp, last_success timestamp, silent boolean", "Update", "None" if quiet is None else "EventTime", initial)
+    # rows, not data frames: a frame for each candidate costs far more than its few checks
+    out = src.groupBy(key).transformWithState(_fold(key, wait), f"{key} {kind}, failures int, _at long, _success long, silent boolean", "Update", "None" if quiet is None else "EventTime", initial)
+    out = out.select(key, "failures", F.timestamp_micros("_at").alias("last_check"), F.timestamp_micros("_success").alias("last_success"), "silent")
     return out.withColumn("status", status_of(F.col("failures"))).withColumn("enabled", F.col("failures") < DISABLE_AFTER)
 
 
